@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from quillmill.functions.text import let
+
 DATE_OUT = "yyyy-MM-dd"
 
-# Spellings tried in this order, after a leading weekday name was dropped.
+# Spellings tried in this order.
 ARTICLE_DATE_FORMATS = (
+    "yyyy-M-d",
     "d MMMM yyyy",
     "d MMM yyyy",
     "MMMM d, yyyy",
@@ -15,7 +18,6 @@ ARTICLE_DATE_FORMATS = (
     "MMMM d yyyy",
     "MMM d yyyy",
     "yyyy/M/d",
-    "yyyy-M-d",
     "M/d/yyyy",
     "d.M.yyyy",
 )
@@ -38,15 +40,16 @@ def tweet_date(created_at: Column) -> Column:
 
 
 def article_date(c: Column) -> Column:
-    """Free-form date to a calendar date; null when no known spelling fits."""
-    text = F.trim(c)
-    iso = F.regexp_extract(text, r"^(\d{4}-\d{2}-\d{2})(?:[T ].*)?$", 1)
-    plain = F.regexp_replace(text, r"(?i)^(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?,?\s+", "")
+    """Free-form date to a calendar date; null when no known spelling fits.
+
+    The day's own text is cut out of the stamp first: weekday names, ordinal endings and
+    a time of day are dropped.
+    """
+    plain = F.regexp_replace(F.trim(c), r"(?i)^(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?,?\s+", "")
     plain = F.regexp_replace(plain, r"(?i)(\d)(?:st|nd|rd|th)\b", "$1")
-    day = F.regexp_extract(plain, r"^(.*?\d{4}|\d{1,2}[/.]\d{1,2}[/.]\d{4}|\d{4}[/-]\d{1,2}[/-]\d{1,2})(?:[T ,].*)?$", 1)
-    tries = [F.try_to_date(F.nullif(iso, F.lit("")), DATE_OUT)]
-    tries += [F.try_to_date(F.nullif(day, F.lit("")), fmt) for fmt in ARTICLE_DATE_FORMATS]
-    return F.coalesce(*tries)
+    numbers = r"\d{1,2}[/.]\d{1,2}[/.]\d{4}|\d{4}[/-]\d{1,2}[/-]\d{1,2}"
+    day = F.regexp_extract(plain, rf"^({numbers}|.*?\d{{4}})(?:[T ,].*)?$", 1)
+    return let(day, lambda d: F.coalesce(*[F.try_to_date(d, fmt) for fmt in ARTICLE_DATE_FORMATS]))
 
 
 def iso_date(d: Column) -> Column:

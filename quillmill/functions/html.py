@@ -12,7 +12,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
-from quillmill.functions.text import drop_lines, strip
+from quillmill.functions.text import drop_lines, let, strip
 
 # Named entities decoded by ``unescape``; ``&amp;`` must come last.
 ENTITIES = {
@@ -28,16 +28,23 @@ SKIPPED_ELEMENTS = "script|style|noscript|nav|header|footer|aside|form"
 BLOCK_ELEMENTS = "p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|blockquote|pre|main|figure|figcaption"
 
 
-def _group(c: Column, pattern: str, group: int = 1) -> Column:
-    """One regex group; null instead of the empty string when nothing matched."""
-    return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
+def _or_null(c: Column) -> Column:
+    """Null instead of the empty string."""
+    return let(c, lambda v: F.when(v != "", v))
+
+
+def _first_group(c: Column, pattern: str) -> Column:
+    """Group 1 of the first match; null when nothing matched. For short inputs."""
+    return F.try_element_at(F.regexp_extract_all(c, F.lit(pattern), 1), F.lit(1))
 
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute of one tag, quoted either way or bare; null when absent."""
     start = rf"(?is)\s{name}\s*=\s*"
     return F.coalesce(
-        _group(tag, start + r'"([^"]*)"'), _group(tag, start + r"'([^']*)'"), _group(tag, start + r"""([^\s"'>]+)""")
+        _first_group(tag, start + r'"([^"]*)"'),
+        _first_group(tag, start + r"'([^']*)'"),
+        _first_group(tag, start + r"""([^\s"'>]+)"""),
     )
 
 
@@ -46,24 +53,34 @@ def has_class(tag: Column, css_class: str) -> Column:
     return F.coalesce(F.array_contains(F.split(attribute(tag, "class"), r"\s+"), css_class), F.lit(False))
 
 
-def unescape(c: Column) -> Column:
-    """Decode numeric and the listed named entities; other entities stay as they are."""
-    pieces = F.split(c, "&#")
-
+def _numeric_decoded(c: Column) -> Column:
     def decoded(piece: Column, i: Column) -> Column:
         code = F.coalesce(
-            F.regexp_extract(piece, r"^(\d{1,7});", 1).try_cast("int"),
-            F.conv(_group(piece, r"^[xX]([0-9A-Fa-f]{1,6});"), 16, 10).try_cast("int"),
+            _first_group(piece, r"^(\d{1,7});").try_cast("int"),
+            F.conv(_first_group(piece, r"^[xX]([0-9A-Fa-f]{1,6});"), 16, 10).try_cast("int"),
         )
-        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
         rest = F.substring(piece, F.instr(piece, ";") + 1, F.length(piece))
-        return F.when(i == 0, piece).when(valid, F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), piece))
 
-    out = F.when(F.contains(c, F.lit("&#")), F.array_join(F.transform(pieces, decoded), "")).otherwise(c)
-    for entity, char in ENTITIES.items():
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
+        def character(n: Column) -> Column:
+            valid = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+            return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+
+        whole = F.coalesce(F.concat(let(code, character), rest), F.concat(F.lit("&#"), piece))
+        return F.when(i == 0, piece).otherwise(whole)
+
+    return F.array_join(F.transform(F.split(c, "&#"), decoded), "")
+
+
+def unescape(c: Column) -> Column:
+    """Decode numeric and the listed named entities; other entities stay as they are."""
+
+    def decoded(text: Column) -> Column:
+        numeric = F.when(F.contains(text, F.lit("&#")), _numeric_decoded(text)).otherwise(text)
+        for entity, char in ENTITIES.items():
+            numeric = F.replace(numeric, F.lit(entity), F.lit(char))
+        return F.when(F.contains(text, F.lit("&")), numeric).otherwise(text)
+
+    return let(c, decoded)
 
 
 def tags(html: Column, name: str) -> Column:
@@ -75,15 +92,18 @@ def absolute_url(href: Column, root: str) -> Column:
     """``href`` joined with a site root, as a browser on the root page would."""
     scheme, host = root.split("://", 1)
     origin = f"{scheme}://{host.split('/', 1)[0]}"
-    link = strip(href)
-    relative = F.regexp_replace(link, r"^(?:\.{1,2}/)+", "")
-    return (
-        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
-        .when(F.startswith(link, F.lit("//")), F.concat(F.lit(scheme + ":"), link))
-        .when(F.startswith(link, F.lit("/")), F.concat(F.lit(origin), link))
-        .when(link.rlike("^[#?]"), F.concat(F.lit(root), link))
-        .otherwise(F.concat(F.lit(origin + "/"), relative))
-    )
+
+    def joined(link: Column) -> Column:
+        relative = F.regexp_replace(link, r"^(?:\.{1,2}/)+", "")
+        return (
+            F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
+            .when(F.startswith(link, F.lit("//")), F.concat(F.lit(scheme + ":"), link))
+            .when(F.startswith(link, F.lit("/")), F.concat(F.lit(origin), link))
+            .when(link.rlike("^[#?]"), F.concat(F.lit(root), link))
+            .otherwise(F.concat(F.lit(origin + "/"), relative))
+        )
+
+    return let(strip(href), joined)
 
 
 def link_list(html: Column, root: str, css_class: str | None = None) -> Column:
@@ -95,61 +115,58 @@ def link_list(html: Column, root: str, css_class: str | None = None) -> Column:
     return F.transform(hrefs, lambda h: absolute_url(unescape(h), root))
 
 
-def page_meta(html: Column, name: str) -> Column:
-    """Content of the first meta tag with that ``property`` or ``name``; null if absent."""
-    content = F.filter(
-        F.transform(
-            F.filter(
-                tags(html, "meta"),
-                lambda t: F.coalesce(attribute(t, "property") == name, F.lit(False))
-                | F.coalesce(attribute(t, "name") == name, F.lit(False)),
-            ),
-            lambda t: attribute(t, "content"),
-        ),
-        lambda v: v.isNotNull(),
-    )
-    return unescape(F.try_element_at(content, F.lit(1)))
+def meta_list(html: Column) -> Column:
+    """All meta tags as array<struct<name,content>>, in page order.
+
+    ``name`` is the ``property`` or else the ``name`` attribute. Reading a page's meta
+    tags once and looking values up in the list saves one scan of the page per value.
+    """
 
+    def entry(tag: Column) -> Column:
+        name = F.coalesce(attribute(tag, "property"), attribute(tag, "name"))
+        return F.struct(name.alias("name"), attribute(tag, "content").alias("content"))
 
-def page_meta_all(html: Column, name: str) -> Column:
-    """Contents of all meta tags with that ``property`` or ``name``, in page order."""
-    matching = F.filter(
-        tags(html, "meta"),
-        lambda t: F.coalesce(attribute(t, "property") == name, F.lit(False))
-        | F.coalesce(attribute(t, "name") == name, F.lit(False)),
-    )
-    return F.filter(F.transform(matching, lambda t: unescape(attribute(t, "content"))), lambda v: v.isNotNull())
+    return F.transform(tags(html, "meta"), entry)
+
+
+def meta_values(metas: Column, name: str) -> Column:
+    """Contents of all entries of that name, in page order."""
+    named = F.filter(metas, lambda m: (m["name"] == name) & m["content"].isNotNull())
+    return F.transform(named, lambda m: unescape(m["content"]))
+
+
+def meta_value(metas: Column, *names: str) -> Column:
+    """Content of the first entry of the first name that has one; null if none."""
+    return F.coalesce(*[F.try_element_at(meta_values(metas, n), F.lit(1)) for n in names])
 
 
 def page_title(html: Column) -> Column:
     """Text of the ``title`` element, stripped; null when absent or blank."""
-    return F.nullif(strip(unescape(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))), F.lit(""))
+    return _or_null(strip(unescape(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))))
 
 
-def page_author(html: Column) -> Column:
+def page_author(metas: Column) -> Column:
     """Author named by the page's meta tags."""
-    return F.coalesce(page_meta(html, "author"), page_meta(html, "article:author"))
+    return meta_value(metas, "author", "article:author")
 
 
-def page_date(html: Column) -> Column:
-    """Publication stamp: meta tags first, then the first ``time`` element."""
+def page_date(html: Column, metas: Column) -> Column:
+    """Publication stamp: meta tags first, then the first ``time`` element with one."""
     times = F.filter(F.transform(tags(html, "time"), lambda t: attribute(t, "datetime")), lambda v: v.isNotNull())
-    return F.coalesce(
-        page_meta(html, "article:published_time"), page_meta(html, "date"), F.try_element_at(times, F.lit(1))
-    )
+    return F.coalesce(meta_value(metas, "article:published_time", "date"), F.try_element_at(times, F.lit(1)))
 
 
-def page_tags(html: Column, sep: str = ",") -> Column:
+def page_tags(metas: Column, sep: str = ",") -> Column:
     """All ``article:tag`` values joined by ``sep``, else the keyword list; null if none."""
-    listed = F.array_join(page_meta_all(html, "article:tag"), sep)
-    return F.coalesce(F.nullif(listed, F.lit("")), page_meta(html, "keywords"))
+    listed = _or_null(F.array_join(meta_values(metas, "article:tag"), sep))
+    return F.coalesce(listed, meta_value(metas, "keywords"))
 
 
 def text_of(fragment: Column) -> Column:
     """Text of an HTML fragment: block tags end lines, other tags vanish."""
     lines = F.regexp_replace(fragment, rf"(?i)</?(?:{BLOCK_ELEMENTS})\b[^>]*>", "\n")
     plain = unescape(F.regexp_replace(lines, r"<[^>]*>", ""))
-    return F.nullif(drop_lines(plain), F.lit(""))
+    return _or_null(drop_lines(plain))
 
 
 def main_text(html: Column) -> Column:
@@ -160,11 +177,13 @@ def main_text(html: Column) -> Column:
     """
     clean = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
     clean = F.regexp_replace(clean, rf"(?is)<({SKIPPED_ELEMENTS})\b[^>]*>.*?</\1\s*>", "")
-    region = F.coalesce(
-        _group(clean, r"(?is)<article\b[^>]*>(.*?)(?:</article\s*>|\z)"),
-        _group(clean, r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)"),
-    )
-    return text_of(region)
+
+    def region(page: Column) -> Column:
+        article = F.regexp_extract(page, r"(?is)<article\b[^>]*>(.*?)(?:</article\s*>|\z)", 1)
+        body = F.regexp_extract(page, r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)", 1)
+        return F.coalesce(_or_null(article), body)
+
+    return text_of(let(clean, region))
 
 
 def element_text(html: Column, element: str, css_class: str, last: bool = False) -> Column:
@@ -254,7 +273,7 @@ def container_text(html: Column, selectors: list[tuple[str, str]], phrase: str |
 
         return pages.map(pick)
 
-    return drop_lines(found(html), phrase)
+    return _or_null(drop_lines(found(html), phrase))
 
 
 class _ChildLinks(_Elements):

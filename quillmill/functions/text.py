@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -16,6 +17,14 @@ STRIP = rf"(?U)\A[{BLANK}]+|[{BLANK}]+\z"
 ASCII_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+def let(c: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row, however often it is used.
+
+    Nesting plain expressions copies their inputs; chains of such copies grow fast.
+    """
+    return F.element_at(F.transform(F.array(c), body), 1)
+
+
 def replace_linebreaks(c: Column) -> Column:
     """One-line form of a text: line breaks become ``<p>``, each rule applied once.
 
@@ -91,20 +100,32 @@ def _ascii_tables() -> tuple[dict[str, str], list[dict[str, str]]]:
 _SINGLE, _MULTI = _ascii_tables()
 
 
+def _spelled(c: Column, tables: list[dict[str, str]]) -> Column:
+    out = F.translate(c, "".join(_SINGLE), "".join(_SINGLE.values()))
+    for table in tables:
+        for letter, spelling in table.items():
+            out = F.replace(out, F.lit(letter), F.lit(spelling))
+    return F.regexp_replace(out, r"[^\x00-\x7F]", "")
+
+
+def _any_of(*tables: dict[str, str]) -> str:
+    return "[" + "".join("".join(t) for t in tables) + "]"
+
+
 def decode_unicode(c: Column) -> Column:
     """ASCII transliteration; characters without a known spelling are removed.
 
     Pure ASCII texts skip all work. Letters with one-letter spellings go through one
-    ``translate``; longer spellings need one ``replace`` each, so every script's chain
-    runs only on texts that hold such a letter.
+    ``translate``; longer spellings need one ``replace`` each, so those chains run only
+    on texts that hold such a letter.
     """
-    out = F.translate(c, "".join(_SINGLE), "".join(_SINGLE.values()))
-    for table in _MULTI:
-        chain = out
-        for letter, spelling in table.items():
-            chain = F.replace(chain, F.lit(letter), F.lit(spelling))
-        out = F.when(c.rlike("[" + "".join(table) + "]"), chain).otherwise(out)
-    return F.when(c.rlike(r"[^\x00-\x7F]"), F.regexp_replace(out, r"[^\x00-\x7F]", "")).otherwise(c)
+    latin, greek, cyrillic = _MULTI
+    return (
+        F.when(~c.rlike(r"[^\x00-\x7F]"), c)
+        .when(c.rlike(_any_of(greek, cyrillic)), _spelled(c, _MULTI))
+        .when(c.rlike(_any_of(latin)), _spelled(c, [latin]))
+        .otherwise(_spelled(c, []))
+    )
 
 
 def decode_unicode_record(df: DataFrame) -> DataFrame:

@@ -43,12 +43,21 @@ def drop_survey_pages(df: DataFrame, col: str = "content", prompt: str = SURVEY_
     return drop_containing_any(df, col, (prompt,))
 
 
-def require_extracted(df: DataFrame, required: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """``(kept, rejected)``: a row is rejected for the first required value that is null.
+def extracted(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
+    """Projection whose values are computed once per row.
 
-    Rejected rows carry the name of that value in ``reason``.
+    A filter on a projected column is otherwise moved below the projection together
+    with a second copy of its expression; a generator keeps it above.
     """
-    reason = F.coalesce(*[F.when(c.isNull(), F.lit(f"no {name}")) for name, c in required.items()])
+    return df.select(F.inline(F.array(F.struct(*[c.alias(n) for n, c in fields.items()]))))
+
+
+def require_extracted(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``(kept, rejected)``: a row is rejected for the first required column that is null.
+
+    Rejected rows carry the name of that column in ``reason``.
+    """
+    reason = F.coalesce(*[F.when(F.col(name).isNull(), F.lit(f"no {name}")) for name in required])
     return df.where(reason.isNull()), df.where(reason.isNotNull()).withColumn("reason", reason)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from quillmill.functions import html as H
 from quillmill.functions.dates import article_date, iso_date
 from quillmill.functions.text import decode_unicode, doc_id, replace_linebreaks, split_tags
-from quillmill.operators.filters import check_source, drop_survey_pages, exclude_url_prefix, require_extracted
+from quillmill.operators.filters import check_source, drop_survey_pages, exclude_url_prefix, extracted, require_extracted
 from quillmill.operators.limits import limit_frontier, sample_exact, take_first
 from quillmill.operators.positions import with_article_index
 from quillmill.operators.records import drop_empty_fields, post_record
@@ -134,18 +134,19 @@ def article_record(pages: DataFrame, source: str) -> tuple[DataFrame, DataFrame]
     Rejected pages carry a ``reason``: no text, or none of a field the source must have.
     """
     source = check_source(source)
-    html, rule = F.col("html"), RULES[source]
+    html, metas, rule = F.col("html"), F.col("_metas"), RULES[source]
     fields = {
         "source": F.lit(source),
         "url": F.col("url"),
         "id_custom": F.col("id_custom"),
-        "description": H.page_meta(html, "og:description"),
+        "description": H.meta_value(metas, "og:description"),
     }
-    og_title, required = H.page_meta(html, "og:title"), ["content"]
+    og_title, required = H.meta_value(metas, "og:title"), ["content"]
     if source == "weforum":
-        item = F.from_json(H.json_ld(html), JSON_LD)
+        pages = pages.withColumn("_item", F.from_json(H.json_ld(html), JSON_LD))
+        item = F.col("_item")
         fields |= {
-            "content": F.nullif(H.container_text(html, WEFORUM_CONTAINERS, WEFORUM_COOKIE_LINE), F.lit("")),
+            "content": H.container_text(html, WEFORUM_CONTAINERS, WEFORUM_COOKIE_LINE),
             "title": og_title,
             "author": F.try_element_at(item["creator"], F.lit(1)),
             "date": iso_date(article_date(item["dateCreated"])),
@@ -154,26 +155,25 @@ def article_record(pages: DataFrame, source: str) -> tuple[DataFrame, DataFrame]
         }
         required += ["date", "title", "description"]
     else:
-        stamp = H.page_date(html)
+        stamp = H.page_date(html, metas)
+        date = iso_date(article_date(stamp))
         fields |= {
             "content": H.main_text(html),
-            "author": H.page_author(html),
+            "author": H.page_author(metas),
             "title": og_title if source in ("gov_uk_news", "telegraph") else F.coalesce(og_title, H.page_title(html)),
-            "date": iso_date(article_date(stamp)),
+            "date": F.coalesce(date, stamp) if source in ("guardian", "sun") else date,
         }
     if source == "gov_uk_news":
-        fields |= {"taxon_slug": H.page_meta(html, "govuk:taxon-slug"), "format": H.page_meta(html, "govuk:format")}
+        fields |= {"taxon_slug": H.meta_value(metas, "govuk:taxon-slug"), "format": H.meta_value(metas, "govuk:format")}
         required += ["date", "title", "description", "taxon_slug", "format"]
     elif source == "telegraph":
         required += ["date", "title"]
-    elif source in ("guardian", "sun"):
-        fields["date"] = F.coalesce(fields["date"], H.page_date(html))
     if rule.tag_separator:
-        fields["tags"] = split_tags(H.page_tags(html, rule.tag_separator), rule.tag_separator)
-    rows = pages.select(*[c.alias(n) for n, c in fields.items()])
+        fields["tags"] = split_tags(H.page_tags(metas, rule.tag_separator), rule.tag_separator)
+    rows = extracted(pages.withColumn("_metas", H.meta_list(html)), fields)
     if source == "gov_uk_news":
         rows = drop_survey_pages(rows)
-    kept, rejected = require_extracted(rows, {n: F.col(n) for n in required})
+    kept, rejected = require_extracted(rows, required)
     return kept, rejected.select("source", "url", "id_custom", "reason")
 
 

@@ -596,16 +596,17 @@ def page_meta(spark, sf):
         F.lit('<meta property="article:tag" content="a"><meta property="article:tag" content="b &#99;">'),
         F.lit('<meta property="article:published_time" content="2020-05-06T07:08:09Z">'),
     )
-    page = F.col("page")
-    return _pages(spark, sf).select("page_id", html.alias("page")).select(
+    page, metas = F.col("page"), F.col("metas")
+    rows = _pages(spark, sf).select("page_id", html.alias("page")).withColumn("metas", H.meta_list(page))
+    return rows.select(
         "page_id",
-        H.page_meta(page, "og:title").alias("title"),
-        H.page_meta(page, "og:description").alias("description"),
-        H.page_meta(page, "govuk:format").alias("format"),
-        H.page_meta(page, "govuk:taxon-slug").alias("taxon_slug"),
-        H.page_author(page).alias("author"),
-        H.page_tags(page).alias("tags"),
-        dates.iso_date(dates.article_date(H.page_date(page))).alias("date"),
+        H.meta_value(metas, "og:title").alias("title"),
+        H.meta_value(metas, "og:description").alias("description"),
+        H.meta_value(metas, "govuk:format").alias("format"),
+        H.meta_value(metas, "govuk:taxon-slug").alias("taxon_slug"),
+        H.page_author(metas).alias("author"),
+        H.page_tags(metas).alias("tags"),
+        dates.iso_date(dates.article_date(H.page_date(page, metas))).alias("date"),
     )
 
 
