@@ -72,60 +72,40 @@ def _with_capitals(table: dict[str, str]) -> dict[str, str]:
     return table | {k.upper(): v[:1].upper() + v[1:] for k, v in table.items() if len(k.upper()) == 1 and k.upper() != k}
 
 
-def _ascii_tables() -> tuple[dict[str, str], list[dict[str, str]]]:
-    """(one-character table, multi-character tables by script).
-
-    Accented letters follow from their Unicode decomposition; the fixed values above
-    cover the rest.
-    """
-    scripts = [LATIN_AND_SYMBOLS, _with_capitals(GREEK), _with_capitals(CYRILLIC)]
-    known = {k: v for table in scripts for k, v in table.items()}
+def _ascii_spellings() -> dict[str, str]:
+    """All known spellings: the fixed values, and accented letters by decomposition."""
+    known = LATIN_AND_SYMBOLS | _with_capitals(GREEK) | _with_capitals(CYRILLIC)
     for start, end in ((0x00C0, 0x0250), (0x0370, 0x0530), (0x1E00, 0x2000)):
-        for point in range(start, end):
-            letter = chr(point)
+        for letter in map(chr, range(start, end)):
             base = unicodedata.normalize("NFD", letter)[0]
-            if letter not in known and base != letter:
-                spelling = base if base.isascii() else known.get(base)
-                if spelling is not None:
-                    known[letter] = spelling
-    single = {k: v for k, v in known.items() if len(v) == 1}
-    latin, greek, cyrillic = {}, {}, {}
-    for k, v in known.items():
-        if len(v) > 1:
-            block = greek if "Ͱ" <= k <= "Ͽ" or "ἀ" <= k <= "῿" else cyrillic if "Ѐ" <= k <= "ԯ" else latin
-            block[k] = v
-    return single, [latin, greek, cyrillic]
-
+            spelling = base if base.isascii() else known.get(base)
+            if base != letter and spelling is not None:
+                known.setdefault(letter, spelling)
+    return known
 
-_SINGLE, _MULTI = _ascii_tables()
 
+_SPELLINGS = _ascii_spellings()
+_ONE = {k: v for k, v in _SPELLINGS.items() if len(v) == 1}
+_MORE = {k: v for k, v in _SPELLINGS.items() if len(v) > 1}
+NON_ASCII = r"[^\x00-\x7F]"
 
-def _spelled(c: Column, tables: list[dict[str, str]]) -> Column:
-    out = F.translate(c, "".join(_SINGLE), "".join(_SINGLE.values()))
-    for table in tables:
-        for letter, spelling in table.items():
-            out = F.replace(out, F.lit(letter), F.lit(spelling))
-    return F.regexp_replace(out, r"[^\x00-\x7F]", "")
 
-
-def _any_of(*tables: dict[str, str]) -> str:
-    return "[" + "".join("".join(t) for t in tables) + "]"
+def _spelling(letter: Column) -> Column:
+    longer = F.create_map(*[F.lit(x) for pair in _MORE.items() for x in pair])
+    return F.coalesce(F.try_element_at(longer, letter), F.translate(letter, "".join(_ONE), "".join(_ONE.values())))
 
 
 def decode_unicode(c: Column) -> Column:
     """ASCII transliteration; characters without a known spelling are removed.
 
-    Pure ASCII texts skip all work. Letters with one-letter spellings go through one
-    ``translate``; longer spellings need one ``replace`` each, so those chains run only
-    on texts that hold such a letter.
+    Pure ASCII texts skip all work. In other texts each *distinct* letter with a known
+    spelling is replaced once, which is far fewer passes than the table has letters.
     """
-    latin, greek, cyrillic = _MULTI
-    return (
-        F.when(~c.rlike(r"[^\x00-\x7F]"), c)
-        .when(c.rlike(_any_of(greek, cyrillic)), _spelled(c, _MULTI))
-        .when(c.rlike(_any_of(latin)), _spelled(c, [latin]))
-        .otherwise(_spelled(c, []))
-    )
+    letters = F.array_distinct(F.regexp_extract_all(c, F.lit(NON_ASCII), 0))
+    spelled = F.transform(letters, lambda a: F.struct(a.alias("letter"), _spelling(a).alias("ascii")))
+    known = F.filter(spelled, lambda s: s["letter"] != s["ascii"])
+    replaced = F.aggregate(known, c, lambda text, s: F.replace(text, s["letter"], s["ascii"]))
+    return F.when(c.rlike(NON_ASCII), F.regexp_replace(replaced, NON_ASCII, "")).otherwise(c)
 
 
 def decode_unicode_record(df: DataFrame) -> DataFrame:

@@ -8,14 +8,21 @@ from quillmill.functions.dates import iso_date, tweet_date
 from quillmill.functions.text import replace_linebreaks
 
 
+RETWEET_KEY = "retweeted_status"
+
+
 def entity_list(arr: Column, field: str) -> Column:
     """One field of every entity: hashtag texts, expanded URLs, mentioned user ids."""
     return F.transform(arr, lambda e: e[field])
 
 
 def is_retweet(raw: Column) -> Column:
-    """True when the key ``retweeted_status`` is present, even with a null value."""
-    return F.coalesce(F.array_contains(F.json_object_keys(raw), "retweeted_status"), F.lit(False))
+    """True when the key ``retweeted_status`` is present, even with a null value.
+
+    Only objects that hold the word at all are parsed for their keys.
+    """
+    mentioned = F.contains(raw, F.lit(RETWEET_KEY))
+    return F.coalesce(mentioned & F.array_contains(F.json_object_keys(raw), RETWEET_KEY), F.lit(False))
 
 
 def tweet_metadata(df: DataFrame, *keep: str) -> DataFrame:

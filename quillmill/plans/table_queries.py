@@ -330,7 +330,8 @@ def _raw_tweets(spark, sf) -> DataFrame:
     raw = F.to_json(body)
     raw = F.coalesce(F.concat(F.expr("substring(raw, 1, length(raw) - 1)"), F.col("extra")), F.col("raw"))
     joined = events.join(author, events["user_id"] == author["c_custkey"])
-    return joined.select(F.to_json(body).alias("raw"), extra.alias("extra")).select(raw.alias("raw"))
+    made = FL.extracted(joined, {"raw": F.to_json(body), "extra": extra})
+    return FL.extracted(made, {"raw": raw})
 
 
 @query
@@ -449,7 +450,7 @@ def hydrate_batches(spark, sf):
     _raw_tweets(spark, sf).write.text(archive)
     tweet_plan.split_id_table_by_day(spark, tsv, ids)
     for _ in range(2):
-        tweet_plan.hydrate_batches(spark, [ids], archive, _countries(spark, sf), out, ledger, batch=BATCH)
+        tweet_plan.hydrate_batches(spark, [ids], archive, _countries(spark, sf), out, ledger, batch=2_000)
     lines = spark.read.text(f"{out}/corpus").select("file_name", F.col("value").alias("line"), F.lit("corpus").alias("output"))
     lengths = spark.read.option("header", True).csv(f"{out}/lengths")
     lengths = lengths.select("file_name", F.concat("tweet_id", F.lit("\t"), "tweet_length").alias("line"), F.lit("lengths").alias("output"))

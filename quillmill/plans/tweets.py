@@ -14,6 +14,7 @@ from quillmill.operators.aggregates import batch_log, batch_plan, batch_totals,
 from quillmill.operators.filters import split_retweets
 from quillmill.operators.joins import date_id_files, hydrate, pending_batches
 from quillmill.operators.positions import with_batch_id, with_scan_position
+from quillmill.schemas import LEDGER
 from quillmill.sources.readers import list_files, read_id_files, read_id_tsv, read_tweets
 from quillmill.sources.sinks import (
     write_corpus,
@@ -70,9 +71,13 @@ def hydrate_batches(
     ids = with_batch_id(with_scan_position(read_id_files(spark, dirs), FILES), batch)
     plan = planned_batches(spark, dirs, ids, batch, max_batches)
     pending = durable(pending_batches(plan, read_ledger(spark, ledger), FILES), "pending")
+    if pending.isEmpty():
+        return spark.createDataFrame([], LEDGER)
     todo = ids.join(pending, list(BATCH), "left_semi").select("id", *BATCH)
 
-    found = hydrate(todo, read_tweets(spark, archive)).persist(StorageLevel.DISK_ONLY)
+    # gathered by batch, each output partition is written by one task as one file
+    found = hydrate(todo, read_tweets(spark, archive)).hint("rebalance", *[F.col(c) for c in BATCH])
+    found = found.persist(StorageLevel.DISK_ONLY)
     try:
         kept, skipped = split_retweets(found)
         lengths = kept.select(*BATCH, F.col("id_str").alias("tweet_id"), token_count(F.col("full_text")).alias("tweet_length"))

@@ -11,14 +11,12 @@ SETTINGS = {
     # one hot key may hold a third of a join side: let AQE split its partition
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # re-running a batch replaces its own partitions only
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
 def get_session(app: str = "quillmill", master: str | None = None, **extra: str) -> SparkSession:
-    """Session with UTC days, AQE with skew splitting, and dynamic overwrite.
+    """Session with UTC days and AQE with skew splitting.
 
     ``extra`` takes Spark settings with ``__`` in place of the dots. Nothing here
     sets cluster sizes or folders: those belong to ``spark-submit``.

@@ -2,33 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, functions as F
 
 from quillmill.functions.text import corpus_line, replace_linebreaks
 from quillmill.operators.aggregates import in_date_range
 
 
-def write_corpus(df: DataFrame, path: str, id: str = "id", text: str = "text", normalise: bool = True, by: tuple[str, ...] = ()) -> None:
+def _replace(df: DataFrame, by: tuple[str, ...]) -> DataFrameWriter:
+    """Writer that replaces the whole output, or with ``by`` just the written partitions."""
+    writer = df.write.mode("overwrite")
+    return writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by) if by else writer
+
+
+def write_corpus(
+    df: DataFrame, path: str, id: str = "id", text: str = "text", normalise: bool = True, by: tuple[str, ...] = ()
+) -> None:
     """One line ``id<TAB>text`` per document, replacing an earlier export.
 
     ``normalise`` gives raw texts their one-line form; pass False for texts that have it.
     """
     body = replace_linebreaks(F.col(text)) if normalise else F.col(text)
-    lines = df.select(*by, corpus_line(F.col(id), body).alias("line"))
-    lines.write.mode("overwrite").partitionBy(*by).text(path)
+    _replace(df.select(*by, corpus_line(F.col(id), body).alias("line")), by).text(path)
 
 
-def write_metadata(df: DataFrame, path: str, sort_keys: bool = True, keep_nulls: bool = True, by: tuple[str, ...] = ()) -> None:
+def write_metadata(
+    df: DataFrame, path: str, sort_keys: bool = True, keep_nulls: bool = True, by: tuple[str, ...] = ()
+) -> None:
     """One JSON record per line, keys sorted unless the column order is the contract."""
     columns = [c for c in df.columns if c not in by]
     columns = sorted(columns) if sort_keys else columns
     records = df.select(*by, *[f"`{c}`" for c in columns])
-    records.write.mode("overwrite").option("ignoreNullFields", not keep_nulls).partitionBy(*by).json(path)
+    _replace(records, by).option("ignoreNullFields", not keep_nulls).json(path)
 
 
 def write_lengths(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
     """Headered CSV ``tweet_id,tweet_length``."""
-    df.select(*by, "tweet_id", "tweet_length").write.mode("overwrite").option("header", True).partitionBy(*by).csv(path)
+    _replace(df.select(*by, "tweet_id", "tweet_length"), by).option("header", True).csv(path)
 
 
 def write_skipped_ids(df: DataFrame, path: str, by: tuple[str, ...] = (), id: str = "id_str") -> None:
@@ -37,8 +46,8 @@ def write_skipped_ids(df: DataFrame, path: str, by: tuple[str, ...] = (), id: st
     With ``by`` the batch's own partition is replaced, so a repeated run adds nothing
     twice; without it lines are appended.
     """
-    out = df.select(*by, F.col(id).cast("string").alias("line")).write.mode("overwrite" if by else "append")
-    out.partitionBy(*by).text(path)
+    lines = df.select(*by, F.col(id).cast("string").alias("line"))
+    (_replace(lines, by) if by else lines.write.mode("append")).text(path)
 
 
 def write_daily_partitions(df: DataFrame, path: str, date_range: tuple[str, str] | None = None) -> None:
