@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quillmill.functions.text import tokens_no_punct
+from quillmill.functions.text import let, tokens_no_punct
 
 # Postal abbreviations of the 50 states.
 US_STATES = (
@@ -42,31 +42,25 @@ def place_from_text(location: Column, dim: Column, states: list[str] | tuple[str
     alpha-2, ``UK`` and alpha-3 codes among the words. ``UK`` is looked for while the
     list's first country is tried, so only that country's alpha-2 code comes before it.
     """
-    words = tokens_no_punct(location)
     named = F.filter(dim, lambda c: F.contains(location, c["name"]))
     by_name = F.try_element_at(named, F.lit(-1))["name"]
-    by_state = F.when(F.arrays_overlap(words, F.array(*[F.lit(s) for s in states])), F.lit(UNITED_STATES))
-    ranked = F.concat(
-        F.transform(
-            F.filter(dim, lambda c: F.array_contains(words, c["alpha2"])),
-            lambda c: F.struct((c["ord"] * 3).cast("bigint").alias("rank"), c["name"].alias("name")),
-        ),
-        F.transform(
-            F.filter(dim, lambda c: F.array_contains(words, c["alpha3"])),
-            lambda c: F.struct((c["ord"] * 3 + 2).cast("bigint").alias("rank"), c["name"].alias("name")),
-        ),
-        F.when(
-            F.array_contains(words, UK) & (F.size(dim) > 0),
-            F.array(
-                F.struct(
-                    (F.element_at(dim, 1)["ord"] * 3 + 1).cast("bigint").alias("rank"),
-                    F.lit(UNITED_KINGDOM).alias("name"),
-                )
-            ),
-        ).otherwise(F.array().cast("array<struct<rank:bigint,name:string>>")),
-    )
-    by_code = F.array_min(ranked)["name"]
-    return F.when(F.length(location) > 0, F.coalesce(by_name, by_state, by_code))
+
+    def coded(words: Column, field: str, step: int) -> Column:
+        hits = F.filter(dim, lambda c: F.array_contains(words, c[field]))
+        return F.transform(hits, lambda c: _ranked(c, step, c["name"]))
+
+    def by_word(words: Column) -> Column:
+        by_state = F.when(F.arrays_overlap(words, F.array(*[F.lit(s) for s in states])), F.lit(UNITED_STATES))
+        uk = F.array(_ranked(F.try_element_at(dim, F.lit(1)), 1, F.lit(UNITED_KINGDOM)))
+        any_uk = F.when(F.array_contains(words, UK) & (F.size(dim) > 0), uk).otherwise(F.slice(uk, 1, 0))
+        by_code = F.array_min(F.concat(coded(words, "alpha2", 0), any_uk, coded(words, "alpha3", 2)))["name"]
+        return F.coalesce(by_state, by_code)
+
+    return F.when(F.length(location) > 0, F.coalesce(by_name, let(tokens_no_punct(location), by_word)))
+
+
+def _ranked(country: Column, step: int, name: Column) -> Column:
+    return F.struct((country["ord"] * 3 + step).cast("bigint").alias("rank"), name.alias("name"))
 
 
 def tweet_location(df: DataFrame, countries: DataFrame, states=tuple(US_STATES), name: str = "location") -> DataFrame:

@@ -35,22 +35,21 @@ def join_paper_metadata(
         ).alias("p")
     ).scalar()
 
-    def substrings(item, n):
+    lengths, item = F.col("_p")["lengths"], F.col("_item")
+
+    def substrings(n):
         starts = F.sequence(F.lit(1), F.length(item) - n + 1)
         return F.transform(starts, lambda i: F.substring(item, i, n))
 
-    def of_known_lengths(item):
-        fitting = F.filter(F.col("_p")["lengths"], lambda n: n <= F.length(item))
-        return F.flatten(F.transform(fitting, lambda n: substrings(item, n)))
-
-    items = F.when(F.col("_p")["whole"], F.array(sha)).otherwise(F.split(sha, _SEPARATOR + "+"))
-    grams = F.array_distinct(F.flatten(F.transform(F.col("_items"), of_known_lengths)))
-    candidates = (
-        meta.where(F.col(sha).isNotNull())
-        .withColumn("_p", profile)
-        .withColumn("_items", items)
-        .select(F.explode(grams).alias("_id"), F.struct(*order).alias("_order"), F.struct(*fields).alias("_fields"))
+    fitting = F.filter(lengths, lambda n: n <= F.length(item))
+    # the usual case: all ids have the length of the listed item
+    grams = F.when(lengths == F.array(F.length(item)), F.array(item)).otherwise(
+        F.array_distinct(F.flatten(F.transform(fitting, substrings)))
     )
+    items = F.when(F.col("_p")["whole"], F.array(sha)).otherwise(F.split(sha, _SEPARATOR + "+"))
+    ranked = meta.where(F.col(sha).isNotNull()).withColumn("_p", profile)
+    listed = ranked.select("_p", F.explode(items).alias("_item"), F.struct(*order).alias("_order"), F.struct(*fields).alias("_fields"))
+    candidates = listed.select(F.explode(grams).alias("_id"), "_order", "_fields")
     first = candidates.groupBy("_id").agg(F.min_by("_fields", "_order").alias("_fields"))
     joined = papers.join(first, papers[id] == first["_id"], "left")
     return joined.select(*[papers[c] for c in papers.columns], *[F.col("_fields")[f].alias(f) for f in fields])
