@@ -25,8 +25,18 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the checkpoint folder."""
-    return f"{checkpoint_folder(spark)}/quillmill/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in this application's part of the checkpoint folder.
+
+    That part is deleted when the application ends.
+    """
+    context = spark.sparkContext
+    root = f"{checkpoint_folder(spark)}/quillmill/{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -16,7 +16,7 @@ from quillmill.functions.text import drop_lines, let, strip
 
 # Named entities decoded by ``unescape``; ``&amp;`` must come last.
 ENTITIES = {
-    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&middot;": "·",
+    "&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&middot;": "·",
     "&copy;": "©", "&reg;": "®", "&trade;": "™", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—",
     "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”", "&laquo;": "«", "&raquo;": "»",
     "&bull;": "•", "&pound;": "£", "&euro;": "€", "&deg;": "°", "&eacute;": "é", "&egrave;": "è",

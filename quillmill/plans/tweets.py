@@ -15,7 +15,7 @@ from quillmill.operators.filters import split_retweets
 from quillmill.operators.joins import date_id_files, hydrate, pending_batches
 from quillmill.operators.positions import with_batch_id, with_scan_position
 from quillmill.schemas import LEDGER
-from quillmill.sources.readers import list_files, read_id_files, read_id_tsv, read_tweets
+from quillmill.sources.readers import read_id_files, read_id_tsv, read_tweets
 from quillmill.sources.sinks import (
     write_corpus,
     write_daily_partitions,
@@ -43,12 +43,9 @@ def id_file_dates(spark: SparkSession, dirs: list[str], archive: str, probe_rows
     return date_id_files(ids, read_tweets(spark, archive), probe_rows)
 
 
-def planned_batches(spark: SparkSession, dirs: list[str], ids: DataFrame, batch: int, max_batches: int | None) -> DataFrame:
-    """Every ``(dataset, file, batch)``; empty files have none."""
-    counted = batch_totals(ids, batch, FILES)
-    files = list_files(spark, dirs).select(*FILES).distinct()
-    totals = files.join(counted, list(FILES), "left").na.fill(0, ["n_rows", "total_batches"])
-    return batch_plan(totals, max_batches, FILES)
+def planned_batches(ids: DataFrame, batch: int = BATCH_SIZE, max_batches: int | None = None) -> DataFrame:
+    """Every ``(dataset, file, batch)``; files without ids have none."""
+    return batch_plan(batch_totals(ids, batch, FILES), max_batches, FILES)
 
 
 def hydrate_batches(
@@ -69,7 +66,7 @@ def hydrate_batches(
     simply run again.
     """
     ids = with_batch_id(with_scan_position(read_id_files(spark, dirs), FILES), batch)
-    plan = planned_batches(spark, dirs, ids, batch, max_batches)
+    plan = planned_batches(ids, batch, max_batches)
     pending = durable(pending_batches(plan, read_ledger(spark, ledger), FILES), "pending")
     if pending.isEmpty():
         return spark.createDataFrame([], LEDGER)

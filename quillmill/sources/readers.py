@@ -63,7 +63,7 @@ def read_id_tsv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, dirs: list[str]) -> DataFrame:
-    """Path and length of every file below ``dirs``; contents are not read."""
+    """Path and length of every non-empty file below ``dirs``; contents are not read."""
     files = spark.read.format("binaryFile").load(dirs).select(F.col("path").alias("file_path"), "length")
     return files.select("*", *_file_key(F.col("file_path")))
 

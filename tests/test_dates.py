@@ -1,0 +1,43 @@
+import datetime
+
+from pyspark.sql import functions as F
+
+from quillmill.functions import dates
+
+
+def test_week_end_over_the_year(spark):
+    df = spark.range(-8, 56).select(F.col("id").cast("int").alias("w"))
+    got = {r.w: r.d for r in df.select("w", dates.iso_date(dates.week_end_date(F.col("w"))).alias("d")).collect()}
+    for week, day in got.items():
+        if not -4 <= week <= 49:
+            assert day is None
+            continue
+        monday = datetime.datetime.strptime(f"2020-{week + 4}-1", "%Y-%W-%w").date()
+        assert day == str(monday + datetime.timedelta(days=6))
+
+
+def test_tweet_date_uses_the_stamps_own_offset(values):
+    stamps = ["Sun Mar 01 23:59:59 +0000 2020", "Sun Mar 01 00:30:00 +0500 2020", "garbage", None]
+    got = values(lambda c: dates.iso_date(dates.tweet_date(c)), stamps)
+    assert got == ["2020-03-01", "2020-03-01", None, None]
+
+
+def test_article_dates(values):
+    spelled = {
+        "2020-04-05": "2020-04-05",
+        "2020-04-05T10:11:12Z": "2020-04-05",
+        "2020-04-05T23:11:12+05:00": "2020-04-05",
+        "2020-04-05 10:11": "2020-04-05",
+        "5 April 2020": "2020-04-05",
+        "5 Apr 2020": "2020-04-05",
+        "Sunday, April 5, 2020": "2020-04-05",
+        "Sun, 5 Apr 2020 10:00:00 GMT": "2020-04-05",
+        "April 5th, 2020": "2020-04-05",
+        "2020/4/5": "2020-04-05",
+        "5.4.2020": "2020-04-05",
+        "4/5/2020": "2020-04-05",
+        "soon": None,
+        "": None,
+    }
+    assert values(lambda c: dates.iso_date(dates.article_date(c)), spelled) == list(spelled.values())
+    assert values(lambda c: dates.iso_date(dates.article_date(c)), [None]) == [None]
