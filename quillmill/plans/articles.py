@@ -16,7 +16,7 @@ from quillmill.operators.records import drop_empty_fields, post_record
 from quillmill.operators.sets import dedup_links
 from quillmill.schemas import JSON_LD, SOURCES
 from quillmill.sources.sinks import write_corpus, write_metadata, write_sample_texts
-from quillmill.sources.store import append_posts, read_posts
+from quillmill.sources.store import append_posts, read_posts, unseen
 
 
 @dataclass(frozen=True)
@@ -187,12 +187,14 @@ def scrape_articles(
 ) -> DataFrame:
     """Index pages and article pages to new posts in the store; returns the rejects.
 
-    A URL listed several times is looked up once, under its first index.
+    A URL listed several times is looked up once, under its first index; a stored one is
+    not looked up again.
     """
     links = article_frontier(index_pages, source, limit)
     once = links.groupBy("url").agg(F.min("id_custom").alias("id_custom"))
-    posts, rejected = article_record(once.join(article_pages.select("url", "html"), "url"), source)
-    append_posts(posts, store)
+    pages = unseen(once, store).join(article_pages.select("url", "html"), "url")
+    posts, rejected = article_record(pages, source)
+    append_posts(posts, store, all_unseen=True)
     return rejected
 
 

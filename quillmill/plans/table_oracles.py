@@ -164,6 +164,12 @@ WITH {_IDS}, done AS (SELECT DISTINCT CASE WHEN toxic = 1 THEN 'view' ELSE 'clic
 SELECT file_name, batch_id FROM plan ANTI JOIN done USING (file_name, batch_id)"""
 ORACLES["batch_log"] = f"""
 WITH {_IDS} SELECT file_name, batch_id, count(*) FILTER (value < 2) AS num_tweets_saved FROM b GROUP BY ALL"""
+ORACLES["id_column"] = "SELECT o_custkey AS id FROM orders"
+ORACLES["file_order"] = """
+WITH f AS (SELECT DISTINCT 'ids/' || lang || '/' || source || '.csv' AS file_path FROM documents)
+SELECT file_path, row_number() OVER (ORDER BY file_path) AS rank FROM f"""
+ORACLES["file_union"] = """
+SELECT doc_id AS row_id, text, 0 AS dir_ord FROM documents UNION ALL SELECT item_id, text, 1 FROM benchmark"""
 ORACLES["processing_order"] = f"""
 WITH {_IDS} SELECT file_name, batch_id, row_number() OVER (ORDER BY batch_id, file_name) AS step FROM plan WHERE batch_id < 10"""
 ORACLES["head_per_file"] = f"WITH {_IDS} SELECT file_name, id, CAST(pos AS INTEGER) AS pos FROM i WHERE pos < 100"

@@ -16,7 +16,7 @@ from quillmill.functions import dates, html as H, papers as P, text as X
 from quillmill.functions.location import tweet_location
 from quillmill.functions.tweets import tweet_metadata
 from quillmill.operators import aggregates as A, filters as FL, joins as J, limits as L, positions as W, records as R
-from quillmill.operators.sets import concat_labelled, dedup_links
+from quillmill.operators.sets import concat_labelled, dedup_links, union_files
 from quillmill.plans import articles, posts as post_plan, tweets as tweet_plan
 from quillmill.plans.papers import META_FIELDS
 from quillmill.schemas import JSON_LD
@@ -415,6 +415,24 @@ def batch_log(spark, sf):
     return A.batch_log(plan, kept)
 
 
+@query
+def id_column(spark, sf):
+    return table(spark, sf, "orders").select(F.col("o_custkey").alias("id"))
+
+
+@query
+def file_order(spark, sf):
+    path = F.concat(F.lit("ids/"), "lang", F.lit("/"), "source", F.lit(".csv")).alias("file_path")
+    files = L.sort_files(_documents(spark, sf).select(path).distinct())
+    return W.number_rows(files, ["file_path"], name="rank", start=1)
+
+
+@query
+def file_union(spark, sf):
+    docs = _documents(spark, sf).select(F.col("doc_id").alias("row_id"), "text")
+    return union_files(docs, table(spark, sf, "benchmark").select(F.col("item_id").alias("row_id"), "text"))
+
+
 @query
 def processing_order(spark, sf):
     plan = A.batch_plan(A.batch_totals(_id_rows(spark, sf), BATCH))

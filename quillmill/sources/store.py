@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.operators.filters import by_source
-from quillmill.operators.joins import new_only
+from quillmill.operators.joins import first_per_key, new_only
 from quillmill.schemas import LEDGER, POSTS, REQUIRED_POST_FIELDS, SOURCES
 
 
@@ -44,14 +44,20 @@ def as_posts(df: DataFrame) -> DataFrame:
     return df.select(*[column(f) for f in POSTS.fields])
 
 
-def append_posts(df: DataFrame, path: str, order: tuple[str, ...] = ("id_custom",)) -> None:
+def unseen(df: DataFrame, path: str, key: str = "url") -> DataFrame:
+    """Rows whose URL is not stored yet. Cheap on raw pages, so it runs before extraction."""
+    return df.join(read_posts(df.sparkSession, path).select(key), key, "left_anti")
+
+
+def append_posts(df: DataFrame, path: str, order: tuple[str, ...] = ("id_custom",), all_unseen: bool = False) -> None:
     """Save posts whose URL is new; of repeats in the input the first along ``order``.
 
-    A source with a large share of the rows is split over several files.
+    ``all_unseen`` says that stored URLs were dropped before. A source with a large share
+    of the rows is split over several files.
     """
     spark = df.sparkSession
-    fresh = as_posts(new_only(df, read_posts(spark, path), list(order)))
-    fresh.hint("rebalance", F.col("source")).write.mode("append").partitionBy("source").parquet(path)
+    new = first_per_key(df, "url", list(order)) if all_unseen else new_only(df, read_posts(spark, path), list(order))
+    as_posts(new).hint("rebalance", F.col("source")).write.mode("append").partitionBy("source").parquet(path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:

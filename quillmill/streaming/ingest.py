@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.plans.articles import article_record
 from quillmill.schemas import PAGES
-from quillmill.sources.store import append_posts
+from quillmill.sources.store import append_posts, unseen
 
 
 def source_posts(source: str) -> Callable[[DataFrame], DataFrame]:
@@ -32,7 +32,7 @@ def ingest_stream(
     """
 
     def ingest(pages: DataFrame, _batch_id: int) -> None:
-        append_posts(extract(pages), store)
+        append_posts(extract(unseen(pages, store)), store, all_unseen=True)
 
     reader = spark.readStream.schema(PAGES)
     if files_per_batch:
