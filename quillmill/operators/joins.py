@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from quillmill.durable import durable
 from quillmill.functions.dates import iso_date, tweet_date
 from quillmill.operators.limits import head_per_file
 
@@ -55,15 +56,37 @@ def join_paper_metadata(
     return joined.select(*[papers[c] for c in papers.columns], *[F.col("_fields")[f].alias(f) for f in fields])
 
 
-def hydrate(ids: DataFrame, tweets: DataFrame, distinct: bool = False, id: str = "id") -> DataFrame:
+# An id listed more often than this is looked up by several tasks.
+ROWS_PER_TASK = 500_000
+
+
+def hydrate(
+    ids: DataFrame, tweets: DataFrame, distinct: bool = False, id: str = "id", rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Ids with their tweet objects; ids without an object vanish.
 
-    Repeated ids give repeated rows unless ``distinct``. No side is forced to be
-    broadcast: Spark decides by measured size and splits a hot id's partition.
+    Repeated ids give repeated rows unless ``distinct``. Id rows are narrow, so a hot id
+    looks small to the size-based skew split although each of its rows gets a whole
+    tweet. Hot ids are therefore counted first, and only theirs are salted: the id rows
+    over as many parts as needed, the one tweet copied to each part. The partition number
+    is then given, as merging partitions by their small size would undo the salting.
     """
     if distinct:
-        ids = ids.dropDuplicates([id])
-    return ids.join(tweets, id, "inner")
+        return ids.dropDuplicates([id]).join(tweets, id)
+    counts = ids.groupBy(id).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task)
+    hot = durable(counts.select(id, F.ceil(F.col("_n") / F.lit(rows_per_task)).alias("_parts")), "hot")
+    parts = hot.agg(F.sum("_parts")).first()[0]
+    if not parts:
+        return ids.join(tweets, id)
+    others = [c for c in ids.columns if c != id]
+    spread = F.xxhash64(*others) if others else F.monotonically_increasing_id()
+    salt = F.when(F.col("_parts").isNotNull(), F.pmod(spread, F.col("_parts"))).otherwise(0).cast("int")
+    salts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)).cast("int") - 1)
+    left = ids.join(hot, id, "left").withColumn("_salt", salt).drop("_parts")
+    partitions = max(parts, int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    left = left.repartition(partitions, id, "_salt")
+    right = tweets.join(hot, id, "left").withColumn("_salt", F.explode(salts)).drop("_parts")
+    return left.join(right, [id, "_salt"]).drop("_salt")
 
 
 def first_per_key(df: DataFrame, key: str, order: list) -> DataFrame:

@@ -80,9 +80,11 @@ def with_scan_position(
     return number_chunks(durable(scanned.drop("block_start"), "scanned"), list(files), name)
 
 
-def with_sequence(df: DataFrame, order: list, fmt: str = "%06d", name: str = "id") -> DataFrame:
-    """Formatted ids 1..N along ``order``, e.g. ``reddit_000001``."""
+def with_sequence(df: DataFrame, order: list, fmt: str = "%06d", name: str = "id", limit: int | None = None) -> DataFrame:
+    """Formatted ids 1..N along ``order``, e.g. ``reddit_000001``; the first ``limit`` only."""
     numbered = number_rows(df, order, name="_number", start=1)
+    if limit:
+        numbered = numbered.where(F.col("_number") <= limit)
     return numbered.select(F.format_string(fmt, F.col("_number")).alias(name), *[f"`{c}`" for c in df.columns])
 
 

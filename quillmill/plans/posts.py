@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.functions.dates import iso_date, week_end_date
 from quillmill.operators.filters import drop_containing_any
-from quillmill.operators.limits import take_first
 from quillmill.operators.positions import with_sequence
 from quillmill.operators.records import labelled_post_record
 from quillmill.sources.readers import read_posts_csv
@@ -23,9 +22,7 @@ def labelled_posts(posts: DataFrame, order: list[str], limit: int | None = None)
     columns are dropped.
     """
     valid = drop_containing_any(posts, "post").withColumn("week", iso_date(week_end_date(F.col("week"))))
-    numbered = with_sequence(valid, order, ID_FORMAT)
-    first = take_first(numbered, limit, order)
-    return labelled_post_record(first.drop(*order))
+    return labelled_post_record(with_sequence(valid, order, ID_FORMAT, limit=limit).drop(*order))
 
 
 def process_posts(spark: SparkSession, paths: dict[str, str], out: str, limit: int | None = None, normalise: bool = True) -> None:

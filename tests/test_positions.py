@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillmill.durable import checkpoint_folder, durable
-from quillmill.operators import limits as L, positions as W, sets as S
+from quillmill.operators import joins as J, limits as L, positions as W, sets as S
+from quillmill.sources.sinks import write_daily_partitions
 
 
 def plan_of(df):
@@ -117,3 +118,52 @@ def test_scratch_tables_lie_in_the_sessions_checkpoint_folder(spark):
     assert checkpoint_folder(spark) == named.rstrip("/")
     kept = durable(spark.range(3), "t")
     assert checkpoint_folder(spark) in kept.inputFiles()[0] and kept.count() == 3
+
+
+@pytest.fixture()
+def small_partitions(spark):
+    """Settings under which small test data counts as large."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hot_id_is_looked_up_by_several_tasks(spark, small_partitions):
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    third = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))
+    ids = spark.range(0, 60_000, numPartitions=8).select(third.alias("id"), F.col("id").alias("row"))
+    archive = spark.range(60_000).select("id", F.md5(F.col("id").cast("string")).alias("tweet"))
+    want = ids.join(archive, "id")
+    for rows in (ids, ids.select("id")):
+        found = J.hydrate(rows, archive, rows_per_task=2_000)
+        per_task = found.groupBy(F.spark_partition_id().alias("p")).agg(F.count_if(F.col("id") == 7).alias("hot")).collect()
+        assert sum(r.hot > 0 for r in per_task) > 3 and sum(r.hot for r in per_task) == 20_001
+    assert J.hydrate(ids, archive, rows_per_task=2_000).exceptAll(want).isEmpty()
+    assert J.hydrate(ids, archive, rows_per_task=2_000).count() == want.count()
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+
+
+def test_a_hot_day_is_split_over_files(spark, small_partitions, tmp_path):
+    day = F.when(F.col("id") % 3 > 0, F.lit("2020-03-01")).otherwise(F.lit("2020-03-02")).cast("date")
+    rows = spark.range(0, 60_000, numPartitions=8).select("id", F.md5(F.col("id").cast("string")).alias("x"), day.alias("date"))
+    write_daily_partitions(rows, str(tmp_path / "days"))
+    assert len(list((tmp_path / "days/date=2020-03-01").glob("*.csv"))) > 1
+    assert spark.read.option("header", True).csv(str(tmp_path / "days")).count() == 60_000
+
+
+def test_copies_of_one_url_reach_the_shuffle_as_one_row_per_task(spark, small_partitions):
+    hot = F.when(F.col("id") % 3 > 0, F.lit("u")).otherwise(F.col("id").cast("string"))
+    posts = spark.range(0, 30_000, numPartitions=4).select(hot.alias("url"), F.col("id").alias("n"))
+    first = J.first_per_key(posts, "url", ["n"])
+    assert first.count() == 10_001 and first.where("url = 'u'").first().n == 1
