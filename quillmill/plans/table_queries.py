@@ -175,7 +175,7 @@ def _paper_rows(spark, sf) -> DataFrame:
         ),
     )
     abstract = F.when(F.size(lines) > 1, _paragraphs(F.slice(lines, 2, 1)))
-    body = _paragraphs(F.when(F.size(lines) > 2, F.slice(lines, 3, 1_000_000_000)).otherwise(F.array().cast("array<string>")))
+    body = _paragraphs(F.slice(lines, F.lit(3), F.size(lines)))
     return _documents(spark, sf).select(
         F.format_string("%06d", "doc_id").alias("paper_id"),
         F.struct(lines[0].alias("title"), authors.alias("authors")).alias("metadata"),
@@ -251,7 +251,7 @@ def labelled_posts(spark, sf):
     for label, kind in (("female", F.col("lang") == "en"), ("male", F.col("lang") != "en")):
         rows = _documents(spark, sf).where(kind).select(
             (F.col("n_chars") % 50).cast("int").alias("week"),
-            F.concat("text", F.when(F.col("n_chars") % 7 == 0, F.lit(" (#start_removal)")).otherwise(F.lit(""))).alias("post"),
+            F.concat("text", F.when(F.col("source") == "src3", F.lit(" (#start_removal)")).otherwise(F.lit(""))).alias("post"),
             (F.col("n_chars") / 8).alias("V"),
             (F.col("n_chars") / 16).alias("std(V)"),
             "doc_id",
