@@ -73,7 +73,11 @@ def _with_capitals(table: dict[str, str]) -> dict[str, str]:
 
 
 def _ascii_spellings() -> dict[str, str]:
-    """All known spellings: the fixed values, and accented letters by decomposition."""
+    """All known spellings: the fixed values, and what Unicode decomposition gives.
+
+    Accented letters take their base letter's spelling; ligatures, full-width forms,
+    raised, circled and Roman numbers take their compatibility form when that is ASCII.
+    """
     known = LATIN_AND_SYMBOLS | _with_capitals(GREEK) | _with_capitals(CYRILLIC)
     for start, end in ((0x00C0, 0x0250), (0x0370, 0x0530), (0x1E00, 0x2000)):
         for letter in map(chr, range(start, end)):
@@ -81,6 +85,11 @@ def _ascii_spellings() -> dict[str, str]:
             spelling = base if base.isascii() else known.get(base)
             if base != letter and spelling is not None:
                 known.setdefault(letter, spelling)
+    for start, end in ((0x2070, 0x2190), (0x2460, 0x2500), (0xFB00, 0xFB07), (0xFF01, 0xFF5F)):
+        for letter in map(chr, range(start, end)):
+            spelling = unicodedata.normalize("NFKD", letter).replace("⁄", "/")
+            if spelling.isascii():
+                known.setdefault(letter, spelling)
     return known
 
 

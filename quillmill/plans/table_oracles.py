@@ -108,7 +108,7 @@ WITH a AS (SELECT *, CASE WHEN lang = 'en' THEN 'female' ELSE 'male' END AS gend
            FROM documents WHERE source <> 'src3' AND NOT contains(text, '(#start_removal)'))
 SELECT printf('reddit_%06d', row_number() OVER (ORDER BY gender, doc_id)) AS id,
        CASE WHEN week <= 49 THEN strftime(DATE '2020-02-09' + 7 * (week - 1), '%Y-%m-%d') END AS publication_date,
-       {_line('text')} AS line, n_chars / 8 AS valance, n_chars / 16 AS std_valance, CAST(doc_id AS VARCHAR) AS doc_id, gender
+       {_line('text')} AS line, n_chars / 8 AS valance, n_chars / 16 AS std_valance, doc_id, gender
 FROM a"""
 
 _CUSTOMERS = """

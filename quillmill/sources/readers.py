@@ -40,9 +40,42 @@ def read_paper_metadata(spark: SparkSession, root: str, multi_line: bool = True)
     return _csv(spark, f"{root}/metadata.csv", multi_line).select(*PAPER_METADATA_FIELDS, "file_path", "row_ord")
 
 
-def read_posts_csv(spark: SparkSession, paths: dict[str, str], label: str = "gender", multi_line: bool = True) -> DataFrame:
-    """Labelled post CSVs one after the other; further columns pass through as text.
+def column_types(df: DataFrame, columns: list[str]) -> dict[str, str]:
+    """``bigint``, ``double``, ``boolean`` or ``string`` for each text column.
 
+    One aggregate over all columns: the narrowest type that every value fits. Whole
+    numbers with missing values count as ``double``.
+    """
+    if not columns:
+        return {}
+
+    def fits(c: str, kind: str, nulls: bool = True):
+        value = F.col(f"`{c}`")
+        ok = value.try_cast(kind).isNotNull() | (value.isNull() if nulls else F.lit(False))
+        return F.coalesce(F.bool_and(ok), F.lit(False))
+
+    def choice(c: str):
+        known = F.count(f"`{c}`") > 0
+        return (
+            F.when(known & fits(c, "bigint", nulls=False), "bigint")
+            .when(known & fits(c, "double"), "double")
+            .when(known & F.bool_and(F.lower(f"`{c}`").isin("true", "false")), "boolean")
+            .otherwise("string")
+        )
+
+    return dict(zip(columns, df.agg(*[choice(c).alias(f"_{i}") for i, c in enumerate(columns)]).first()))
+
+
+def read_posts_csv(
+    spark: SparkSession,
+    paths: dict[str, str],
+    label: str = "gender",
+    multi_line: bool = True,
+    types: dict[str, str] | None = None,
+) -> DataFrame:
+    """Labelled post CSVs one after the other; further columns pass through.
+
+    Their types are found in one pass over the files unless ``types`` names them.
     ``(label_ord, file_path, row_ord)`` is the row order.
     """
 
@@ -51,10 +84,13 @@ def read_posts_csv(spark: SparkSession, paths: dict[str, str], label: str = "gen
         missing = set(LABELLED_POST_FIELDS) - set(rows.columns)
         if missing:
             raise ValueError(f"{path} lacks columns {sorted(missing)}")
-        types = {c: F.col(f"`{c}`").cast(t) for c, t in LABELLED_POST_FIELDS.items()}
-        return rows.withColumns(types)
+        return rows
 
-    return concat_labelled({name: frame(path) for name, path in paths.items()}, label)
+    rows = concat_labelled({name: frame(path) for name, path in paths.items()}, label)
+    own = {*LABELLED_POST_FIELDS, label, "label_ord", "file_path", "row_ord"}
+    found = column_types(rows, [c for c in rows.columns if c not in own]) if types is None else types
+    kinds = LABELLED_POST_FIELDS | {c: t for c, t in found.items() if t != "string"}
+    return rows.withColumns({c: F.col(f"`{c}`").cast(t) for c, t in kinds.items()})
 
 
 def read_id_tsv(spark: SparkSession, path: str) -> DataFrame:

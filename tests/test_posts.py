@@ -25,6 +25,15 @@ def test_reader_keeps_order_labels_and_extra_columns(spark, paths):
     assert rows[0].post == 'line one\nline "two"' and rows[2]["std(V)"] is None
 
 
+def test_types_of_further_columns(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("week,post,V,std(V),i,gap,d,b,s,none\n1,a,1,1,5,5,1.5,True,2020-01-01,\n2,b,1,1,-6,,2,false,x,\n")
+    rows = read_posts_csv(spark, {"f": str(tmp_path / "x.csv")})
+    kinds = dict(rows.dtypes)
+    assert [kinds[c] for c in ("week", "V", "i", "gap", "d", "b", "s", "none")] == ["int", "double", "bigint", "double", "double", "boolean", "string", "string"]
+    told = read_posts_csv(spark, {"f": str(tmp_path / "x.csv")}, types={"i": "string", "d": "float"})
+    assert dict(told.dtypes)["i"] == "string" and dict(told.dtypes)["d"] == "float" and dict(told.dtypes)["b"] == "string"
+
+
 def test_reader_checks_required_columns(spark, tmp_path):
     (tmp_path / "x.csv").write_text("week,post\n1,a\n")
     with pytest.raises(ValueError, match="lacks columns"):

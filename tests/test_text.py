@@ -26,9 +26,9 @@ def test_linebreaks_match_literal_replacement(values):
 def test_transliteration(values):
     got = values(
         X.decode_unicode,
-        ["plain", "Straße — “Zoë”", "ÀÉÎÕÜ çñ Œuvre Łódź", "Ελλάδα", "Щука Юг", "5 € … ½", "汉x字", "á", None, ""],
+        ["plain", "Straße — “Zoë”", "ÀÉÎÕÜ çñ Œuvre Łódź", "Ελλάδα", "Щука Юг", "5 € … ½ ⅓ ﬁ Ａ① Ⅳ ²", "汉x字", "á", None, ""],
     )
-    assert got == ["plain", 'Strasse -- "Zoe"', "AEIOU cn OEuvre Lodz", "Ellada", "Shchuka Iug", "5 EUR ... 1/2", "x", "a", None, ""]
+    assert got == ["plain", 'Strasse -- "Zoe"', "AEIOU cn OEuvre Lodz", "Ellada", "Shchuka Iug", "5 EUR ... 1/2 1/3 fi A1 IV 2", "x", "a", None, ""]
 
 
 def test_transliteration_is_ascii_for_all_table_letters(values):
