@@ -6,17 +6,30 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillmill.operators.positions import number_rows
 
-# A sort with limit ends in one task; longer prefixes are cut by row number instead.
-ONE_TASK_ROWS = 100_000
+# A sort with limit ends in one task: short results go through it whole, longer ones as
+# keys only, and very long ones not at all.
+ONE_TASK_ROWS = 10_000
+ONE_TASK_KEYS = 1_000_000
 
 
 def take_first(df: DataFrame, n: int | None, order: list) -> DataFrame:
-    """First ``min(n, total)`` rows along ``order``; all rows when ``n`` is None or 0."""
+    """First ``min(n, total)`` rows along ``order``; all rows when ``n`` is None or 0.
+
+    For a long result only the last key is looked for, on the order columns alone; the
+    rows themselves are filtered where they lie. ``order`` must then be unique.
+    """
     if not n:
         return df
     if n <= ONE_TASK_ROWS:
         return df.orderBy(*order).limit(n)
-    return number_rows(df, order, name="_row").where(F.col("_row") < n).drop("_row")
+    columns = [F.col(o) if isinstance(o, str) else o for o in order]
+    key = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(columns)])
+    keys = df.select(key.alias("_key"))
+    if n <= ONE_TASK_KEYS:
+        first = keys.orderBy("_key").limit(n)
+    else:
+        first = number_rows(keys, ["_key"], name="_row").where(F.col("_row") < n)
+    return df.where(key <= first.agg(F.max("_key").alias("last")).scalar())
 
 
 def sample_key(id: Column, seed: int | str) -> Column:

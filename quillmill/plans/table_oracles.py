@@ -271,6 +271,7 @@ SELECT 'sun' AS source, url, CAST(page_id AS INTEGER) AS id_custom, {_TITLE} AS
 ORACLES["written_corpus"] = f"SELECT doc_id || chr(9) || {_line('text')} AS line FROM documents"
 ORACLES["written_metadata"] = """
 SELECT doc_id, lang, n_chars, quality, source, toxic FROM documents LEFT JOIN labels USING (doc_id)"""
+ORACLES["written_samples"] = "SELECT doc_id, text FROM documents ORDER BY md5('3' || doc_id), doc_id LIMIT 60"
 ORACLES["written_days"] = """
 SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n, min(event_id) AS first_id FROM events
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-20' GROUP BY 1"""

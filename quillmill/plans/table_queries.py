@@ -700,6 +700,15 @@ def written_metadata(spark, sf):
     return spark.read.schema("doc_id bigint, lang string, n_chars bigint, quality int, source string, toxic int").json(path)
 
 
+@query
+def written_samples(spark, sf):
+    """A sample written as one text file per document and read back."""
+    path = scratch_path(spark, "samples")
+    sinks.write_sample_texts(L.sample_exact(_documents(spark, sf), "doc_id", 60, seed=3), path, "doc_id")
+    back = spark.read.text(path, wholetext=True)
+    return back.select(F.col("id").cast("bigint").alias("doc_id"), F.regexp_replace("value", r"\n\z", "").alias("text"))
+
+
 @query
 def written_days(spark, sf):
     """Daily partitions written and counted from the files."""

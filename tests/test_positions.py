@@ -74,12 +74,18 @@ def test_take_first(spark):
     assert "TakeOrderedAndProject" in plan_of(L.take_first(df, 3, ["k"]))
 
 
-def test_long_prefixes_are_cut_by_row_number(spark, monkeypatch):
+@pytest.mark.parametrize("one_task_keys", [1_000, 5])
+def test_long_prefixes_are_cut_by_their_last_key(spark, monkeypatch, one_task_keys):
     monkeypatch.setattr(L, "ONE_TASK_ROWS", 5)
-    df = spark.range(100).select((99 - F.col("id")).alias("k"))
-    cut = L.take_first(df, 60, ["k"])
-    assert sorted(r.k for r in cut.collect()) == list(range(60)) and cut.columns == ["k"]
-    assert "Limit" not in plan_of(cut)
+    monkeypatch.setattr(L, "ONE_TASK_KEYS", one_task_keys)
+    rows = [(i % 7, None if i == 3 else i, "wide" * 10) for i in range(100)]
+    df = spark.createDataFrame(rows, "a int, b int, text string").repartition(5)
+    by_key = sorted(rows, key=lambda r: (r[0], -1 if r[1] is None else r[1]))
+    for n in (6, 60, 100, 500):
+        cut = L.take_first(df, n, ["a", "b"])
+        assert sorted(map(repr, map(tuple, cut.collect()))) == sorted(map(repr, by_key[:n]))
+    assert L.take_first(df.where("a > 9"), 60, ["a", "b"]).count() == 0
+    assert L.sample_exact(df.withColumn("id", F.col("a") * 100 + F.coalesce("b", F.lit(0))), "id", 30, 1).count() == 30
 
 
 def test_sample_is_exact_and_reproducible(spark):
