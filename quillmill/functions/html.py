@@ -7,6 +7,7 @@ no nesting is a built-in regular expression; the two selectors that do need nest
 
 from __future__ import annotations
 
+from collections import Counter
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -14,17 +15,17 @@ from pyspark.sql import Column, functions as F, types as T
 
 from quillmill.functions.text import drop_lines, let, strip
 
-# Named entities decoded by ``unescape``; ``&amp;`` must come last.
+# Named entities that ``unescape`` decodes.
 ENTITIES = {
-    "&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&middot;": "·",
-    "&copy;": "©", "&reg;": "®", "&trade;": "™", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—",
-    "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”", "&laquo;": "«", "&raquo;": "»",
-    "&bull;": "•", "&pound;": "£", "&euro;": "€", "&deg;": "°", "&eacute;": "é", "&egrave;": "è",
-    "&amp;": "&",
+    "amp": "&", "quot": '"', "lt": "<", "gt": ">", "apos": "'", "nbsp": "\u00a0", "middot": "·",
+    "copy": "©", "reg": "®", "trade": "™", "hellip": "…", "ndash": "–", "mdash": "—",
+    "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»",
+    "bull": "•", "pound": "£", "euro": "€", "deg": "°", "eacute": "é", "egrave": "è",
 }
 
-# Parts of a page that never hold its main text, and tags that end a line of text.
-SKIPPED_ELEMENTS = "script|style|noscript|nav|header|footer|aside|form"
+# Parts of a page that never hold its main text, those inside others first, and tags that
+# end a line of text.
+SKIPPED_ELEMENTS = ("form", "nav", "header|footer|aside")
 BLOCK_ELEMENTS = "p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|blockquote|pre|main|figure|figcaption"
 
 
@@ -53,39 +54,67 @@ def has_class(tag: Column, css_class: str) -> Column:
     return F.coalesce(F.array_contains(F.split(attribute(tag, "class"), r"\s+"), css_class), F.lit(False))
 
 
-def _numeric_decoded(c: Column) -> Column:
+def _numeric_character(entity: Column) -> Column:
+    """Character of ``#8217`` or ``#x2019``; null when it is none."""
+    code = F.coalesce(
+        _first_group(entity, r"^#(\d{1,7})$").try_cast("int"),
+        F.conv(_first_group(entity, r"^#[xX]([0-9A-Fa-f]{1,6})$"), 16, 10).try_cast("int"),
+    )
+
+    def character(n: Column) -> Column:
+        valid = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+
+    return let(code, character)
+
+
+def unescape(c: Column) -> Column:
+    """Decode numeric and the listed named entities once; other entities stay as they are."""
+    named = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
     def decoded(piece: Column, i: Column) -> Column:
-        code = F.coalesce(
-            _first_group(piece, r"^(\d{1,7});").try_cast("int"),
-            F.conv(_first_group(piece, r"^[xX]([0-9A-Fa-f]{1,6});"), 16, 10).try_cast("int"),
-        )
-        rest = F.substring(piece, F.instr(piece, ";") + 1, F.length(piece))
+        entity = F.substring_index(piece, ";", 1)
+        char = F.when(F.startswith(piece, F.lit("#")), _numeric_character(entity)).otherwise(F.try_element_at(named, entity))
+        rest = F.substring(piece, F.length(entity) + 2, F.length(piece))
+        whole = F.when(F.contains(piece, F.lit(";")), F.concat(char, rest))
+        return F.when(i == 0, piece).otherwise(F.coalesce(whole, F.concat(F.lit("&"), piece)))
 
-        def character(n: Column) -> Column:
-            valid = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
-            return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+    def pieces(text: Column) -> Column:
+        joined = F.array_join(F.transform(F.split(text, "&"), decoded), "")
+        return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
 
-        whole = F.coalesce(F.concat(let(code, character), rest), F.concat(F.lit("&#"), piece))
-        return F.when(i == 0, piece).otherwise(whole)
+    return let(c, pieces)
 
-    return F.array_join(F.transform(F.split(c, "&#"), decoded), "")
 
+def _complete(html: Column) -> Column:
+    """The page up to its last ``>``.
 
-def unescape(c: Column) -> Column:
-    """Decode numeric and the listed named entities; other entities stay as they are."""
+    Behind it no tag is complete. Looking for one there would scan to the end of the page
+    from every ``<``, which takes quadratic time on broken pages.
+    """
+    return F.substring(html, F.lit(1), F.length(html) - F.length(F.substring_index(html, ">", -1)))
 
-    def decoded(text: Column) -> Column:
-        numeric = F.when(F.contains(text, F.lit("&#")), _numeric_decoded(text)).otherwise(text)
-        for entity, char in ENTITIES.items():
-            numeric = F.replace(numeric, F.lit(entity), F.lit(char))
-        return F.when(F.contains(text, F.lit("&")), numeric).otherwise(text)
 
-    return let(c, decoded)
+def _complete_or_text(fragment: Column) -> Column:
+    """A fragment in which every ``<`` has a later ``>``."""
+    rest = F.substring_index(fragment, ">", -1)
+    return F.concat(_complete(fragment), F.replace(rest, F.lit("<"), F.lit("&lt;")))
 
 
 def tags(html: Column, name: str) -> Column:
     """All opening tags of one element, in page order."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{name}\s[^>]*>"), 0)
+    return F.regexp_extract_all(_complete(html), F.lit(rf"(?is)<{name}\s[^>]*>"), 0)
+
+
+def _starts(html: Column, elements: str) -> Column:
+    """The page cut before each opening tag of the elements."""
+    return F.split(html, rf"(?i)(?=<(?:{elements})\b)")
+
+
+def _without(html: Column, elements: str) -> Column:
+    """The page without these elements; an end tag is looked for up to the next start only."""
+    closed = rf"(?is)^<({elements})\b[^>]*>.*?</\1\s*>"
+    return F.array_join(F.transform(_starts(html, elements), lambda part: F.regexp_replace(part, closed, "")), "")
 
 
 def absolute_url(href: Column, root: str) -> Column:
@@ -142,7 +171,7 @@ def meta_value(metas: Column, *names: str) -> Column:
 
 def page_title(html: Column) -> Column:
     """Text of the ``title`` element, stripped; null when absent or blank."""
-    return _or_null(strip(unescape(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))))
+    return _or_null(strip(unescape(F.regexp_extract(_complete(html), r"(?i)<title\b[^>]*>([^<]*)", 1))))
 
 
 def page_author(metas: Column) -> Column:
@@ -169,29 +198,40 @@ def text_of(fragment: Column) -> Column:
     return _or_null(drop_lines(plain))
 
 
+def _without_furniture(html: Column) -> Column:
+    """The page without comments, scripts and page furniture.
+
+    A comment or script without an end reaches to the end of the page, as in a browser.
+    Text behind the last tag stays, but none of its ``<`` starts a tag.
+    """
+    clean = F.regexp_replace(_complete_or_text(html), r"(?s)<!--.*?(?:-->|\z)", "")
+    clean = F.regexp_replace(clean, r"(?is)<(script|style|noscript)\b[^>]*>.*?(?:</\1\s*>|\z)", "")
+    for elements in SKIPPED_ELEMENTS:
+        clean = _without(clean, elements)
+    return clean
+
+
 def main_text(html: Column) -> Column:
     """Main text of a generic page: its ``article``, else its ``body``; null when empty.
 
     These are our own rules, not those of an extraction library: comments, scripts and
     page furniture go first, then tags, then blank lines.
     """
-    clean = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    clean = F.regexp_replace(clean, rf"(?is)<({SKIPPED_ELEMENTS})\b[^>]*>.*?</\1\s*>", "")
 
     def region(page: Column) -> Column:
         article = F.regexp_extract(page, r"(?is)<article\b[^>]*>(.*?)(?:</article\s*>|\z)", 1)
         body = F.regexp_extract(page, r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)", 1)
         return F.coalesce(_or_null(article), body)
 
-    return text_of(let(clean, region))
+    return text_of(let(_without_furniture(html), region))
 
 
 def element_text(html: Column, element: str, css_class: str, last: bool = False) -> Column:
     """Tag-free text of the first (or last) element of a class; no nesting of its own kind."""
-    whole = F.regexp_extract_all(html, F.lit(rf"(?is)<{element}\s[^>]*>.*?</{element}\s*>"), 0)
-    found = F.filter(whole, lambda e: has_class(F.regexp_extract(e, r"(?s)^<[^>]*>", 0), css_class))
+    found = F.filter(_starts(html, element), lambda e: has_class(F.regexp_extract(e, r"(?s)^<[^>]*>", 0), css_class))
     picked = F.try_element_at(found, F.lit(-1 if last else 1))
-    return strip(unescape(F.regexp_replace(picked, r"<[^>]*>", "")))
+    inner = F.regexp_extract(picked, rf"(?is)^<[^>]*>(.*?)(?:</{element}\s*>|\z)", 1)
+    return strip(unescape(F.regexp_replace(_complete_or_text(inner), r"<[^>]*>", "")))
 
 
 def json_ld(html: Column) -> Column:
@@ -212,20 +252,24 @@ class _Elements(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, list[str]]] = []
+        self.names: Counter[str] = Counter()
 
     def handle_starttag(self, tag, attrs):
         classes = (dict(attrs).get("class") or "").split()
         self.opened(tag, classes, dict(attrs))
         if tag not in VOID_ELEMENTS:
             self.open.append((tag, classes))
+            self.names[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.opened(tag, (dict(attrs).get("class") or "").split(), dict(attrs))
 
     def handle_endtag(self, tag):
-        if any(name == tag for name, _ in self.open):
-            while self.open.pop()[0] != tag:
-                pass
+        if self.names[tag]:
+            name = None
+            while name != tag:
+                name = self.open.pop()[0]
+                self.names[name] -= 1
             self.closed()
 
     def opened(self, tag, classes, attrs): ...
@@ -273,7 +317,7 @@ def container_text(html: Column, selectors: list[tuple[str, str]], phrase: str |
 
         return pages.map(pick)
 
-    return _or_null(drop_lines(found(html), phrase))
+    return _or_null(drop_lines(found(_complete_or_text(html)), phrase))
 
 
 class _ChildLinks(_Elements):
@@ -304,4 +348,4 @@ def child_links(html: Column, root: str, parent: str, parent_not: str, css_class
 
         return pages.map(hrefs)
 
-    return F.transform(found(html), lambda h: absolute_url(h, root))
+    return F.transform(found(_complete(html)), lambda h: absolute_url(h, root))

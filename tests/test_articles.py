@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,8 +35,8 @@ def test_attributes(values):
 
 
 def test_unescape(values):
-    got = values(H.unescape, ["a &amp;lt; b", "&#8217;&#x41;&#65", "&unknown; &", "&quot;&copy;&nbsp;x", "&#xD800; &#0;", None, "&#128512;", "&#;x"])
-    assert got == ["a &lt; b", "’A&#65", "&unknown; &", '"©\xa0x', "&#xD800; &#0;", None, "😀", "&#;x"]
+    got = values(H.unescape, ["a &amp;lt; b", "&#8217;&#x41;&#65", "&unknown; &", "&quot;&copy;&nbsp;x", "&#xD800; &#0;", None, "&#128512;", "&#;x", "&#38;lt; &amp;amp;&amp;&quot", "a;b &;c"])
+    assert got == ["a &lt; b", "’A&#65", "&unknown; &", '"©\xa0x', "&#xD800; &#0;", None, "😀", "&#;x", "&lt; &amp;&&quot", "a;b &;c"]
 
 
 def test_absolute_urls_join_like_urljoin(values):
@@ -249,3 +251,36 @@ def test_telegraph_links_are_distinct_per_page(spark):
     index = spark.createDataFrame([(1, html), (2, html)], "page_num int, html string")
     links = plan.page_links(index, "telegraph").orderBy("page_num", "pos").collect()
     assert [(r.page_num, r.pos, r.url[-1]) for r in links] == [(1, 0, "a"), (1, 2, "b"), (2, 0, "a"), (2, 2, "b")]
+
+
+BROKEN = [
+    "<nav>" * 20_000 + "<article>" + "word &amp; <b>bold</b> " * 20_000 + "<form>" * 2_000,
+    "<article" * 50_000,
+    "<article>x" + "<a <meta <span <title " * 50_000,
+    "<!--" * 50_000 + "<script>" * 50_000,
+    "<article>" + "<" * 300_000,
+    "<article>" + "<div><span class=x><li>" * 30_000,
+]
+
+
+def test_broken_pages_take_linear_time(spark):
+    pages = spark.createDataFrame([(i, h) for i, h in enumerate(BROKEN)], "i int, html string").repartition(4)
+    html = F.col("html")
+    rows = pages.select(
+        "i",
+        H.main_text(html).alias("text"),
+        H.link_list(html, "https://r").alias("links"),
+        H.page_title(html).alias("title"),
+        H.meta_value(H.meta_list(html), "x").alias("meta"),
+        H.element_text(html, "span", "y").alias("span"),
+        H.container_text(html, [("div", "none"), ("span", "x")]).alias("container"),
+    )
+    start = time.monotonic()
+    got = {r.i: r for r in rows.collect()}
+    assert time.monotonic() - start < 60
+    assert got[0].text.startswith("word & bold word") and got[1].text is None and got[4].text == "<" * 300_000
+
+
+def test_nested_furniture_and_text_behind_the_last_tag(values):
+    nested = "<body><header><nav><form>a</form>b</nav>c</header><p>text</p><aside><nav>d</nav>e</aside>1 < 2 and"
+    assert values(H.main_text, [nested, "<body>a > b <nav>open <p>c"]) == ["text\n1 < 2 and", "a > b open\nc"]
