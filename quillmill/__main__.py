@@ -1,4 +1,4 @@
-"""Command line for ``spark-submit``: ``python -m quillmill <command> …``."""
+"""Command line: ``python -m quillmill <command> …``."""
 
 from __future__ import annotations
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillmill.durable import scratch_path
-from quillmill.functions import dates, html as H, papers as P, text as X
+from quillmill.functions import dates, html as H, text as X
 from quillmill.functions.location import tweet_location
 from quillmill.functions.tweets import tweet_metadata
 from quillmill.operators import aggregates as A, filters as FL, joins as J, limits as L, positions as W, records as R

@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from quillmill.operators.filters import REMOVAL_NOTICES, drop_containing_any
 from quillmill.plans.posts import process_posts
