@@ -34,8 +34,7 @@ class SourceRule:
 RULES = {
     "gov_uk_news": SourceRule(
         "https://www.gov.uk/",
-        "https://www.gov.uk/search/news-and-communications"
-        "?level_one_taxon=5b7b9532-a775-4bd2-a3aa-6ce380184b6c&order=updated-newest&page={page_num}",
+        "https://www.gov.uk/search/news-and-communications?level_one_taxon=5b7b9532-a775-4bd2-a3aa-6ce380184b6c&order=updated-newest&page={page_num}",
         "gem-c-document-list__item-link",
     ),
     "guardian": SourceRule(
