@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillmill.durable import durable
-from quillmill.llm import exact_dedup, mixing, sharding
+import public_tokenizers
+
+from quillmill.durable import durable, scratch_path
+from quillmill.llm import exact_dedup, mixing, packing, sharding, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +24,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op2_packing(spark, sf):
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf, "documents"), tokenizer, keep_ids=False)
+
+
 @query
 def op5_exact_dedup(spark, sf):
     found = exact_dedup.exact_duplicates(table(spark, sf, "documents"))
@@ -35,6 +43,13 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 FROM d"""
 
 
+@query
+def op7_token_files(spark, sf):
+    path = scratch_path(spark, "token-files")
+    manifest = token_files.write_token_files(table(spark, sf, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_documents(manifest, path)
+
+
 @query
 def op8_sharding(spark, sf):
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
