@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import public_tokenizers
 
 from quillmill.durable import durable, scratch_path
-from quillmill.llm import exact_dedup, mixing, packing, sharding, token_files
+from quillmill.llm import exact_dedup, language_id, license_scan, mixing, packing, sharding, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = language_id.fit(docs)
+    found = language_id.predict(docs.select("doc_id", "text"), model).select(F.col("row.doc_id").alias("doc_id"), "lang_pred", "score")
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op2_packing(spark, sf):
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -43,6 +51,11 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 FROM d"""
 
 
+@query
+def op6_license_scan(spark, sf):
+    return license_scan.license_notices(table(spark, sf, "documents"))
+
+
 @query
 def op7_token_files(spark, sf):
     path = scratch_path(spark, "token-files")
@@ -58,6 +71,22 @@ def op8_sharding(spark, sf):
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op9_warc(spark, sf):
+    path = scratch_path(spark, "archives")
+    written = warc.write_archives(table(spark, sf, "pages"), f"{path}/whole")
+    return warc.read_archives(warc.normalise_archives(written, f"{path}/members"), f"{path}/members")
+
+
+ORACLES["op9_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS h, min(page_id) OVER (PARTITION BY b) AS first FROM p)
+SELECT page_id, n AS payload_bytes, h AS payload_digest,
+       CASE WHEN n >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND first <> page_id THEN first END AS refers_to
+FROM d"""
+
+
 @query
 def op10_mixing(spark, sf):
     plan = durable(mixing.plan_mix(table(spark, sf, "documents")), "mix-plan")
