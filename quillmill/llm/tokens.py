@@ -7,15 +7,27 @@ in one call, with a separator between them that none of them holds.
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
-from tokenizers import Tokenizer, normalizers
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 #: Words kept in a worker's memory; beyond that the store starts anew. Results are the same.
-STORED_WORDS = 1_000_000
+STORED_WORDS = 800_000
 #: Characters of the texts that are encoded together.
 TOGETHER = 4_000_000
+#: Words that a normalizer only lowers: one unit of letters, and perhaps one of punctuation.
+PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]?")
+MARKS = ".,;:!?"
+
+
+def is_latin(text: str) -> bool:
+    """Whether all characters are below U+0100, where lowering knows no context."""
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
 
 
 class WordEncoder:
@@ -27,24 +39,32 @@ class WordEncoder:
 
     def __init__(self, path: str, drops_space: bool):
         self.tokenizer = Tokenizer.from_file(path)
-        self.plain = Tokenizer.from_file(path)
         self.drops_space = drops_space
         self.separator = " \x01 " if drops_space else "\n"
-        if drops_space:  # ASCII words need no more than lower case of the normalizer
-            self.plain.normalizer = normalizers.Sequence([])
         self.mark = self._ids("\x01" if drops_space else "\n")[0]
         self.newline = np.array([self.mark], "<u4").tobytes()
+        # merges alone, for words that are already lower and spelt in the model's byte letters
+        self.merges = Tokenizer.from_file(path)
+        self.merges.normalizer = normalizers.Sequence([])
+        self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelt = {c: spell(c)[0][0] for c in map(chr, range(0x80, 0x100)) if PLAIN.fullmatch(c)}
+        self.space = "" if drops_space else spell(" ")[0][0]
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)  # ends a word, or begins one
+        for token, number in vocabulary.items():
+            self.edge[number] = token.endswith("</w>") if drops_space else token.startswith(self.space)
         self.first: dict[str, bytes] = {}
         self.after: dict[str, bytes] = self.first if drops_space else {}
 
     def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _together(self, tokenizer: Tokenizer, words: list[str], pieces: list[str], store: dict) -> None:
-        """Encode ``pieces`` in one call and keep the ids of each under its word."""
+    def _together(self, words: list[str], prefix: str, store: dict) -> None:
+        """Encode words in one call, with the separator between them."""
         if not words:
             return
-        ids = np.array(tokenizer.encode_batch_fast([self.separator.join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self._ids(self.separator.join([prefix + w for w in words])), "<u4")
         ends = [*(4 * np.flatnonzero(ids == self.mark)).tolist(), 4 * len(ids)]
         if len(ends) != len(words):
             raise AssertionError("a word holds the separator")
@@ -53,21 +73,46 @@ class WordEncoder:
             store[word] = data[start:end]
             start = end + 4
 
-    def _learn(self, words: list[str], store: dict, prefix: str = "") -> None:
-        alone = [w for w in words if "<|" in w or (w.find("\x01") >= 0 if self.drops_space else w.split() != [w])]
-        for word in alone:
-            store[word] = np.array(self._ids(prefix + word), "<u4").tobytes()
-        words = [w for w in words if w not in store]
+    def _learn_plain(self, words: list[str], store: dict) -> None:
+        """Merge plain words in one call; the model marks where each ends or begins."""
+        if not words:
+            return
+        text = "\n".join(words) if self.drops_space else self.space + f"\n{self.space}".join(words)
+        for mark in MARKS:
+            text = text.replace(mark, f"\n{mark}")
         if self.drops_space:
-            ascii_words = [w for w in words if w.isascii()]
-            self._together(self.plain, ascii_words, [w.lower() for w in ascii_words], store)
-            words = [w for w in words if not w.isascii()]
-        self._together(self.tokenizer, words, [prefix + w for w in words], store)
+            text = text.lower()
+        for letter in sorted(set(text) & self.spelt.keys(), key="Ã".__ne__):  # all spellings begin with this one
+            text = text.replace(letter, self.spelt[letter])
+        ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        edges = np.flatnonzero(self.edge[ids])
+        if self.drops_space:
+            units = np.fromiter((2 if w[-1] in MARKS else 1 for w in words), np.int64, len(words))
+            ends = np.append(edges, len(ids))[np.cumsum(units) - 1] + 1
+        else:
+            ends = np.append(edges[1:], len(ids))
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            raise AssertionError("words and edges do not match")
+        cuts, data = [0, *(4 * ends).tolist()], ids.tobytes()
+        store.update(zip(words, map(data.__getitem__, map(slice, cuts, cuts[1:]))))
+
+    def _learn(self, words: list[str], store: dict, prefix: str = "") -> None:
+        rest = words
+        if self.drops_space or prefix:
+            self._learn_plain(list(filter(PLAIN.fullmatch, words)), store)
+            rest = list(itertools.filterfalse(store.__contains__, words))
+        together = []
+        for word in rest:
+            if "<|" in word or (word.find("\x01") >= 0 if self.drops_space else word.split() != [word]):
+                store[word] = np.array(self._ids(prefix + word), "<u4").tobytes()
+            else:
+                together.append(word)
+        self._together(together, prefix, store)
 
     def _split(self, text: str) -> list[list[str]] | None:
         """Lines of words; None if the white space is anything but single ones."""
         if self.drops_space:
-            return [text.replace("\n", " ").split(" ")]
+            return [(text.lower() if is_latin(text) else text).replace("\n", " ").split(" ")]
         lines = [line.split(" ") for line in text.split("\n")]
         return lines if all(words == line.split() for words, line in zip(lines, text.split("\n"))) else None
 
