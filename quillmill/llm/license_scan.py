@@ -15,11 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from quillmill.llm.shingles import SIZE, shingles, word_numbers as numbers
+
 BANDS = 64
-SHINGLE = 5
 THRESHOLD = 0.8
 #: Shingles hashed together.
 TOGETHER = 1_000_000
@@ -40,49 +40,23 @@ TEMPLATES = (
 
 WORD = re.compile(r"[^\W_]+")
 _MIX = np.random.default_rng(20_240_601).integers(0, 1 << 63, (BANDS, 2), dtype=np.uint64) * 2 + 1
-_ORDER = np.random.default_rng(20_240_602).integers(0, 1 << 63, SHINGLE, dtype=np.uint64) * 2 + 1
-
-
-class WordIds(dict):
-    """64-bit number of each word; forgets all when it has become large."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        number = self[word] = xxhash.xxh3_64_intdigest(word)
-        return number
-
-
-_IDS = WordIds()
 
 
 def word_numbers(text: str) -> np.ndarray:
-    return np.array(list(map(_IDS.__getitem__, WORD.findall(text.lower()))), np.uint64)
-
-
-def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
-    """Hash of every run of ``size`` words, in text order; none for shorter texts."""
-    n = len(words) - size + 1
-    if n < 1:
-        return np.zeros(0, np.uint64)
-    mixed = np.full(n, np.uint64(size))
-    for i in range(size):
-        mixed = (mixed ^ words[i : i + n]) * _ORDER[i]
-        mixed ^= mixed >> np.uint64(31)
-    return mixed
+    return numbers(WORD.findall(text.lower()))
 
 
 class Templates:
     """Shingles of the templates and the places of their minima, by window class.
 
-    Templates of fewer than ``SHINGLE`` words are one shingle of their own length.
+    Templates of fewer than ``SIZE`` words are one shingle of their own length.
     """
 
     def __init__(self, templates: tuple, threshold: float):
         self.names, self.sets, self.sizes, self.threshold = [], [], [], threshold
         for name, text in templates:
             words = word_numbers(text)
-            size = min(SHINGLE, len(words))
+            size = min(SIZE, len(words))
             if size:
                 self.names.append(name)
                 self.sizes.append(size)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import public_tokenizers
 
 from quillmill.durable import durable, scratch_path
-from quillmill.llm import exact_dedup, language_id, license_scan, mixing, packing, sharding, token_files, warc
+from quillmill.llm import exact_dedup, jaccard_join, language_id, license_scan, mixing, packing, sharding, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +38,12 @@ def op2_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), tokenizer, keep_ids=False)
 
 
+@query
+def op3_jaccard_join(spark, sf):
+    found = jaccard_join.similar_documents(table(spark, sf, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 @query
 def op5_exact_dedup(spark, sf):
     found = exact_dedup.exact_duplicates(table(spark, sf, "documents"))

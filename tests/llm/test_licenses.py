@@ -31,7 +31,7 @@ def test_planted_notices(spark):
     filler = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor " * 40
     rows, want = [], set()
     for i, (name, notice) in enumerate(license_scan.TEMPLATES):
-        for k, text in enumerate((notice, filler + notice.upper() + filler, f"# {notice.replace(' ', chr(10) + '*  ')} {filler}", filler[: 37 * i] + notice)):
+        for k, text in enumerate((notice, filler + notice.upper() + filler, f"# {notice.replace(' ', chr(10) + '*  ')} {filler}", filler[: 37 * i] + " " + notice)):
             rows.append((10 * i + k, text))
             want.add((10 * i + k, name))
     got = license_scan.license_notices(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
