@@ -14,7 +14,7 @@ import numpy as np
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 #: Words kept in a worker's memory; beyond that the store starts anew. Results are the same.
-STORED_WORDS = 800_000
+STORED_WORDS = 1_200_000
 #: Characters of the texts that are encoded together.
 TOGETHER = 4_000_000
 #: Words that a normalizer only lowers: one unit of letters, and perhaps one of punctuation.
@@ -113,8 +113,10 @@ class WordEncoder:
         """Lines of words; None if the white space is anything but single ones."""
         if self.drops_space:
             return [(text.lower() if is_latin(text) else text).replace("\n", " ").split(" ")]
-        lines = [line.split(" ") for line in text.split("\n")]
-        return lines if all(words == line.split() for words, line in zip(lines, text.split("\n"))) else None
+        flat = text.replace("\n", " ")  # printable text has no other white space than the space
+        if "  " in flat or flat[:1] in ("", " ") or flat[-1] == " " or not flat.isprintable():
+            return None
+        return [line.split(" ") for line in text.split("\n")]
 
     def _segments(self, text: str) -> list[str]:
         return re.split(r"(?<=[!-~À-ɏ])(?= )", text)
