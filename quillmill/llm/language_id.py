@@ -83,10 +83,11 @@ def training_sample(docs: DataFrame, id: str, text: str, lang: str, texts: int,
     """
     order = F.xxhash64(F.lit(seed), F.col(id))
     usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(id).isNotNull() & ~held_out(F.col(id)))
-    common = usable.groupBy(F.col(lang).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
+    common = usable.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "lang").limit(languages)
     keys = usable.select(F.col(id).alias("id"), F.col(lang).alias("lang"), order.alias("rank"))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("rank", "id"))
-    chosen = keys.join(F.broadcast(common), "lang").withColumn("n", first).where(F.col("n") <= texts).select("id").distinct()
+    near = F.pmod("rank", F.lit(1 << 32)) * F.col("count") <= F.lit(float(1 << 32)) * (4 * texts)  # about four times too many are ranked
+    chosen = keys.join(F.broadcast(common), "lang").where(near).withColumn("n", first).where(F.col("n") <= texts).select("id").distinct()
     room = F.greatest(F.length(F.col(text)) - chars, F.lit(0)) + 1
     start = (F.pmod(order, room) + 1).cast("int")
     rows = usable.select(F.col(id).alias("id"), F.col(lang).alias("lang"), F.substr(F.col(text), start, F.lit(chars)).alias("text"), order.alias("rank"))
