@@ -52,11 +52,13 @@ class Presence:
             self.code[ord(letter)] = GAP + 1 + i
 
     def codes(self, text: str) -> Iterator[np.ndarray]:
-        """Letter codes of the whole text in chunks that overlap by ``MAX_N - 1``."""
-        for at in range(0, max(len(text), 1), CHARS):
-            part = text[max(at - MAX_N + 1, 0) : at + CHARS]
-            code = self.code[np.frombuffer(f" {part} ".lower().encode("utf-32-le", "replace"), "<u4")]
-            yield code[np.concatenate(([True], (code[1:] != GAP) | (code[:-1] != GAP)))]
+        """Letter codes of the whole text, runs of gaps as one, in overlapping chunks."""
+        text, code = f" {text} ", np.zeros(0, np.int32)
+        for at in range(0, len(text), CHARS):
+            more = self.code[np.frombuffer(text[at : at + CHARS].lower().encode("utf-32-le", "replace"), "<u4")]
+            code = np.concatenate((code[len(code) - MAX_N + 1 :] if len(code) >= MAX_N else code, more))
+            code = code[np.concatenate(([True], (code[1:] != GAP) | (code[:-1] != GAP)))]
+            yield code
 
     @staticmethod
     def grams(code: np.ndarray) -> list[np.ndarray]:

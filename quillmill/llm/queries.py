@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import public_tokenizers
 
 from quillmill.durable import durable, scratch_path
-from quillmill.llm import exact_dedup, jaccard_join, language_id, license_scan, mixing, packing, sharding, token_files, warc
+from quillmill.llm import exact_dedup, imatch, jaccard_join, language_id, license_scan, mixing, packing, sharding, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,6 +44,27 @@ def op3_jaccard_join(spark, sf):
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
+@query
+def op4_imatch(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    words = imatch.known_words(docs)
+    hashes = lambda text: imatch.subset_hashes(text, words)
+    near = imatch.with_next_text(docs, carried=hashes)
+    # filters on computed lists keep Spark from computing them once for every use
+    own = near.select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), hashes(F.col("text")).alias("own"), hashes(F.col("edited")).alias("changed"), "next")
+    text = lambda c: F.concat_ws("", c)
+    rows = own.where((F.size("own") > 0) & (F.size("changed") > 0))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        F.col("n_chars").cast("bigint").alias("n_chars"),
+        "edited_sha256",
+        text("own").alias("fingerprint"),
+        text("changed").alias("edited_fingerprint"),
+        imatch.likeness(F.col("own"), F.col("changed")).alias("near_edited"),
+        imatch.likeness(F.col("own"), F.col("next")).alias("near_next"),
+    )
+
+
 @query
 def op5_exact_dedup(spark, sf):
     found = exact_dedup.exact_duplicates(table(spark, sf, "documents"))
