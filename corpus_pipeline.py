@@ -1,25 +1,62 @@
-"""Raw documents to packed training sequences, in five stages."""
+"""Raw documents to packed training sequences, in five stages.
+
+Null texts, null ids and repeated rows are treated as the operators state: texts without
+a letter go with the first stage, of equal and of similar documents one stays, the mix
+repeats documents, and every repeated row is packed as a document of its own. Columns
+besides those that the stages use are kept until the last one.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.durable import durable
-from quillmill.llm import exact_dedup, mixing
+from quillmill.llm import exact_dedup, jaccard_join, language_id, mixing, packing
+
+#: A document goes when no one-versus-rest regression comes near to claiming it.
+LEAST_SCORE = 0.25
+
+
+def in_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages that the labelled ones have.
+
+    Texts without a letter and texts that every classifier clearly rejects go; so do all
+    texts where there is nothing to learn from.
+    """
+    found = language_id.predict(docs, language_id.fit(docs))
+    kept = found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    return kept.select("row.*")
 
 
-def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest id stays."""
     return exact_dedup.drop_exact_duplicates(docs)
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by similar word shingles, the one with the smallest id stays."""
+    return jaccard_join.one_of_each_group(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources in the target weights, rows repeated at most three times."""
+    """Sources in the target weights; a document is repeated at most three times."""
     return mixing.mix(docs)
 
 
-STAGES = [("exact dedup", deduplicated), ("mixing sources", mixed)]
-#: Hashed orders and trained models have no SQL; the tests hold a brute-force version.
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset`` of every piece."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language id", in_known_languages),
+    ("exact dedup", without_copies),
+    ("n-gram jaccard join", without_near_copies),
+    ("mixing sources", mixed),
+    ("best-fit packing", packed),
+]
+#: Trained models, hashed orders and tokenizers have no SQL; tests hold a brute-force version.
 ORACLE_SQL = None
 
 
