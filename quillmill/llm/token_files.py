@@ -77,7 +77,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     kind = pa.uint16() if vocabulary <= 65_536 else pa.uint32()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = np.array([end_id], "<u4")
+        end = np.array([end_id], "<u4").tobytes()
         files, root = fs.FileSystem.from_uri(path)
         part, writer, places = TaskContext.get().partitionId(), None, []
         name = f"{root}/part-{part:06d}-{uuid.uuid4().hex}"
@@ -87,7 +87,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                 sink = files.open_output_stream(f"{name}.arrow")
                 writer = SequenceWriter(sink, kind, sequence, BATCH)
             for key, data in zip(batch.column(0).to_pylist(), encode_texts(tokenizer, False, batch.column(1).to_pylist())):
-                ids = np.concatenate((np.frombuffer(data, "<u4"), end)).astype(kind.to_pandas_dtype())
+                ids = np.frombuffer(data + end, "<u4").astype(kind.to_pandas_dtype())
                 places.append((key, writer.tokens, len(ids)))
                 writer.add(ids)
         if writer is not None:
@@ -130,16 +130,17 @@ def read_documents(manifest: DataFrame, path: str) -> DataFrame:
         for row in (row for batch in batches for row in batch.to_pylist()):
             reader, index = open_mapped(files, row["path"]), open_mapped(files, row["index_path"]).read_all()
             starts, lengths = index.column("start").to_numpy(), index.column("n_tokens").to_numpy()
-            width = reader.schema.field("ids").type.list_size
-            crcs = []
-            for start, n in zip(starts.tolist(), lengths.tolist()):
-                first, skip, crc = start // width, start % width, 0
-                last = -(-(start + n) // width)
-                for at in range(first, last, BATCH):  # a very long document is read piece by piece
-                    ids = sequences(reader, at, min(BATCH, last - at)).reshape(-1)
-                    from_here = ids[skip : min(len(ids), start + n - at * width)]
-                    crc, skip = zlib.crc32(from_here.astype("<u4").tobytes(), crc), 0
-                crcs.append(crc)
+            crcs = [0] * len(starts)
+            batch, at, ids = 0, 0, np.zeros(0, np.uint16)  # the batch at hand and the place of its first id
+            for i, (start, n) in enumerate(zip(starts.tolist(), lengths.tolist())):
+                while n:
+                    while start >= at + len(ids):
+                        at += len(ids)
+                        ids = reader.get_batch(batch).column(0).flatten().to_numpy(zero_copy_only=True)
+                        batch += 1
+                    own = ids[start - at : start - at + n]
+                    crcs[i] = zlib.crc32(own.astype("<u4"), crcs[i])
+                    start, n = start + len(own), n - len(own)
             columns = [index.column("doc_id").combine_chunks(), pa.array(starts + row["base"]), pa.array(lengths), pa.array(crcs, pa.int64())]
             for at in range(0, len(crcs), 10_000):
                 yield pa.RecordBatch.from_arrays([c.slice(at, 10_000) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"])

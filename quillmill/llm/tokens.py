@@ -16,7 +16,7 @@ from tokenizers import Tokenizer, normalizers, pre_tokenizers
 #: Words kept in a worker's memory; beyond that the store starts anew. Results are the same.
 STORED_WORDS = 1_200_000
 #: Characters of the texts that are encoded together.
-TOGETHER = 4_000_000
+TOGETHER = 6_000_000
 #: Words that a normalizer only lowers: one unit of letters, and perhaps one of punctuation.
 PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]?")
 MARKS = ".,;:!?"
@@ -109,14 +109,14 @@ class WordEncoder:
                 together.append(word)
         self._together(together, prefix, store)
 
-    def _split(self, text: str) -> list[list[str]] | None:
-        """Lines of words; None if the white space is anything but single ones."""
+    def _split(self, text: str) -> list[tuple[str, list[str]]] | None:
+        """First word and others of each line; None if the white space is anything but single ones."""
         if self.drops_space:
-            return [(text.lower() if is_latin(text) else text).replace("\n", " ").split(" ")]
+            return [("", (text.lower() if is_latin(text) else text).replace("\n", " ").split(" "))]
         flat = text.replace("\n", " ")  # printable text has no other white space than the space
         if "  " in flat or flat[:1] in ("", " ") or flat[-1] == " " or not flat.isprintable():
             return None
-        return [line.split(" ") for line in text.split("\n")]
+        return [(first, rest.split(" ") if rest else []) for first, _, rest in (line.partition(" ") for line in text.split("\n"))]
 
     def _segments(self, text: str) -> list[str]:
         return re.split(r"(?<=[!-~À-ɏ])(?= )", text)
@@ -129,19 +129,19 @@ class WordEncoder:
         other = {i: self._segments(t) for i, (t, lines) in enumerate(zip(texts, split)) if lines is None}
         lines = [line for found in split if found for line in found]
         if self.drops_space:
-            self._learn(list(set().union(*lines) - self.first.keys()), self.first)
+            self._learn(list(set().union(*(rest for _, rest in lines)) - self.first.keys()), self.first)
         else:
-            self._learn(list(({w for line in lines for w in line[:1]}.union(*other.values())) - self.first.keys()), self.first)
-            self._learn(list(set().union(*(line[1:] for line in lines)) - self.after.keys()), self.after, " ")
+            self._learn(list(({first for first, _ in lines}.union(*other.values())) - self.first.keys()), self.first)
+            self._learn(list(set().union(*(rest for _, rest in lines)) - self.after.keys()), self.after, " ")
         first, after = self.first.__getitem__, self.after.__getitem__
         results = []
         for i, found in enumerate(split):
             if found is None:
                 results.append(b"".join(map(first, other[i])))
             elif self.drops_space:
-                results.append(b"".join(map(after, found[0])))
+                results.append(b"".join(map(after, found[0][1])))
             else:
-                results.append(self.newline.join([first(line[0]) + b"".join(map(after, line[1:])) for line in found]))
+                results.append(self.newline.join([first(word) + b"".join(map(after, rest)) for word, rest in found]))
         return results
 
 
