@@ -116,12 +116,11 @@ def with_next_text(docs: DataFrame, id: str = "doc_id", text: str = "text", carr
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(id).alias("id"), body.alias("text"))
-    keyed = rows.select(
-        F.coalesce("id", F.lit(0)).alias("key"), F.xxhash64("text", F.col("id").isNull()).alias("hash"), F.char_length("text").alias("n_chars"), "id", "text"
-    )
-    keys = ["key", "hash", "n_chars"]
-    narrow = keyed.select(*keys, "id").distinct()
-    places = durable(number_rows(narrow, ["id", *keys], name="place"), "places")
+    # the same columns on both sides of the exchange, so that the texts are shuffled once
+    keyed = rows.select(F.col("id").isNull().alias("nul"), F.coalesce("id", F.lit(0)).alias("key"), F.xxhash64("text").alias("hash"), F.char_length("text").alias("n_chars"), "text")
+    keys = ["nul", "key", "hash", "n_chars"]
+    narrow = keyed.select(*keys).distinct()
+    places = durable(number_rows(narrow, [F.desc("nul"), "key", "hash", "n_chars"], name="place"), "places")
     total = max(places.count(), 1)
     half = F.floor(F.col("n_chars") / 2).cast("int")
     wanted = places.select(F.pmod(F.col("place") - 1, F.lit(total)).alias("place"), *[F.col(k).alias(f"to_{k}") for k in keys], half.alias("wanted"))
@@ -129,4 +128,5 @@ def with_next_text(docs: DataFrame, id: str = "doc_id", text: str = "text", carr
     sent = keyed.join(sends, keys).select(*[F.col(f"to_{k}").alias(k) for k in keys], F.expr("substr(text, 1, wanted)").alias("head"), (F.lit(None) if carried is None else carried(F.col("text"))).alias("next"))
     heads = sent.groupBy(*keys).agg(F.max("head").alias("head"), F.max("next").alias("next"))  # repeated rows send the same
     kept = F.expr("substr(text, 1, n_chars - cast(floor(n_chars / 2) as int))")
-    return keyed.join(heads, keys).select("id", "text", "n_chars", F.concat(kept, F.col("head")).alias("edited"), "next")
+    id_again = F.when(~F.col("nul"), F.col("key")).alias("id")
+    return keyed.join(heads, keys).select(id_again, "text", "n_chars", F.concat(kept, F.col("head")).alias("edited"), "next")
