@@ -76,7 +76,8 @@ def main(argv: list[str] | None = None) -> None:
         posts.process_posts(spark, dict(i.split("=", 1) for i in args.inputs), out, args.limit)
     elif args.command == "split-ids":
         days = tuple(args.days) if args.days else None
-        tweets.split_id_table_by_day(spark, args.tsv, out, days).orderBy("date").show(400)
+        counts = tweets.split_id_table_by_day(spark, args.tsv, f"{out}/days", days)
+        counts.orderBy("date").write.mode("overwrite").option("header", True).csv(f"{out}/daily_counts")
     elif args.command == "date-id-files":
         dated = tweets.id_file_dates(spark, args.ids, args.archive)
         dated.write.mode("overwrite").option("header", True).csv(f"{out}/id_file_dates")

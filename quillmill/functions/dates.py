@@ -8,19 +8,18 @@ from quillmill.functions.text import let
 
 DATE_OUT = "yyyy-MM-dd"
 
-# Spellings tried in this order.
-ARTICLE_DATE_FORMATS = (
-    "yyyy-M-d",
-    "d MMMM yyyy",
-    "d MMM yyyy",
-    "MMMM d, yyyy",
-    "MMM d, yyyy",
-    "MMMM d yyyy",
-    "MMM d yyyy",
-    "yyyy/M/d",
-    "M/d/yyyy",
-    "d.M.yyyy",
-)
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+_MONTH = r"(jan|feb|mar|apr|may|june?|july?|aug|sept?|oct|nov|dec)(?:uary|ruary|ch|il|ust|ember|tember|ober)?\.?"
+_BEFORE = r"(?s)^(?:(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?,?\s+)?(?:\d{1,2}:\d{2}(?::\d{2})?\s*(?:[ap]m)?,?\s+)?"
+_AFTER = r"(?:[t ,].*)?$"
+_DAY = r"(\d{1,2})(?:st|nd|rd|th)?"
+# Shapes of a date and the groups that hold its year, month and day.
+_YEAR_FIRST = (r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})", (1, 2, 3))
+_COMPACT = (r"(\d{4})(\d{2})(\d{2})", (1, 2, 3))
+_DAY_FIRST = (r"(\d{1,2})\.(\d{1,2})\.(\d{4})|(1[3-9]|2\d|3[01])[-/](\d{1,2})[-/](\d{4})", None)
+_MONTH_FIRST = (r"(\d{1,2})[-/](\d{1,2})[-/](\d{4})", (3, 1, 2))
+_NAMED = (rf"{_DAY}(?:\s+of)?[\s-]+{_MONTH}[\s,-]+(\d{{4}})", (3, 2, 1))
+_NAMED_FIRST = (rf"{_MONTH}\s+{_DAY}[\s,]+(\d{{4}})", (3, 1, 2))
 
 
 def week_end_date(week: Column) -> Column:
@@ -42,14 +41,30 @@ def tweet_date(created_at: Column) -> Column:
 def article_date(c: Column) -> Column:
     """Free-form date to a calendar date; null when no known spelling fits.
 
-    The day's own text is cut out of the stamp first: weekday names, ordinal endings and
-    a time of day are dropped.
+    Year first, eight digits, a named month on either side of the day, ``M/D/Y`` and
+    ``M-D-Y`` (day first where the first number can be no month) and ``D.M.Y``. A weekday
+    or a time may stand before, anything behind. The shape is recognised first, and the
+    one date it gives is parsed once.
     """
-    plain = F.regexp_replace(F.trim(c), r"(?i)^(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?,?\s+", "")
-    plain = F.regexp_replace(plain, r"(?i)(\d)(?:st|nd|rd|th)\b", "$1")
-    numbers = r"\d{1,2}[/.]\d{1,2}[/.]\d{4}|\d{4}[/-]\d{1,2}[/-]\d{1,2}"
-    day = F.regexp_extract(plain, rf"^({numbers}|.*?\d{{4}})(?:[T ,].*)?$", 1)
-    return let(day, lambda d: F.coalesce(*[F.try_to_date(d, fmt) for fmt in ARTICLE_DATE_FORMATS]))
+
+    def spelled(shape: str, groups) -> tuple[str, str]:
+        return f"{_BEFORE}(?:{shape}){_AFTER}", "-".join(f"${g}" for g in groups)
+
+    def canonical(text: Column) -> Column:
+        day_first = f"{_BEFORE}(?:{_DAY_FIRST[0]}){_AFTER}"
+        chosen = F.when(text.rlike(day_first), F.regexp_replace(text, day_first, "$3$6-$2$5-$1$4"))
+        for shape, groups in (_YEAR_FIRST, _COMPACT, _MONTH_FIRST, _NAMED, _NAMED_FIRST):
+            pattern, order = spelled(shape, groups)
+            chosen = chosen.when(text.rlike(pattern), F.regexp_replace(text, pattern, order))
+        return chosen
+
+    def numbered(day: Column) -> Column:
+        name = F.regexp_extract(day, "([a-z]{3})", 1)
+        number = ((F.position(name, F.lit("".join(_MONTHS))) + 2) / 3).cast("int").cast("string")
+        return F.when(name != "", F.regexp_replace(day, "[a-z]+", number)).otherwise(day)
+
+    found = let(F.lower(F.trim(c)), canonical)
+    return F.try_to_date(let(found, numbered), "yyyy-M-d")
 
 
 def iso_date(d: Column) -> Column:

@@ -7,7 +7,9 @@ no nesting is a built-in regular expression; the two selectors that do need nest
 
 from __future__ import annotations
 
+import json
 from collections import Counter
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -15,7 +17,7 @@ from pyspark.sql import Column, functions as F, types as T
 
 from quillmill.functions.text import drop_lines, let, strip
 
-# Named entities that ``unescape`` decodes.
+# The commonest named entities; the others come from the standard library.
 ENTITIES = {
     "amp": "&", "quot": '"', "lt": "<", "gt": ">", "apos": "'", "nbsp": "\u00a0", "middot": "·",
     "copy": "©", "reg": "®", "trade": "™", "hellip": "…", "ndash": "–", "mdash": "—",
@@ -23,9 +25,11 @@ ENTITIES = {
     "bull": "•", "pound": "£", "euro": "€", "deg": "°", "eacute": "é", "egrave": "è",
 }
 
+ALL_ENTITIES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+
 # Parts of a page that never hold its main text, those inside others first, and tags that
 # end a line of text.
-SKIPPED_ELEMENTS = ("form", "nav", "header|footer|aside")
+SKIPPED_ELEMENTS = ("nav", "header|footer|aside")
 BLOCK_ELEMENTS = "p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|blockquote|pre|main|figure|figcaption"
 
 
@@ -57,8 +61,8 @@ def has_class(tag: Column, css_class: str) -> Column:
 def _numeric_character(entity: Column) -> Column:
     """Character of ``#8217`` or ``#x2019``; null when it is none."""
     code = F.coalesce(
-        _first_group(entity, r"^#(\d{1,7})$").try_cast("int"),
-        F.conv(_first_group(entity, r"^#[xX]([0-9A-Fa-f]{1,6})$"), 16, 10).try_cast("int"),
+        _first_group(entity, r"^#0*(\d{1,7})$").try_cast("int"),
+        F.conv(_first_group(entity, r"^#[xX]0*([0-9A-Fa-f]{1,6})$"), 16, 10).try_cast("int"),
     )
 
     def character(n: Column) -> Column:
@@ -69,12 +73,15 @@ def _numeric_character(entity: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """Decode numeric and the listed named entities once; other entities stay as they are."""
-    named = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+    """Decode numeric and all standard named entities once; others stay as they are."""
+    common = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+    every = F.from_json(F.lit(json.dumps(ALL_ENTITIES)), "map<string,string>")  # one constant
 
     def decoded(piece: Column, i: Column) -> Column:
         entity = F.substring_index(piece, ";", 1)
-        char = F.when(F.startswith(piece, F.lit("#")), _numeric_character(entity)).otherwise(F.try_element_at(named, entity))
+        char = F.when(F.startswith(piece, F.lit("#")), _numeric_character(entity)).otherwise(
+            F.coalesce(F.try_element_at(common, entity), F.when(F.length(entity) < 40, F.try_element_at(every, entity)))
+        )
         rest = F.substring(piece, F.length(entity) + 2, F.length(piece))
         whole = F.when(F.contains(piece, F.lit(";")), F.concat(char, rest))
         return F.when(i == 0, piece).otherwise(F.coalesce(whole, F.concat(F.lit("&"), piece)))
@@ -211,19 +218,39 @@ def _without_furniture(html: Column) -> Column:
     return clean
 
 
+def _articles(page: Column) -> Column:
+    """Content of all outermost ``article`` elements, nested ones included; blank if none.
+
+    The page is cut at the elements' tags, and what lies at a depth of one or more stays.
+    An element without an end reaches to the end of the page.
+    """
+    parts = F.split(page, r"(?i)(?=<article\b)|(?=</article\s*>)")
+    opens, closes = r"(?i)^<article\b", r"(?i)^</article"
+
+    def step(acc: Column, part: Column) -> Column:
+        depth = F.when(part.rlike(opens), acc["depth"] + 1).when(part.rlike(closes), F.greatest(acc["depth"] - 1, F.lit(0))).otherwise(acc["depth"])
+        return F.struct(depth.alias("depth"), F.when(depth > 0, F.concat(acc["kept"], F.array(part))).otherwise(acc["kept"]).alias("kept"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+    return F.when(page.rlike(r"(?i)<article\b"), F.aggregate(parts, start, step, lambda acc: F.array_join(acc["kept"], "\n")))
+
+
 def main_text(html: Column) -> Column:
-    """Main text of a generic page: its ``article``, else its ``body``; null when empty.
+    """Main text of a generic page: its ``article`` elements, else its ``body``; null when empty.
 
     These are our own rules, not those of an extraction library: comments, scripts and
-    page furniture go first, then tags, then blank lines.
+    page furniture go first, then tags, then blank lines. Forms go, too, unless nothing
+    else is left.
     """
 
     def region(page: Column) -> Column:
-        article = F.regexp_extract(page, r"(?is)<article\b[^>]*>(.*?)(?:</article\s*>|\z)", 1)
         body = F.regexp_extract(page, r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)", 1)
-        return F.coalesce(_or_null(article), body)
+        return F.coalesce(_or_null(_articles(page)), body)
+
+    def text(found: Column) -> Column:
+        return F.coalesce(text_of(_without(found, "form")), F.when(found.rlike(r"(?i)<form\b"), text_of(found)))
 
-    return text_of(let(_without_furniture(html), region))
+    return let(let(_without_furniture(html), region), text)
 
 
 def element_text(html: Column, element: str, css_class: str, last: bool = False) -> Column:

@@ -135,7 +135,7 @@ def tokens(c: Column) -> Column:
 
 def token_count(c: Column) -> Column:
     """Number of blank-separated words of the raw text."""
-    return F.size(tokens(c))
+    return F.regexp_count(c, F.lit(TOKEN))
 
 
 def tokens_no_punct(c: Column) -> Column:

@@ -79,14 +79,17 @@ def hydrate(
     if not parts:
         return ids.join(tweets, id)
     others = [c for c in ids.columns if c != id]
-    spread = F.xxhash64(*others) if others else F.monotonically_increasing_id()
+    if not others:  # rows without any other column are counted instead, so that they can be told apart
+        ids = ids.groupBy(id).agg(F.count(F.lit(1)).alias("_times")).withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")
+        others = ["_nth"]
+    spread = F.xxhash64(*others)
     salt = F.when(F.col("_parts").isNotNull(), F.pmod(spread, F.col("_parts"))).otherwise(0).cast("int")
     salts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)).cast("int") - 1)
     left = ids.join(hot, id, "left").withColumn("_salt", salt).drop("_parts")
     partitions = max(parts, int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     left = left.repartition(partitions, id, "_salt")
     right = tweets.join(hot, id, "left").withColumn("_salt", F.explode(salts)).drop("_parts")
-    return left.join(right, [id, "_salt"]).drop("_salt")
+    return left.join(right, [id, "_salt"]).drop("_salt", "_nth")
 
 
 def first_per_key(df: DataFrame, key: str, order: list) -> DataFrame:

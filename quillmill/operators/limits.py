@@ -6,30 +6,29 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillmill.operators.positions import number_rows
 
-# A sort with limit ends in one task: short results go through it whole, longer ones as
-# keys only, and very long ones not at all.
-ONE_TASK_ROWS = 10_000
-ONE_TASK_KEYS = 1_000_000
+# A sort with limit ends in one task. This decides where the rows are cut, never which.
+ONE_TASK_ROWS = 1_000
+
+
+def tie_break(df: DataFrame) -> list[Column]:
+    """A hash of all columns, so that rows with equal order keys have an order, too."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return [F.xxhash64(*plain)] if plain else []
 
 
 def take_first(df: DataFrame, n: int | None, order: list) -> DataFrame:
     """First ``min(n, total)`` rows along ``order``; all rows when ``n`` is None or 0.
 
-    For a long result only the last key is looked for, on the order columns alone; the
-    rows themselves are filtered where they lie. ``order`` must then be unique.
+    Order columns may have ties and any direction; ties are broken by a hash of the row.
+    Few rows are sorted into one task, more are numbered where they lie. Both give the
+    same rows, in no particular order.
     """
     if not n:
         return df
+    keys = [*order, *tie_break(df)]
     if n <= ONE_TASK_ROWS:
-        return df.orderBy(*order).limit(n)
-    columns = [F.col(o) if isinstance(o, str) else o for o in order]
-    key = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(columns)])
-    keys = df.select(key.alias("_key"))
-    if n <= ONE_TASK_KEYS:
-        first = keys.orderBy("_key").limit(n)
-    else:
-        first = number_rows(keys, ["_key"], name="_row").where(F.col("_row") < n)
-    return df.where(key <= first.agg(F.max("_key").alias("last")).scalar())
+        return df.orderBy(*keys).limit(n)
+    return number_rows(df, keys, name="_row").where(F.col("_row") < n).drop("_row")
 
 
 def sample_key(id: Column, seed: int | str) -> Column:

@@ -69,15 +69,23 @@ def with_scan_position(
     files: tuple[str, ...] = ("file_name",),
     block: tuple[str, ...] = ("file_path", "block_start"),
     name: str = "pos",
+    scan_id: str = "scan_id",
 ) -> DataFrame:
-    """0-based row position inside each scanned file, without any shuffle of the rows.
+    """0-based row position inside each scanned file.
 
-    ``df`` comes straight from a file scan (filters and projections are fine). A block
-    is read by one task in file order, so scan ids inside it are consecutive; only the
-    per-block counts are combined. ``files`` may name a logical file of several parts.
+    ``df`` comes straight from a file scan, or has its row ids in ``scan_id``. A block
+    is read by one task in file order, so its scan ids are consecutive unless rows were
+    dropped; then the rows of each block are ranked, which a block's size bounds. Else
+    only the per-block counts are combined. ``files`` may name a logical file of parts.
     """
-    scanned = df.withColumn(_MID, F.monotonically_increasing_id()).withColumn(_CHUNK, F.struct(*block))
-    return number_chunks(durable(scanned.drop("block_start"), "scanned"), list(files), name)
+    mid = F.col(scan_id) if scan_id in df.columns else F.monotonically_increasing_id()
+    scanned = df.withColumn(_MID, mid).withColumn(_CHUNK, F.struct(*block))
+    stored = durable(scanned.drop("block_start", scan_id), "scanned")
+    spans = stored.groupBy(*files, _CHUNK).agg((F.max(_MID) - F.min(_MID) + 1 - F.count(F.lit(1))).alias("gaps"))
+    if not spans.where("gaps <> 0").isEmpty():
+        rank = F.row_number().over(Window.partitionBy(*files, _CHUNK).orderBy(_MID)).cast("bigint")
+        stored = durable(stored.withColumn("_rank", rank).withColumn(_MID, F.col("_rank")).drop("_rank"), "ranked")
+    return number_chunks(stored, list(files), name)
 
 
 def with_sequence(df: DataFrame, order: list, fmt: str = "%06d", name: str = "id", limit: int | None = None) -> DataFrame:
@@ -96,7 +104,7 @@ def with_batch_id(df: DataFrame, batch: int = 45_000, pos: str = "pos") -> DataF
 def with_article_index(links: DataFrame, order: list, groups=("source",), name: str = "id_custom") -> DataFrame:
     """1-based index in each source's link list; later skipped pages leave gaps."""
     numbered = number_rows(links, order, groups, "_number", start=1)
-    return numbered.withColumn(name, F.col("_number").cast("int")).drop("_number")
+    return numbered.withColumnRenamed("_number", name)
 
 
 def processing_order(plan: DataFrame, max_batches: int | None = None, files: tuple[str, ...] = ("file_name",)) -> DataFrame:

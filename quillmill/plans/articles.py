@@ -84,7 +84,7 @@ def page_count(html: Column, source: str) -> Column:
     elif source == "sun":
         n = H.element_text(html, "li", "rectangle-4-copy-10", last=True)
     elif source == "weforum":
-        n = F.substring(H.element_text(html, "div", "pagination__page-info"), 3, 20)
+        n = F.regexp_extract(H.element_text(html, "div", "pagination__page-info"), r"(\d+)\D*$", 1)
     else:
         return F.lit(RULES[source].fixed_pages)
     return F.trim(n).try_cast("int")

@@ -171,7 +171,7 @@ SELECT file_path, row_number() OVER (ORDER BY file_path) AS rank FROM f"""
 ORACLES["file_union"] = """
 SELECT doc_id AS row_id, text, 0 AS dir_ord FROM documents UNION ALL SELECT item_id, text, 1 FROM benchmark"""
 ORACLES["processing_order"] = f"""
-WITH {_IDS} SELECT file_name, batch_id, row_number() OVER (ORDER BY batch_id, file_name) AS step FROM plan WHERE batch_id < 10"""
+WITH {_IDS} SELECT file_name, batch_id, row_number() OVER (ORDER BY batch_id, file_name) AS step FROM plan"""
 ORACLES["head_per_file"] = f"WITH {_IDS} SELECT file_name, id, CAST(pos AS INTEGER) AS pos FROM i WHERE pos < 100"
 ORACLES["file_dates"] = f"""
 WITH {_IDS},
@@ -275,3 +275,16 @@ ORACLES["written_samples"] = "SELECT doc_id, text FROM documents ORDER BY md5('3
 ORACLES["written_days"] = """
 SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n, min(event_id) AS first_id FROM events
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-20' GROUP BY 1"""
+
+ORACLES["written_all_days"] = """
+SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n, min(event_id) AS first_id FROM events GROUP BY 1"""
+_LINES = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
+ORACLES["first_n_many"] = f"SELECT {_LINES} FROM lineitem ORDER BY {_LINES} LIMIT 20000"
+ORACLES["first_n_descending"] = f"SELECT {_LINES} FROM lineitem ORDER BY l_orderkey DESC, {_LINES} LIMIT 15000"
+ORACLES["id_files"] = """
+SELECT event_type AS dataset, event_id AS id, true AS valid FROM events WHERE event_type <> 'error'
+UNION ALL SELECT 'broken', doc_id, false FROM labels"""
+ORACLES["resumed_batches"] = f"""
+WITH {_TWEETS}, o AS (SELECT *, strftime(ts, '%Y-%m-%d') || '_tweets_cov19.csv' AS file_name FROM t)
+SELECT file_name, count(*) AS ids, count(*) FILTER (kept) AS saved, count(*) FILTER (kept) AS lines, count(DISTINCT event_id) FILTER (kept) AS texts
+FROM o GROUP BY file_name"""

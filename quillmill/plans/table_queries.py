@@ -436,7 +436,7 @@ def file_union(spark, sf):
 @query
 def processing_order(spark, sf):
     plan = A.batch_plan(A.batch_totals(_id_rows(spark, sf), BATCH))
-    ordered = W.processing_order(plan, max_batches=10)
+    ordered = W.processing_order(plan)
     return W.number_rows(ordered, ["batch_id", "file_name"], name="step", start=1)
 
 
@@ -477,6 +477,51 @@ def hydrate_batches(spark, sf):
     return lines.unionByName(lengths).unionByName(skipped).unionByName(log.withColumn("output", F.lit("ledger")))
 
 
+def _event_files(spark, sf, path: str) -> None:
+    """Events as id files of four layouts: id first, id third, quoted, and no header."""
+    events = table(spark, sf, "events").where("event_type <> 'error'").orderBy("event_id")
+    id, user = F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    layouts = {
+        "view": (["id", "user"], [id, user]),
+        "click": (["user", "text", "id"], [user, F.lit("a, b"), id]),
+        "purchase": (["user", "id"], [user, id]),
+        "signup": (None, [id, F.lit("0.5")]),
+    }
+    for kind, (names, columns) in layouts.items():
+        rows = events.where(F.col("event_type") == kind).select(*[c.alias(f"c{i}") for i, c in enumerate(columns)])
+        named = rows.toDF(*names) if names else rows
+        named.write.options(header=bool(names), quoteAll=kind == "purchase").csv(f"{path}/{kind}")
+
+
+@query
+def id_files(spark, sf):
+    """Ids found by name or place in files of all layouts, and lines without one."""
+    path = scratch_path(spark, "id-files")
+    _event_files(spark, sf, path)
+    table(spark, sf, "labels").select(F.concat(F.lit("no id "), "doc_id")).write.text(f"{path}/broken")
+    found = readers.read_id_files(spark, [path]).select("dataset", "id", F.lit(True).alias("valid"))
+    broken = readers.rejected_id_lines(spark, [path]).select("dataset", F.replace("line", F.lit("no id "), F.lit("")).cast("bigint").alias("id"), F.lit(False).alias("valid"))
+    return found.unionByName(broken)
+
+
+@query
+def resumed_batches(spark, sf):
+    """Batches of one size for a start, then other files, other sizes and repeated splits."""
+    tsv, ids, archive, out, ledger = (scratch_path(spark, n) for n in ("tsv", "ids", "archive", "tweets", "ledger"))
+    stamp = F.concat(F.date_format("ts", STAMP), F.lit(" +0000 "), F.date_format("ts", "yyyy"))
+    blank = [F.lit(None).cast("string").alias(c) for c in "followers friends retweets favorites entities sentiment mentions hashtags urls".split()]
+    events = table(spark, sf, "events")
+    events.select("event_id", F.col("user_id").alias("username"), stamp.alias("timestamp"), *blank).orderBy("event_id").write.option("sep", "\t").csv(tsv)
+    _raw_tweets(spark, sf).union(_raw_tweets(spark, sf)).write.text(archive)  # every object twice
+    countries = _countries(spark, sf)
+    for days, batch, most in ((("2024-01-01", "2024-01-10"), 50, 2), (None, 1_000, None), (None, 70, None)):
+        tweet_plan.split_id_table_by_day(spark, tsv, ids, days) if most or batch == 1_000 else None
+        tweet_plan.hydrate_batches(spark, [ids], archive, countries, out, ledger, batch=batch, max_batches=most)
+    saved = store.read_ledger(spark, ledger).groupBy("file_name").agg(F.sum("num_ids").alias("ids"), F.sum("num_tweets_saved").alias("saved"))
+    lines = spark.read.text(f"{out}/corpus").groupBy("file_name").agg(F.count(F.lit(1)).alias("lines"), F.countDistinct("value").alias("texts"))
+    return saved.join(lines, "file_name")
+
+
 # --- limits and counts ---------------------------------------------------------------
 
 
@@ -485,6 +530,21 @@ def first_n(spark, sf):
     return L.take_first(_documents(spark, sf), 50, ["n_chars", "doc_id"]).select("doc_id", "n_chars")
 
 
+_LINES = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+
+
+@query
+def first_n_many(spark, sf):
+    """Long prefix along a key with ties; the further columns decide among them."""
+    return L.take_first(table(spark, sf, "lineitem"), 20_000, _LINES).select(*_LINES)
+
+
+@query
+def first_n_descending(spark, sf):
+    order = [F.desc("l_orderkey"), "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    return L.take_first(table(spark, sf, "lineitem"), 15_000, order).select(*_LINES)
+
+
 @query
 def sample_n(spark, sf):
     return L.sample_exact(_documents(spark, sf), "doc_id", 200, seed=7).select("doc_id", "source")
@@ -715,6 +775,20 @@ def written_days(spark, sf):
     path = scratch_path(spark, "days")
     rows = table(spark, sf, "events").select(F.to_date("ts").alias("date"), "event_id", "event_type")
     sinks.write_daily_partitions(rows, path, ("2024-01-03", "2024-01-20"))
+    return _days(spark, path)
+
+
+@query
+def written_all_days(spark, sf):
+    """All days, written twice: the second run replaces the first."""
+    path = scratch_path(spark, "days")
+    rows = table(spark, sf, "events").select(F.to_date("ts").alias("date"), "event_id", "event_type")
+    for _ in range(2):
+        sinks.write_daily_partitions(rows, path)
+    return _days(spark, path)
+
+
+def _days(spark, path: str) -> DataFrame:
     back = spark.read.option("header", True).csv(path)
     return back.groupBy(F.col("date").cast("string").alias("date")).agg(
         F.count(F.lit(1)).alias("n"), F.min(F.col("event_id").cast("bigint")).alias("first_id")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.durable import durable
@@ -12,10 +11,10 @@ from quillmill.functions.text import token_count
 from quillmill.functions.tweets import tweet_metadata
 from quillmill.operators.aggregates import batch_log, batch_plan, batch_totals, daily_counts
 from quillmill.operators.filters import split_retweets
-from quillmill.operators.joins import date_id_files, hydrate, pending_batches
-from quillmill.operators.positions import with_batch_id, with_scan_position
+from quillmill.operators.joins import date_id_files, first_per_key, hydrate
+from quillmill.operators.positions import with_scan_position
 from quillmill.schemas import LEDGER
-from quillmill.sources.readers import read_id_files, read_id_tsv, read_tweets
+from quillmill.sources.readers import parse_tweets, read_id_files, read_id_tsv, read_tweets, tweet_ids
 from quillmill.sources.sinks import (
     write_corpus,
     write_daily_partitions,
@@ -39,15 +38,47 @@ def split_id_table_by_day(spark: SparkSession, tsv: str, out: str, date_range: t
 
 def id_file_dates(spark: SparkSession, dirs: list[str], archive: str, probe_rows: int = 100) -> DataFrame:
     """``(file_name, date, new_name)`` per id file; files are not renamed in place."""
-    ids = with_scan_position(read_id_files(spark, dirs), FILES)
-    return date_id_files(ids, read_tweets(spark, archive), probe_rows)
+    ids = read_id_files(spark, dirs)
+    return date_id_files(ids, read_tweets(spark, archive), probe_rows, ["file_path", "block_start", "scan_id"])
+
+
+def id_file_positions(spark: SparkSession, dirs: list[str]) -> DataFrame:
+    return with_scan_position(read_id_files(spark, dirs), FILES)
 
 
 def planned_batches(ids: DataFrame, batch: int = BATCH_SIZE, max_batches: int | None = None) -> DataFrame:
-    """Every ``(dataset, file, batch)``; files without ids have none."""
+    """Every ``(dataset, file, batch)`` of unprocessed files; files without ids have none."""
     return batch_plan(batch_totals(ids, batch, FILES), max_batches, FILES)
 
 
+def remaining_batches(ids: DataFrame, ledger: DataFrame, batch: int = BATCH_SIZE, max_batches: int | None = None) -> DataFrame:
+    """``id, pos, dataset, file_name, batch_id`` of all ids that no finished batch held.
+
+    The ledger says how many ids of a file its batches covered, from the file's start, and
+    a checksum of them. The rest is cut into batches that follow the finished ones, so a
+    file that grew or another batch size loses nothing. A file whose covered ids have
+    changed is an error.
+    """
+    done = ledger.groupBy(*FILES).agg(F.sum("num_ids").alias("_covered"), F.sum(F.col("ids_hash").cast("decimal(38,0)")).alias("_hash"), (F.max("batch_id") + 1).alias("_next"))
+    done = durable(done, "covered")
+    placed = ids.join(done, list(FILES), "left")
+    held = placed.where(F.col("pos") < F.col("_covered")).groupBy(*FILES).agg(F.count(F.lit(1)).alias("_n"), _checksum().alias("_now"))
+    changed = done.join(held, list(FILES)).where((F.col("_n") != F.col("_covered")) | (F.col("_now") != F.col("_hash")))
+    names = [r.file_name for r in changed.select("file_name").limit(5).collect()]
+    if names:
+        raise ValueError(f"ids that were already processed have changed in {names}; use a new ledger")
+    left = placed.where(F.col("pos") >= F.coalesce("_covered", F.lit(0)))
+    rest = F.col("pos") - F.coalesce("_covered", F.lit(0))
+    numbered = left.withColumn("batch_id", F.coalesce("_next", F.lit(0)) + F.floor(rest / batch).cast("bigint"))
+    if max_batches is not None:
+        numbered = numbered.where(F.col("batch_id") < max_batches)
+    return numbered.select("id", "pos", *BATCH)
+
+
+def _checksum():
+    return F.sum(F.xxhash64("id", "pos").cast("decimal(38,0)") % F.lit(1 << 40))
+
+
 def hydrate_batches(
     spark: SparkSession,
     dirs: list[str],
@@ -65,26 +96,25 @@ def hydrate_batches(
     replace their own partitions, and the ledger is written last: a run that broke off is
     simply run again.
     """
-    ids = with_batch_id(with_scan_position(read_id_files(spark, dirs), FILES), batch)
-    plan = planned_batches(ids, batch, max_batches)
-    pending = durable(pending_batches(plan, read_ledger(spark, ledger), FILES), "pending")
+    ids = id_file_positions(spark, dirs)
+    todo = durable(remaining_batches(ids, read_ledger(spark, ledger), batch, max_batches), "todo")
+    pending = durable(todo.groupBy(*BATCH).agg(F.count(F.lit(1)).alias("num_ids"), _checksum().cast("bigint").alias("ids_hash")), "pending")
     if pending.isEmpty():
         return spark.createDataFrame([], LEDGER)
-    todo = ids.join(pending, list(BATCH), "left_semi").select("id", *BATCH)
 
+    # only the ids of the archive are parsed before the join; a repeated object counts once
+    wanted = tweet_ids(spark, archive).join(todo.select("id").distinct(), "id", "left_semi")
+    latest = first_per_key(wanted, "id", [F.desc("file_path"), F.desc("line_ord")]).select("id", "raw")
     # gathered by batch, each output partition is written by one task as one file
-    found = hydrate(todo, read_tweets(spark, archive)).hint("rebalance", *[F.col(c) for c in BATCH])
-    found = found.persist(StorageLevel.DISK_ONLY)
-    try:
-        kept, skipped = split_retweets(found)
-        lengths = kept.select(*BATCH, F.col("id_str").alias("tweet_id"), token_count(F.col("full_text")).alias("tweet_length"))
-        records = tweet_metadata(tweet_location(kept, countries, states), *BATCH)
-        write_corpus(records, f"{out}/corpus", text="content", normalise=False, by=BATCH)
-        write_metadata(records.drop("content"), f"{out}/metadata", by=BATCH)
-        write_lengths(lengths, f"{out}/lengths", by=BATCH)
-        write_skipped_ids(skipped, f"{out}/skipped_ids", by=BATCH)
-        log = durable(batch_log(pending, kept, FILES), "log")
-        append_ledger(log, ledger)
-        return log
-    finally:
-        found.unpersist()
+    found = hydrate(todo, latest).hint("rebalance", *[F.col(c) for c in BATCH])
+    found = durable(found, "found")
+    kept, skipped = split_retweets(parse_tweets(found.drop("pos").withColumnRenamed("id", "_id")).drop("_id"))
+    lengths = kept.select(*BATCH, F.col("id_str").alias("tweet_id"), token_count(F.col("full_text")).alias("tweet_length"))
+    records = tweet_metadata(tweet_location(kept, countries, states), *BATCH)
+    write_corpus(records, f"{out}/corpus", text="content", normalise=False, by=BATCH)
+    write_metadata(records.drop("content"), f"{out}/metadata", by=BATCH)
+    write_lengths(lengths, f"{out}/lengths", by=BATCH)
+    write_skipped_ids(skipped, f"{out}/skipped_ids", by=BATCH)
+    log = durable(batch_log(pending, kept, FILES).join(pending, list(BATCH)), "log")
+    append_ledger(log, ledger)
+    return log.select(*BATCH, "num_tweets_saved")

@@ -11,7 +11,7 @@ POSTS = T.StructType(
         T.StructField("source", T.StringType(), False),
         T.StructField("url", T.StringType(), False),
         T.StructField("content", T.StringType(), False),
-        T.StructField("id_custom", T.IntegerType(), False),
+        T.StructField("id_custom", T.LongType(), False),
         T.StructField("scrape_datetime", T.TimestampType()),
         T.StructField("author", T.StringType()),
         T.StructField("title", T.StringType()),
@@ -60,6 +60,9 @@ JSON_LD = (
     "dateCreated string, creator array<string>, articleSection string, keywords array<string>"
 )
 
-LEDGER = "dataset string, file_name string, batch_id int, num_tweets_saved bigint"
+LEDGER = (
+    "dataset string, file_name string, batch_id bigint, num_tweets_saved bigint, "
+    "num_ids bigint, ids_hash bigint"
+)
 
 PAGES = "page_id bigint, url string, html string"

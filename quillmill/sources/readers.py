@@ -114,18 +114,54 @@ def _file_key(path):
     return dataset, name.alias("file_name")
 
 
-def read_id_files(spark: SparkSession, dirs: list[str]) -> DataFrame:
-    """Tweet ids of headered and headerless id files alike.
+def _field(line, place):
+    """Field of a CSV line without its quotes; ``place`` counts from 0."""
+    quoted = F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    fields = F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ","))
+    return F.regexp_replace(F.get(fields, place), r'^\s*"?\s*|\s*"?\s*$', "")
+
+
+def id_lines(spark: SparkSession, dirs: list[str]) -> DataFrame:
+    """Lines of id files with their ``id``, null where there is none; headers are left out.
 
-    The id is the first field; a header line has no number there and drops out. The
-    columns ``file_path`` and ``block_start`` locate a row for `with_scan_position`.
+    A file whose first line names a column ``id`` has its ids in that column, any other
+    in the first one. ``scan_id`` is the order of the scan, ``block_start`` the place of
+    a line's block.
     """
     lines = spark.read.option("recursiveFileLookup", True).text(dirs).select(
-        F.split("value", ",", 2)[0].try_cast("bigint").alias("id"),
+        F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("scan_id"),
     )
-    return lines.where("id IS NOT NULL").select("*", *_file_key(F.col("file_path")))
+    first = lines.where("block_start = 0").groupBy("file_path").agg(F.min_by("line", "scan_id").alias("header"), F.min("scan_id").alias("first_id"))
+    named = F.transform(F.split(F.lower("header"), ","), lambda c: F.regexp_replace(c, r'[\s"\ufeff]', ""))
+    place = first.select("file_path", "first_id", (F.array_position(named, "id") - 1).cast("int").alias("place"))
+    known = lines.join(place, "file_path").where(~((F.col("scan_id") == F.col("first_id")) & (F.col("place") >= 0)))
+    id = _field(F.col("line"), F.greatest("place", F.lit(0))).try_cast("bigint")
+    return known.where(F.trim("line") != "").select("line", id.alias("id"), "file_path", "block_start", "scan_id", *_file_key(F.col("file_path")))
+
+
+def read_id_files(spark: SparkSession, dirs: list[str]) -> DataFrame:
+    """Tweet ids of headered and headerless id files alike.
+
+    ``file_path``, ``block_start`` and ``scan_id`` locate a row for `with_scan_position`.
+    """
+    return id_lines(spark, dirs).where("id IS NOT NULL").drop("line")
+
+
+def rejected_id_lines(spark: SparkSession, dirs: list[str]) -> DataFrame:
+    """Lines of id files that are neither a header nor blank and hold no id."""
+    return id_lines(spark, dirs).where("id IS NULL").select("dataset", "file_name", "file_path", "line")
+
+
+def tweet_ids(spark: SparkSession, path: str) -> DataFrame:
+    """``id, raw`` of the archive's lines; nothing but the id is parsed.
+
+    ``(file_path, line_ord)`` is the order of the lines.
+    """
+    lines = spark.read.text(path).select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("line_ord"))
+    return lines.select(F.get_json_object("raw", "$.id").try_cast("bigint").alias("id"), "raw", "file_path", "line_ord")
 
 
 def parse_tweets(raw: DataFrame, col: str = "raw") -> DataFrame:

@@ -51,12 +51,13 @@ def write_skipped_ids(df: DataFrame, path: str, by: tuple[str, ...] = (), id: st
 
 
 def write_daily_partitions(df: DataFrame, path: str, date_range: tuple[str, str] | None = None) -> None:
-    """One folder of headered CSV files per day, appended.
+    """One folder of headered CSV files per day; days that ``df`` has are replaced.
 
-    Rows are gathered per day so that a day has few files, and a day that holds very
+    So a repeated run changes nothing. Rows are gathered per day so that a day has few files, and a day that holds very
     many rows is split again into files of bounded size.
     """
-    in_date_range(df, date_range).hint("rebalance", F.col("date")).write.mode("append").partitionBy("date").option("header", True).csv(path)
+    days = in_date_range(df, date_range).hint("rebalance", F.col("date"))
+    _replace(days, ("date",)).option("header", True).csv(path)
 
 
 def write_sample_texts(df: DataFrame, path: str, id: str = "id", text: str = "text") -> None:

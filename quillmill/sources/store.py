@@ -67,4 +67,4 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 def append_ledger(log: DataFrame, path: str) -> None:
     """Record finished batches."""
-    log.select("dataset", "file_name", "batch_id", "num_tweets_saved").write.mode("append").parquet(path)
+    log.select("dataset", "file_name", "batch_id", "num_tweets_saved", "num_ids", "ids_hash").write.mode("append").parquet(path)

@@ -169,7 +169,7 @@ def test_weforum_articles(spark):
 def test_values_are_extracted_once(spark):
     df = spark.createDataFrame([(1, "u", page("<article>x</article>"))], "id_custom int, url string, html string")
     physical = plan.article_record(df, "guardian")[0]._jdf.queryExecution().executedPlan().toString()
-    assert physical.count("<article") <= 2  # one article pattern, one block-tag list
+    assert physical.count("<article") <= 4  # one expression with its patterns
 
 
 def test_filters(spark):
@@ -284,3 +284,19 @@ def test_broken_pages_take_linear_time(spark):
 def test_nested_furniture_and_text_behind_the_last_tag(values):
     nested = "<body><header><nav><form>a</form>b</nav>c</header><p>text</p><aside><nav>d</nav>e</aside>1 < 2 and"
     assert values(H.main_text, [nested, "<body>a > b <nav>open <p>c"]) == ["text\n1 < 2 and", "a > b open\nc"]
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<body><article>a<article>teaser</article>b</article></body>", "a\nteaser\nb"),
+        ("<body><article>one</article><p>x</p><article>two</article></body>", "one\ntwo"),
+        ("<body><form><p>all of it</p></form></body>", "all of it"),
+        ("<body><form><article>a<form>search</form></article></form></body>", "a"),
+        ("<body>keep<form>search</form></body>", "keep"),
+        ("<article>&uuml;&Ccedil;&auml; &#00000000233; &notin; &nothing; &acE;</article>", "üÇä é ∉ &nothing; ∾̳"),
+        ("<article>open to the end", "open to the end"),
+    ],
+)
+def test_main_text_of_ordinary_pages(values, html, text):
+    assert values(H.main_text, [html]) == [text]

@@ -36,6 +36,14 @@ def test_article_dates(values):
         "2020/4/5": "2020-04-05",
         "5.4.2020": "2020-04-05",
         "4/5/2020": "2020-04-05",
+        "20200506": "2020-05-06",
+        "6 Sept 2020": "2020-09-06",
+        "10:30 6 May 2020": "2020-05-06",
+        "06-05-2020": "2020-06-05",
+        "16-05-2020": "2020-05-16",
+        "6th of May 2020": "2020-05-06",
+        "Wednesday 6 May 2020 10:30": "2020-05-06",
+        "31 February 2020": None,
         "soon": None,
         "": None,
     }

@@ -74,10 +74,8 @@ def test_take_first(spark):
     assert "TakeOrderedAndProject" in plan_of(L.take_first(df, 3, ["k"]))
 
 
-@pytest.mark.parametrize("one_task_keys", [1_000, 5])
-def test_long_prefixes_are_cut_by_their_last_key(spark, monkeypatch, one_task_keys):
+def test_long_prefixes_are_cut_where_they_lie(spark, monkeypatch):
     monkeypatch.setattr(L, "ONE_TASK_ROWS", 5)
-    monkeypatch.setattr(L, "ONE_TASK_KEYS", one_task_keys)
     rows = [(i % 7, None if i == 3 else i, "wide" * 10) for i in range(100)]
     df = spark.createDataFrame(rows, "a int, b int, text string").repartition(5)
     by_key = sorted(rows, key=lambda r: (r[0], -1 if r[1] is None else r[1]))
@@ -88,6 +86,20 @@ def test_long_prefixes_are_cut_by_their_last_key(spark, monkeypatch, one_task_ke
     assert L.sample_exact(df.withColumn("id", F.col("a") * 100 + F.coalesce("b", F.lit(0))), "id", 30, 1).count() == 30
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_prefixes_of_ties_are_exact_on_both_paths(spark, monkeypatch, descending):
+    df = spark.range(3_000).select((F.col("id") / 10).cast("int").alias("k"), "id").repartition(7)
+    order = [F.desc("k")] if descending else ["k"]
+    for n in (1, 995, 1_001, 2_999, 3_000, 9_999):
+        cuts = []
+        for limit in (1, 10_000):
+            monkeypatch.setattr(L, "ONE_TASK_ROWS", limit)
+            cuts.append(sorted(r.id for r in L.take_first(df, n, order).collect()))
+        assert cuts[0] == cuts[1] and len(cuts[0]) == min(n, 3_000)
+        keys = sorted((i // 10 for i in range(3_000)), reverse=descending)[:n]
+        assert sorted(i // 10 for i in cuts[0]) == sorted(keys)
+
+
 def test_sample_is_exact_and_reproducible(spark):
     df = spark.range(1000)
     a, b, c = (sorted(r.id for r in L.sample_exact(df, "id", 50, seed).collect()) for seed in (1, 1, 2))
