@@ -166,13 +166,13 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    def score(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         learned = shared.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                found = score_texts(learned, part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["row", "lang_pred", "score"])
-
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
-    return rows.mapInArrow(score, rows.select("row").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema)
+        for texts in arrays:
+            found = [f for at in range(0, len(texts), ROWS) for f in score_texts(learned, texts.slice(at, ROWS).to_pylist())]
+            yield pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["lang_pred", "score"])
+
+    # only the text goes to Python, and the other columns wait for the result
+    found = docs.select(F.struct("*").alias("row"), score(F.col(text)).alias("found"))
+    return found.select("row", "found.lang_pred", "found.score")
