@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import public_tokenizers
 
 from quillmill.durable import durable, scratch_path
+from quillmill.operators.filters import extracted
 from quillmill.llm import exact_dedup, imatch, jaccard_join, language_id, license_scan, mixing, packing, sharding, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,10 +51,18 @@ def op4_imatch(spark, sf):
     words = imatch.known_words(docs)
     hashes = lambda text: imatch.subset_hashes(text, words)
     near = imatch.with_next_text(docs, carried=hashes)
-    # filters on computed lists keep Spark from computing them once for every use
-    own = near.select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), hashes(F.col("text")).alias("own"), hashes(F.col("edited")).alias("changed"), "next")
+    rows = extracted(
+        near,
+        {
+            "id": F.col("id"),
+            "n_chars": F.col("n_chars"),
+            "edited_sha256": F.sha2("edited", 256),
+            "own": hashes(F.col("text")),
+            "changed": hashes(F.col("edited")),
+            "next": F.col("next"),
+        },
+    )
     text = lambda c: F.concat_ws("", c)
-    rows = own.where((F.size("own") > 0) & (F.size("changed") > 0))
     return rows.select(
         F.col("id").alias("doc_id"),
         F.col("n_chars").cast("bigint").alias("n_chars"),
