@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from quillmill.durable import durable
-from quillmill.llm.tokens import encode_texts
+from quillmill.llm.tokens import encode_texts, slices
 
 CAPACITY = 4096
 #: Pieces that one task packs. It holds their lengths only.
@@ -33,7 +33,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             keys = batch.column(0).to_pylist()
             rows, parts = [], []
             for key, data in zip(keys, encode_texts(tokenizer, True, batch.column(1).to_pylist())):

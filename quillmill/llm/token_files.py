@@ -20,10 +20,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quillmill.durable import durable
-from quillmill.llm.tokens import encode_texts
+from quillmill.llm.tokens import encode_texts, slices
 
 SEQUENCE = 2048
 BATCH = 64
+#: Words that a worker keeps: this operator does little besides.
+STORED_WORDS = 1_200_000
 MANIFEST = "part int, path string, index_path string, documents bigint, tokens bigint"
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -81,12 +83,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         files, root = fs.FileSystem.from_uri(path)
         part, writer, places = TaskContext.get().partitionId(), None, []
         name = f"{root}/part-{part:06d}-{uuid.uuid4().hex}"
-        for batch in batches:
-            if writer is None and batch.num_rows:
+        for batch in slices(batches):
+            if writer is None:
                 files.create_dir(root)
                 sink = files.open_output_stream(f"{name}.arrow")
                 writer = SequenceWriter(sink, kind, sequence, BATCH)
-            for key, data in zip(batch.column(0).to_pylist(), encode_texts(tokenizer, False, batch.column(1).to_pylist())):
+            for key, data in zip(batch.column(0).to_pylist(), encode_texts(tokenizer, False, batch.column(1).to_pylist(), STORED_WORDS)):
                 ids = np.frombuffer(data + end, "<u4").astype(kind.to_pandas_dtype())
                 places.append((key, writer.tokens, len(ids)))
                 writer.add(ids)

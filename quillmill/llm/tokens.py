@@ -13,8 +13,11 @@ import re
 import numpy as np
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-#: Words kept in a worker's memory; beyond that the store starts anew. Results are the same.
-STORED_WORDS = 1_200_000
+#: Words kept in a worker's memory, about 250 bytes each; beyond that the store starts anew.
+#: Results are the same.
+STORED_WORDS = 300_000
+#: Texts taken from an Arrow batch at a time.
+ROWS = 1_500
 #: Characters of the texts that are encoded together.
 TOGETHER = 6_000_000
 #: Words that a normalizer only lowers: one unit of letters, and perhaps one of punctuation.
@@ -121,9 +124,9 @@ class WordEncoder:
     def _segments(self, text: str) -> list[str]:
         return re.split(r"(?<=[!-~À-ɏ])(?= )", text)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str], stored: int = STORED_WORDS) -> list[bytes]:
         split = [self._split(t) for t in texts]
-        if len(self.first) + len(self.after) > STORED_WORDS:
+        if len(self.first) + len(self.after) > stored:
             self.first.clear()
             self.after.clear()
         other = {i: self._segments(t) for i, (t, lines) in enumerate(zip(texts, split)) if lines is None}
@@ -148,7 +151,7 @@ class WordEncoder:
 _ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
 
 
-def encode_texts(path: str, drops_space: bool, texts: list[str | None]):
+def encode_texts(path: str, drops_space: bool, texts: list[str | None], stored: int = STORED_WORDS):
     """Ids of each text in turn; a null text is empty. Encoders live as long as the worker."""
     encoder = _ENCODERS.get((path, drops_space)) or _ENCODERS.setdefault((path, drops_space), WordEncoder(path, drops_space))
     group, held = [], 0
@@ -156,6 +159,13 @@ def encode_texts(path: str, drops_space: bool, texts: list[str | None]):
         group.append(text or "")
         held += len(group[-1])
         if held > TOGETHER:
-            yield from encoder.encode(group)
+            yield from encoder.encode(group, stored)
             group, held = [], 0
-    yield from encoder.encode(group)
+    yield from encoder.encode(group, stored)
+
+
+def slices(batches):
+    """Arrow batches in parts, so that little is held as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)

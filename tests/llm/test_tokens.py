@@ -33,13 +33,11 @@ def test_ids_equal_the_library_on_whole_texts(name, texts):
 LIBRARY: dict = {}
 
 
-def test_a_full_store_changes_nothing(monkeypatch):
-    monkeypatch.setattr(tokens, "STORED_WORDS", 5)
-    monkeypatch.setattr(tokens, "TOGETHER", 50)
+def test_a_full_store_changes_nothing():
     for name, drops in KINDS.items():
         encoder = tokens.WordEncoder(public_tokenizers.path(name), drops)
         for _, text, *_ in odd_rows()[:20]:
-            assert np.frombuffer(encoder.encode([text or ""])[0], "<u4").tolist() == plain(encoder.tokenizer, text)
+            assert np.frombuffer(encoder.encode([text or ""], 5)[0], "<u4").tolist() == plain(encoder.tokenizer, text)
 
 
 def check_packed(rows, texts, capacity=4096):
