@@ -36,8 +36,11 @@ def parser() -> argparse.ArgumentParser:
     paper.add_argument("input_dir")
     paper.add_argument("--sample", action="store_true", help="write single texts of a random sample (default limit 200)")
 
+    paper.add_argument("--single-line", action="store_true", help="no CSV field holds a line break: one file may be several tasks")
+
     post = command("process-posts", "labelled post tables to corpus and metadata")
     post.add_argument("inputs", nargs="+", metavar="LABEL=PATH")
+    post.add_argument("--single-line", action="store_true", help="no CSV field holds a line break: one file may be several tasks")
 
     split = command("split-ids", "12-column id table to one folder per day", limited=False)
     split.add_argument("tsv")
@@ -71,9 +74,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "process-papers" and args.sample:
         papers.sample_papers(spark, args.input_dir, out, args.limit or 200)
     elif args.command == "process-papers":
-        papers.process_papers(spark, args.input_dir, out, args.limit)
+        papers.process_papers(spark, args.input_dir, out, args.limit, not args.single_line)
     elif args.command == "process-posts":
-        posts.process_posts(spark, dict(i.split("=", 1) for i in args.inputs), out, args.limit)
+        posts.process_posts(spark, dict(i.split("=", 1) for i in args.inputs), out, args.limit, multi_line=not args.single_line)
     elif args.command == "split-ids":
         days = tuple(args.days) if args.days else None
         counts = tweets.split_id_table_by_day(spark, args.tsv, f"{out}/days", days)

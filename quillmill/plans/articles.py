@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from quillmill.durable import durable
 from quillmill.functions import html as H
 from quillmill.functions.dates import article_date, iso_date
 from quillmill.functions.text import decode_unicode, doc_id, replace_linebreaks, split_tags
@@ -127,9 +128,11 @@ def article_frontier(index_pages: DataFrame, source: str, limit: int | None = No
 # --- article pages -------------------------------------------------------------------
 
 
-def article_record(pages: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
+def article_record(pages: DataFrame, source: str, stored: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(posts, rejected)`` of pages ``(id_custom, url, html)`` by the source's rules.
 
+    With ``stored`` the extracted rows are written once for both.
+
     Rejected pages carry a ``reason``: no text, or none of a field the source must have.
     """
     source = check_source(source)
@@ -172,7 +175,7 @@ def article_record(pages: DataFrame, source: str) -> tuple[DataFrame, DataFrame]
     rows = extracted(pages.withColumn("_metas", H.meta_list(html)), fields)
     if source == "gov_uk_news":
         rows = drop_survey_pages(rows)
-    kept, rejected = require_extracted(rows, required)
+    kept, rejected = require_extracted(durable(rows, "extracted") if stored else rows, required)
     return kept, rejected.select("source", "url", "id_custom", "reason")
 
 
@@ -187,14 +190,17 @@ def scrape_articles(
     """Index pages and article pages to new posts in the store; returns the rejects.
 
     A URL listed several times is looked up once, under its first index; a stored one is
-    not looked up again.
+    not looked up again. Listed links without a page are rejects, too.
     """
     links = article_frontier(index_pages, source, limit)
     once = links.groupBy("url").agg(F.min("id_custom").alias("id_custom"))
-    pages = unseen(once, store).join(article_pages.select("url", "html"), "url")
-    posts, rejected = article_record(pages, source)
+    wanted = durable(unseen(once, store), "wanted")
+    pages = article_pages.select("url", "html")
+    posts, rejected = article_record(wanted.join(pages, "url"), source, stored=True)
+    missing = wanted.join(pages.select("url"), "url", "left_anti").select(F.lit(check_source(source)).alias("source"), "url", "id_custom", F.lit("no page").alias("reason"))
+    rejects = durable(rejected.unionByName(missing), "rejects")
     append_posts(posts, store, all_unseen=True)
-    return rejected
+    return rejects
 
 
 # --- export --------------------------------------------------------------------------

@@ -13,20 +13,23 @@ from quillmill.sources.sinks import write_corpus, write_metadata, write_sample_t
 META_FIELDS = ["journal", "doi", "url", "publish_time"]
 
 
-def papers(spark: SparkSession, root: str, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(corpus, metadata)`` of the paper folders below ``root``."""
+def papers(spark: SparkSession, root: str, limit: int | None = None, multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``(corpus, metadata)`` of the paper folders below ``root``.
+
+    ``multi_line=False`` lets Spark split a large metadata.csv whose fields hold no line breaks.
+    """
     found = take_first(read_papers(spark, root), limit, ["dir_ord", "file_path"])
-    joined = join_paper_metadata(found, read_paper_metadata(spark, root), ["file_path", "row_ord"], META_FIELDS)
+    joined = join_paper_metadata(found, read_paper_metadata(spark, root, multi_line), ["file_path", "row_ord"], META_FIELDS)
     return paper_corpus(found), paper_record(joined)
 
 
-def process_papers(spark: SparkSession, root: str, out: str, limit: int | None = None) -> None:
+def process_papers(spark: SparkSession, root: str, out: str, limit: int | None = None, multi_line: bool = True) -> None:
     """Write corpus and metadata.
 
     The two outputs need different fields of a paper, so each is its own pruned scan;
     nothing is cached.
     """
-    corpus, metadata = papers(spark, root, limit)
+    corpus, metadata = papers(spark, root, limit, multi_line)
     write_corpus(corpus, f"{out}/cord19_processed/corpus", normalise=False)
     write_metadata(metadata, f"{out}/cord19_processed/metadata")
 

@@ -25,12 +25,12 @@ def labelled_posts(posts: DataFrame, order: list[str], limit: int | None = None)
     return labelled_post_record(with_sequence(valid, order, ID_FORMAT, limit=limit).drop(*order))
 
 
-def process_posts(spark: SparkSession, paths: dict[str, str], out: str, limit: int | None = None, normalise: bool = True) -> None:
+def process_posts(spark: SparkSession, paths: dict[str, str], out: str, limit: int | None = None, normalise: bool = True, multi_line: bool = True) -> None:
     """Write corpus and metadata of labelled post tables, e.g. ``{"female": …, "male": …}``.
 
     Metadata keeps the input's column order. Posts are numbered in a stored frame, so
     both outputs carry the same ids.
     """
-    posts = labelled_posts(read_posts_csv(spark, paths), ORDER, limit)
+    posts = labelled_posts(read_posts_csv(spark, paths, multi_line=multi_line), ORDER, limit)
     write_corpus(posts, f"{out}/reddit_processed/corpus", text="content", normalise=normalise)
     write_metadata(posts.drop("content"), f"{out}/reddit_processed/metadata", sort_keys=False)

@@ -217,7 +217,7 @@ ORACLES["frontier_limit"] = f"""
 WITH {_LINKS} SELECT page_num, pos, {_SITE} AS url FROM links ORDER BY page_num, pos LIMIT 120"""
 ORACLES["article_index"] = f"""
 WITH {_LINKS} SELECT 'site' AS source, page_num, pos, {_SITE} AS url,
-       CAST(row_number() OVER (ORDER BY page_num, pos) AS INTEGER) AS id_custom FROM links"""
+       row_number() OVER (ORDER BY page_num, pos) AS id_custom FROM links"""
 ORACLES["index_frontier"] = f"""
 WITH {_LINKS}, n AS (SELECT page_num AS page_id, CAST(ceil(count(*) * 37 / 20) AS INTEGER) AS n FROM links GROUP BY 1),
 u AS (SELECT page_id, unnest(generate_series(1, n)) AS page_num FROM n)
@@ -266,7 +266,7 @@ FROM pages"""
 ORACLES["export_posts"] = f"""
 SELECT printf('%05d_guardian', page_id + 1) AS id, {_line(_ascii(f"replace(replace({_main_text('html')}, '©', '(c)'), '·', '*')"))} AS text, {_TITLE} AS title, url FROM pages"""
 ORACLES["ingest_pages_stream"] = f"""
-SELECT 'sun' AS source, url, CAST(page_id AS INTEGER) AS id_custom, {_TITLE} AS title, {_main_text('html')} AS content FROM pages"""
+SELECT 'sun' AS source, url, page_id AS id_custom, {_TITLE} AS title, {_main_text('html')} AS content FROM pages"""
 
 ORACLES["written_corpus"] = f"SELECT doc_id || chr(9) || {_line('text')} AS line FROM documents"
 ORACLES["written_metadata"] = """
@@ -288,3 +288,20 @@ ORACLES["resumed_batches"] = f"""
 WITH {_TWEETS}, o AS (SELECT *, strftime(ts, '%Y-%m-%d') || '_tweets_cov19.csv' AS file_name FROM t)
 SELECT file_name, count(*) AS ids, count(*) FILTER (kept) AS saved, count(*) FILTER (kept) AS lines, count(DISTINCT event_id) FILTER (kept) AS texts
 FROM o GROUP BY file_name"""
+
+ORACLES["page_counts"] = """
+WITH n AS (SELECT page_id, CAST(page_id % 900 + 2 AS INTEGER) AS n FROM pages)
+SELECT page_id, s.source, CASE WHEN s.source = 'telegraph' THEN 1001 ELSE n END AS num_pages
+FROM n, (SELECT unnest(['gov_uk_news', 'guardian', 'sun', 'telegraph', 'weforum']) AS source) s"""
+ORACLES["scraped_articles"] = """
+WITH l AS (SELECT page_id // 10 AS page_num, page_id AS place, url, true AS there FROM pages
+           UNION ALL SELECT DISTINCT page_id // 10, 1000000000000, 'https://gone.example.org/' || (page_id // 10), false FROM pages)
+SELECT url, row_number() OVER (ORDER BY page_num, place) AS id_custom, CASE WHEN there THEN 'saved' ELSE 'no page' END AS state FROM l"""
+ORACLES["processed_papers"] = f"""
+SELECT printf('%06d', d.doc_id) || chr(9) || {_line("source || chr(10) || lang || chr(10) || text")} AS line,
+       source AS title, 'journal ' || quality AS journal, 'https://doi.example.org/' || l.doc_id AS url
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
+for _source, _columns in (("gov_uk_news", "'news' AS kind"), ("telegraph", "NULL AS kind"), ("weforum", "'health' AS kind")):
+    ORACLES[f"{_source}_records"] = f"""
+SELECT page_id + 1 AS id_custom, 'T' || page_id AS title, 'text ' || page_id AS content, '2020-05-06' AS date, CAST({_columns[:-8]} AS VARCHAR) AS kind
+FROM pages WHERE page_id % 3 <> 0"""

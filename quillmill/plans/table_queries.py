@@ -8,6 +8,7 @@ tables by Spark, so the work grows with them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -18,8 +19,8 @@ from quillmill.functions.tweets import tweet_metadata
 from quillmill.operators import aggregates as A, filters as FL, joins as J, limits as L, positions as W, records as R
 from quillmill.operators.sets import concat_labelled, dedup_links, union_files
 from quillmill.plans import articles, posts as post_plan, tweets as tweet_plan
-from quillmill.plans.papers import META_FIELDS
-from quillmill.schemas import JSON_LD
+from quillmill.plans.papers import META_FIELDS, process_papers
+from quillmill.schemas import AUTHORS, JSON_LD
 from quillmill.sources import readers, sinks, store
 from quillmill.streaming.ingest import ingest_stream, source_posts
 
@@ -189,6 +190,32 @@ def paper_corpus(spark, sf):
     return R.paper_corpus(_paper_rows(spark, sf))
 
 
+@query
+def processed_papers(spark, sf):
+    """Paper files and metadata.csv written from the tables, processed, and both outputs read back."""
+    root, out = scratch_path(spark, "papers"), scratch_path(spark, "papers-out")
+    id = F.format_string("%06d", "doc_id")
+    paragraph = F.array(F.struct(F.col("lang").alias("section"), F.col("text").alias("text")))
+    paper = F.struct(id.alias("paper_id"), F.struct(F.col("source").alias("title"), F.array().cast(AUTHORS).alias("authors")).alias("metadata"), paragraph.alias("body_text"))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    for k, name in enumerate(readers.PAPER_DIRS):
+        files = _documents(spark, sf).where(half == k).select(F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("file"), paper.alias("p"))
+        listed = files.groupBy("file").agg(F.to_json(F.collect_list("p")).alias("value")).select("value")
+        listed.write.option("maxRecordsPerFile", 1).text(f"{root}/{name}")
+    sha = F.format_string("%06d", "doc_id")
+    table(spark, sf, "labels").select(
+        F.concat(F.lit("x; "), sha).alias("sha"),
+        F.concat(F.lit("journal "), F.col("quality").cast("string")).alias("journal"),
+        F.lit(None).cast("string").alias("doi"),
+        F.concat(F.lit("https://doi.example.org/"), F.col("doc_id").cast("string")).alias("url"),
+        F.lit("2020-03-01").alias("publish_time"),
+    ).write.option("header", True).csv(f"{root}/metadata.csv")
+    process_papers(spark, root, out, multi_line=False)
+    lines = spark.read.text(f"{out}/cord19_processed/corpus").select(F.substring_index("value", "\t", 1).alias("id"), F.col("value").alias("line"))
+    records = spark.read.schema("id string, title string, journal string, url string").json(f"{out}/cord19_processed/metadata")
+    return lines.join(records, "id").drop("id")
+
+
 @query
 def paper_records(spark, sf):
     # half of the labels name two papers in one list, as the metadata table does
@@ -644,6 +671,69 @@ def index_frontier(spark, sf):
     return articles.index_frontier(pages, articles.RULES["guardian"].index_url)
 
 
+@query
+def page_counts(spark, sf):
+    """Number of index pages as each source writes it."""
+    n = (F.col("page_id") % 900 + 2).cast("int").cast("string")
+    spelled = {
+        "gov_uk_news": F.concat(F.lit('<span class="gem-c-pagination__link-label">2 of '), n, F.lit("</span>")),
+        "guardian": F.concat(F.lit('<span class="pagination__legend">x '), F.format_string("%,d", (F.col("page_id") % 900 + 2) * 20), F.lit("</span>")),
+        "sun": F.concat(F.lit('<li class="rectangle-4-copy-10">1</li><li class="rectangle-4-copy-10">'), n, F.lit("</li>")),
+        "telegraph": F.lit("<html></html>"),
+        "weforum": F.concat(F.lit('<div class="pagination__page-info">1/'), F.repeat(F.lit(" "), F.lit(30)), n, F.lit("</div>")),
+    }
+    counts = [_pages(spark, sf).select("page_id", F.lit(name).alias("source"), articles.page_count(html, name).alias("num_pages")) for name, html in spelled.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def scraped_articles(spark, sf):
+    """Index pages to links to pages to the store, twice: the second run finds only what is missing."""
+    place = F.floor(F.col("page_id") / 10).alias("page_num")
+    anchor = lambda url: F.concat(F.lit('<a class="fc-item__link" href="'), F.replace(url, F.lit("&"), F.lit("&amp;")), F.lit('">x</a>'))
+    listed = _pages(spark, sf).select(place, "page_id", anchor(F.col("url")).alias("a"))
+    anchors = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_id", "a"))), lambda s: s["a"]), "")
+    gone = anchor(F.concat(F.lit("https://gone.example.org/"), F.col("page_num").cast("string")))
+    index = listed.groupBy("page_num").agg(anchors.alias("html")).withColumn("html", F.concat("html", gone))
+    path = scratch_path(spark, "store")
+    for _ in range(2):
+        rejected = articles.scrape_articles(spark, "guardian", index, _pages(spark, sf), path)
+    saved = store.read_posts(spark, path, "guardian").select("url", "id_custom", F.lit("saved").alias("state"))
+    return saved.unionByName(rejected.select("url", "id_custom", F.col("reason").alias("state")))
+
+
+def _source_records(spark, sf, source: str, head: Column, body: Column, kind: Column) -> DataFrame:
+    """Pages of one source; every third one lacks a title and is rejected."""
+    title = F.when(F.col("page_id") % 3 != 0, F.concat(F.lit('<meta property="og:title" content="T'), F.col("page_id").cast("string"), F.lit('">'))).otherwise(F.lit(""))
+    html = F.concat(F.lit("<html><head>"), title, F.lit('<meta property="og:description" content="D">'), head, F.lit("</head><body>"), body, F.lit("</body></html>"))
+    pages = _pages(spark, sf).select((F.col("page_id") + 1).alias("id_custom"), "url", html.alias("html"))
+    kept, _ = articles.article_record(pages, source)
+    return kept.select("id_custom", "title", "content", "date", kind.cast("string").alias("kind"))
+
+
+def _content(before: str, after: str) -> Column:
+    return F.concat(F.lit(before + "text "), F.col("page_id").cast("string"), F.lit(after))
+
+
+@query
+def gov_uk_news_records(spark, sf):
+    head = F.lit('<meta name="govuk:taxon-slug" content="x"><meta name="govuk:format" content="news"><meta name="date" content="6th of May 2020">')
+    return _source_records(spark, sf, "gov_uk_news", head, _content("<article><p>", "</p></article>"), F.col("format"))
+
+
+@query
+def telegraph_records(spark, sf):
+    head = F.lit('<meta property="article:published_time" content="20200506">')
+    return _source_records(spark, sf, "telegraph", head, _content("<form><article><p>", "</p></article></form>"), F.lit(None))
+
+
+@query
+def weforum_records(spark, sf):
+    item = '\n{"@context": "x", "dateCreated": "10:30 6 May 2020", "creator": ["A"], "articleSection": "health", "keywords": ["k"]}\n'
+    body = _content('<div class="article-body"><div>', "</div>We use cookies to improve your experience</div>".replace("</div>We", "</div>\nWe"))
+    return _source_records(spark, sf, "weforum", F.lit(f"<script>{item}</script>"), body, F.col("category"))
+
+
 @query
 def page_title(spark, sf):
     return _pages(spark, sf).select("page_id", H.page_title(F.col("html")).alias("title"))
