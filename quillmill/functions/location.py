@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from quillmill.functions.text import let, tokens_no_punct
+from quillmill.functions.text import tokens_no_punct
 
 # Postal abbreviations of the 50 states.
 US_STATES = (
@@ -15,63 +15,65 @@ UNITED_STATES = "United States"
 UNITED_KINGDOM = "United Kingdom"
 UK = "UK"
 
-# A country list has a few hundred rows; more means a wrong table was passed.
-MAX_COUNTRIES = 5_000
 
+def _by_name(locations: DataFrame, countries: DataFrame) -> DataFrame:
+    """``loc, by_name``: the *last* country of the list whose name occurs in the text.
 
-def country_list(countries: DataFrame) -> Column:
-    """The dimension ``(ord, name, alpha2, alpha3)`` as one ordered array value.
-
-    It is a scalar subquery: Spark evaluates it once per query and every task reads it
-    as a constant. The size is checked before it is used.
-    """
-    entry = F.struct("ord", "name", "alpha2", "alpha3")
-    listed = F.array_sort(F.collect_list(entry))
-    checked = F.when(
-        F.count(F.lit(1)) > MAX_COUNTRIES,
-        F.raise_error(F.lit(f"country dimension has more than {MAX_COUNTRIES} rows")),
-    ).otherwise(listed)
-    return countries.limit(MAX_COUNTRIES + 1).agg(checked.alias("countries")).scalar()
-
-
-def place_from_text(location: Column, dim: Column, states: list[str] | tuple[str, ...] = tuple(US_STATES)) -> Column:
-    """Country named by a free-text location, or null.
-
-    In this order: the *last* country of the list whose name occurs in the text; the
-    United States when a word is a state abbreviation; the first hit over the list of
-    alpha-2, ``UK`` and alpha-3 codes among the words. ``UK`` is looked for while the
-    list's first country is tried, so only that country's alpha-2 code comes before it.
+    "Occurs" is equality with one of the text's substrings of the lengths that names have,
+    so no pairs are compared.
     """
-    named = F.filter(dim, lambda c: F.contains(location, c["name"]))
-    by_name = F.try_element_at(named, F.lit(-1))["name"]
+    lengths = countries.agg(F.collect_set(F.length("name")).alias("lengths")).scalar()
+    bound = locations.withColumn("lengths", lengths)
+
+    def substrings(n):
+        return F.transform(F.sequence(F.lit(1), F.length("loc") - n + 1), lambda i: F.substring(F.col("loc"), i, n))
 
-    def coded(words: Column, field: str, step: int) -> Column:
-        hits = F.filter(dim, lambda c: F.array_contains(words, c[field]))
-        return F.transform(hits, lambda c: _ranked(c, step, c["name"]))
+    fitting = F.filter("lengths", lambda n: n <= F.length("loc"))
+    parts = bound.select("loc", F.explode(F.array_distinct(F.flatten(F.transform(fitting, substrings)))).alias("name"))
+    last = parts.join(countries.select("name", "ord"), "name").groupBy("loc").agg(F.max("ord").alias("ord"))
+    return last.join(countries.select("ord", F.col("name").alias("by_name")), "ord").select("loc", "by_name")
 
-    def by_word(words: Column) -> Column:
-        by_state = F.when(F.arrays_overlap(words, F.array(*[F.lit(s) for s in states])), F.lit(UNITED_STATES))
-        uk = F.array(_ranked(F.try_element_at(dim, F.lit(1)), 1, F.lit(UNITED_KINGDOM)))
-        any_uk = F.when(F.array_contains(words, UK) & (F.size(dim) > 0), uk).otherwise(F.slice(uk, 1, 0))
-        by_code = F.array_min(F.concat(coded(words, "alpha2", 0), any_uk, coded(words, "alpha3", 2)))["name"]
-        return F.coalesce(by_state, by_code)
 
-    return F.when(F.length(location) > 0, F.coalesce(by_name, let(tokens_no_punct(location), by_word)))
+def _by_word(locations: DataFrame, countries: DataFrame, states) -> DataFrame:
+    """``loc, in_state, by_code``: a state abbreviation among the words, and the first code.
 
+    Codes rank by the list: alpha-2 before alpha-3 of a country, and ``UK`` right after
+    the first country's alpha-2.
+    """
+    words = locations.select("loc", F.explode(F.array_distinct(tokens_no_punct(F.col("loc")))).alias("word"))
+    codes = countries.select(F.col("alpha2").alias("word"), (F.col("ord") * 3).alias("rank"), "name").unionByName(
+        countries.select(F.col("alpha3").alias("word"), (F.col("ord") * 3 + 2).alias("rank"), "name")
+    )
+    uk = countries.agg(F.min("ord").alias("ord")).where("ord is not null")
+    codes = codes.unionByName(uk.select(F.lit(UK).alias("word"), (F.col("ord") * 3 + 1).alias("rank"), F.lit(UNITED_KINGDOM).alias("name")))
+    first = words.join(codes.drop("name"), "word").groupBy("loc").agg(F.min("rank").alias("rank"))
+    coded = first.join(codes.drop("word").distinct(), "rank").select("loc", F.col("name").alias("by_code"))
+    in_state = words.where(F.col("word").isin(list(states))).select("loc").distinct().withColumn("in_state", F.lit(True))
+    return coded.join(in_state, "loc", "full")
 
-def _ranked(country: Column, step: int, name: Column) -> Column:
-    return F.struct((country["ord"] * 3 + step).cast("bigint").alias("rank"), name.alias("name"))
+
+def resolve_locations(locations: DataFrame, countries: DataFrame, states: list[str] | tuple[str, ...] = tuple(US_STATES)) -> DataFrame:
+    """``loc, country`` of the distinct texts ``loc`` that name a country.
+
+    In this order: the last country whose name occurs in the text; the United States
+    when a word is a state abbreviation; the first of the list's codes among the words.
+    ``countries`` is ``(ord, name, alpha2, alpha3)`` of any length.
+    """
+    named, worded = _by_name(locations, countries), _by_word(locations, countries, states)
+    both = named.join(worded, "loc", "full")
+    by_state = F.when(F.col("in_state"), F.lit(UNITED_STATES))
+    return both.select("loc", F.coalesce("by_name", by_state, "by_code").alias("country"))
 
 
 def tweet_location(df: DataFrame, countries: DataFrame, states=tuple(US_STATES), name: str = "location") -> DataFrame:
     """Add the country column to parsed tweets (columns ``place`` and ``user``).
 
     A tweet with a place never falls through to the author's location, even when the
-    place has no country.
+    place has no country. Each distinct location is resolved once.
     """
-    dim, loc = "_countries", "_user_location"
-    bound = df.withColumn(dim, country_list(countries)).withColumn(loc, F.col("user.location"))
-    found = F.when(F.col("place").isNotNull(), F.col("place.country")).otherwise(
-        place_from_text(F.col(loc), F.col(dim), states)
-    )
-    return bound.withColumn(name, found).drop(dim, loc)
+    asked = df.where(F.col("place").isNull() & (F.length("user.location") > 0)).select(F.col("user.location").alias("loc")).distinct()
+    found = resolve_locations(asked, countries, states).select(F.col("loc").alias("_loc"), F.col("country").alias("_country"))
+    wanted = F.when(F.col("place").isNull(), F.col("user.location"))
+    joined = df.withColumn("_wanted", wanted).join(found, F.col("_wanted") == F.col("_loc"), "left")
+    country = F.when(F.col("place").isNotNull(), F.col("place.country")).otherwise(F.col("_country"))
+    return joined.withColumn(name, country).drop("_wanted", "_loc", "_country")

@@ -67,6 +67,32 @@ CYRILLIC = {
 }
 
 
+# Parts of a Korean syllable: 19 beginnings, 21 vowels, 28 endings.
+HANGUL = (
+    "g gg n d dd r m b bb s ss - j jj c k t p h".split(),
+    "a ae ya yae eo e yeo ye o wa wae oe yo u weo we wi yu eu yi i".split(),
+    "- g gg gs n nj nh d l lg lm lb ls lt lp lh m b bs s ss ng j c k t p h".split(),
+)
+
+
+def _kana() -> dict[str, str]:
+    """Japanese syllables by their Unicode names, and the marks between them."""
+    known = {"ー": "-", "・": ".", "、": ", ", "。": ". ", "「": "[", "」": "]"}
+    for letter in map(chr, range(0x3041, 0x30FB)):
+        name = unicodedata.name(letter, "").split()
+        if len(name) >= 3 and name[1] == "LETTER":
+            known[letter] = "n" if name[-1] == "N" else {"SI": "shi", "TI": "chi", "TU": "tsu", "HU": "fu", "ZI": "ji", "DI": "ji", "DU": "zu"}.get(name[-1], name[-1].lower())
+    return known
+
+
+def _hangul(letter: Column) -> Column:
+    """Spelling of a Korean syllable, from the arithmetic of its code point; else null."""
+    place = F.ascii(letter) - 0xAC00
+    begin, vowel, end = (F.array(*[F.lit("" if x == "-" else x) for x in part]) for part in HANGUL)
+    parts = ((begin, F.floor(place / 588)), (vowel, F.floor(F.pmod(place, F.lit(588)) / 28)), (end, F.pmod(place, F.lit(28))))
+    return F.when(letter.between("가", "힣"), F.concat(*[F.element_at(table, (i + 1).cast("int")) for table, i in parts]))
+
+
 def _with_capitals(table: dict[str, str]) -> dict[str, str]:
     """Add capital letters: the spelling's first letter is capital, too."""
     return table | {k.upper(): v[:1].upper() + v[1:] for k, v in table.items() if len(k.upper()) == 1 and k.upper() != k}
@@ -78,7 +104,7 @@ def _ascii_spellings() -> dict[str, str]:
     Accented letters take their base letter's spelling; ligatures, full-width forms,
     raised, circled and Roman numbers take their compatibility form when that is ASCII.
     """
-    known = LATIN_AND_SYMBOLS | _with_capitals(GREEK) | _with_capitals(CYRILLIC)
+    known = LATIN_AND_SYMBOLS | _with_capitals(GREEK) | _with_capitals(CYRILLIC) | _kana()
     for start, end in ((0x00C0, 0x0250), (0x0370, 0x0530), (0x1E00, 0x2000)):
         for letter in map(chr, range(start, end)):
             base = unicodedata.normalize("NFD", letter)[0]
@@ -101,7 +127,7 @@ NON_ASCII = r"[^\x00-\x7F]"
 
 def _spelling(letter: Column) -> Column:
     longer = F.create_map(*[F.lit(x) for pair in _MORE.items() for x in pair])
-    return F.coalesce(F.try_element_at(longer, letter), F.translate(letter, "".join(_ONE), "".join(_ONE.values())))
+    return F.coalesce(_hangul(letter), F.try_element_at(longer, letter), F.translate(letter, "".join(_ONE), "".join(_ONE.values())))
 
 
 def decode_unicode(c: Column) -> Column:

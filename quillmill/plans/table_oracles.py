@@ -21,6 +21,9 @@ def _ascii(c: str) -> str:
 
 ORACLES["linebreaks"] = f"SELECT doc_id, {_line('text')} AS line FROM documents"
 ORACLES["transliterate"] = f"SELECT doc_id, {_ascii('text')} AS ascii FROM documents"
+ORACLES["transliterate_scripts"] = (
+    f"SELECT doc_id, replace({_ascii('text')}, chr(10), chr(10) || 'hangugeo kana gatsukou Moskva logos ') AS ascii FROM documents"
+)
 ORACLES["transliterate_record"] = f"SELECT conv_id, turn, {_ascii('role')} AS role, {_ascii('text')} AS text FROM conversations"
 ORACLES["token_lengths"] = (
     "SELECT doc_id AS tweet_id, CAST(len(regexp_extract_all(text, '\\S+')) AS INTEGER) AS tweet_length FROM documents"

@@ -64,6 +64,13 @@ def transliterate(spark, sf):
     return _documents(spark, sf).select("doc_id", X.decode_unicode(F.col("text")).alias("ascii"))
 
 
+@query
+def transliterate_scripts(spark, sf):
+    """Texts with Korean, Japanese, Greek and Cyrillic words put behind each word break."""
+    mixed = F.replace("text", F.lit("\n"), F.lit("\n한국어 かな ガッコウ Москва λόγος "))
+    return _documents(spark, sf).select("doc_id", X.decode_unicode(mixed).alias("ascii"))
+
+
 @query
 def transliterate_record(spark, sf):
     return X.decode_unicode_record(table(spark, sf, "conversations"))

@@ -68,10 +68,9 @@ def test_location_equals_stand_in_on_random_texts(spark, countries):
     assert located(spark, countries, cases) == [expected_location(p, t) for p, t in cases]
 
 
-def test_a_wrong_country_table_is_refused(spark):
-    big = spark.range(6000).select(F.col("id").alias("ord"), *[F.lit("x").alias(c) for c in ("name", "alpha2", "alpha3")])
-    with pytest.raises(Exception, match="country dimension"):
-        located(spark, big, [(None, "y")])
+def test_country_tables_of_any_length(spark, countries):
+    more = spark.range(1_000, 7_000).select(F.col("id").alias("ord"), *[F.concat(F.lit(f"{c}?"), "id").alias(c) for c in ("name", "alpha2", "alpha3")])
+    assert located(spark, countries.union(more), CASES) == [expected_location(p, t) for p, t in CASES]
 
 
 def tweet(i, text="hello  world\nagain", **more):
@@ -235,3 +234,38 @@ def test_id_table_by_day(spark, tmp_path):
     assert {(r.dataset, r.file_name, r.id) for r in back.collect()} == {
         ("days", "2020-03-01_tweets_cov19.csv", 0), ("days", "2020-03-01_tweets_cov19.csv", 1), ("days", "2020-03-02_tweets_cov19.csv", 2),
     }
+
+
+def test_ids_are_found_by_header_and_nothing_is_dropped_silently(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    files = {
+        "a.csv": 'username,text,id\n7,"x, y",100\n8,z,101\n', "b.csv": '"id","user"\n"5","7"\n"6","8"\n', "c.csv": "1,0.5\n2,0.5\n\nnothing here\n3,0.5\n",
+        "d.csv": "\ufeffid\n9\n", "e.csv": "",
+    }
+    for name, text in files.items():
+        (tmp_path / "d" / name).write_text(text, encoding="utf-8")
+    rows = with_scan_position(readers.read_id_files(spark, [str(tmp_path / "d")]), plan.FILES).collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: r.pos):
+        got.setdefault(r.file_name, []).append((r.pos, r.id))
+    assert got == {"a.csv": [(0, 100), (1, 101)], "b.csv": [(0, 5), (1, 6)], "c.csv": [(0, 1), (1, 2), (2, 3)], "d.csv": [(0, 9)]}
+    assert [(r.file_name, r.line) for r in readers.rejected_id_lines(spark, [str(tmp_path / "d")]).collect()] == [("c.csv", "nothing here")]
+
+
+def test_no_id_is_lost_between_runs(spark, tmp_path, countries):
+    """Another batch size, a file that grew, a repeated object, and a changed file."""
+    (tmp_path / "d").mkdir()
+    ids, out, ledger = tmp_path / "d/x.csv", str(tmp_path / "out"), str(tmp_path / "ledger")
+    write = lambda n, first=0: ids.write_text("".join(f"{i},x\n" for i in range(first, first + n)))
+    archive = write_tweets(tmp_path / "archive", [tweet(i) for i in range(30)] + [tweet(3)])
+    run = lambda **kw: plan.hydrate_batches(spark, [str(tmp_path / "d")], archive, countries, out, ledger, **kw)
+    write(20)
+    assert run(batch=5, max_batches=1).count() == 1
+    assert sum(r.num_tweets_saved for r in run(batch=45_000).collect()) == 15
+    write(22)
+    assert [r.num_tweets_saved for r in run(batch=7).collect()] == [2]
+    saved = [int(v.split("\t")[0]) for _, _, v in read_parts(spark, f"{out}/corpus")]
+    assert sorted(saved) == list(range(22))
+    write(25, first=1)
+    with pytest.raises(ValueError, match="changed"):
+        run(batch=7)
