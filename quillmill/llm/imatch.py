@@ -17,8 +17,8 @@ from quillmill.operators.positions import number_rows
 
 #: Band of the document frequency: absolute and relative least, and relative most.
 LEAST, LEAST_SHARE, MOST_SHARE = 2, 1e-4, 0.1
-#: One term in so many may enter the lexicon at all, by its hash.
-THIN = 4
+#: One term in so many may enter the lexicon at all, by its hash; at 1 the band is that of all terms.
+THIN = 1
 #: The lexicon is kept as a bit set of fixed size, indexed by the term's hash; a term that
 #: shares its bit with one of the lexicon counts as a member, in every text alike.
 LEXICON_BITS = 1 << 21

@@ -133,6 +133,16 @@ def test_lexicon_is_the_band(spark, monkeypatch):
     assert len(words) == imatch.LEXICON_BITS // 64 and 18 <= set_bits <= 20
 
 
+def test_all_terms_of_the_band_enter_the_lexicon(spark):
+    rows = [(f"both{i // 2} twin{i // 2} only{i}",) for i in range(400)]
+    docs = spark.createDataFrame(rows, "text string")
+    words = imatch.lexicon(docs).first()["words"]
+    assert 395 <= sum(bin(w & (2**64 - 1)).count("1") for w in words) <= 400
+    texts = spark.createDataFrame([(f"both{i}",) for i in range(200)], "text string")
+    kept = texts.select(F.size(imatch.thin_terms(F.col("text"))).alias("n")).collect()
+    assert all(r.n == 1 for r in kept)
+
+
 def types_by_hand(pages):
     first = {}
     for r in pages:
