@@ -399,14 +399,20 @@ def similar_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", r
 
 
 def one_of_each_group(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """Rows of ``docs`` whose id is the smallest of their component, once each.
+    """One row of ``docs`` for each component: that with the smallest id, then text hash.
 
-    Documents without shingles all stay; rows with a null id go if their group has
-    another. Of repeated rows one stays.
+    Components are those of texts, so different documents that share an id, or have none,
+    stay apart. Documents without shingles all stay; rows with a null id go if their group
+    has another. Of rows that agree in id and text one stays. Texts are known by 64-bit
+    hashes.
     """
-    groups = similar_documents(docs, id, text, **options)
-    kept = groups.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_id")).distinct()
-    whole = docs.select(F.struct("*").alias("row"), F.col(id).alias("id"), F.xxhash64(F.col(text)).alias("text"))
-    stays = whole.join(kept, F.col("id").eqNullSafe(F.col("_id")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("id").orderBy("text", F.xxhash64("row")))
-    return stays.withColumn("nth", nth).where("nth = 1").select("row.*")
+    hashed = docs.select(F.struct("*").alias("row"), F.col(id).alias("id"), F.xxhash64(F.col(text)).alias("text"), F.coalesce(F.col(text), F.lit("")).rlike(r"\A[\x20\x09-\x0D]*\z").alias("wordless"))
+    texts = similar_documents(docs.select(F.xxhash64(F.col(text)).alias("id"), F.col(text).alias("text")), "id", "text", **options)
+    groups = texts.where("n_shingles > 0").select(F.col("id").alias("text"), "component_id").distinct()
+    # combined per text and then per component, so that a large group is no hot key
+    first = hashed.where("not wordless").groupBy("text").agg(F.min(F.struct(F.col("id").isNull().alias("nul"), "id")).alias("least"))
+    kept = first.join(groups, "text").groupBy("component_id").agg(F.min(F.struct("least", "text")).alias("one"))
+    kept = kept.select(F.col("one.least.id").alias("_id"), F.col("one.text").alias("_text"))
+    stays = hashed.where("not wordless").join(kept, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text") == F.col("_text")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("id", "text").orderBy(F.xxhash64("row")))
+    return stays.unionByName(hashed.where("wordless")).withColumn("nth", nth).where("nth = 1").select("row.*")

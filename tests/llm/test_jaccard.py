@@ -125,3 +125,11 @@ def test_one_document_of_each_group_stays(spark, odd):
 def test_query(spark, documents):
     got = queries.QUERIES["op3_jaccard_join"](spark, SF)
     assert got.columns == ["doc_id", "n_shingles", "component_id"] and got.count() == documents.count()
+
+
+def test_shared_and_missing_ids_lose_no_other_text(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "ABCD"}
+    near = texts["B"] + " more"
+    rows = [(5, texts["A"]), (5, texts["B"]), (2, near), (None, texts["C"]), (None, texts["D"]), (None, texts["D"]), (None, near), (None, ""), (None, None), (7, " \n"), (7, None)]
+    got = Counter(map(tuple, jaccard_join.one_of_each_group(spark.createDataFrame(rows, SCHEMA)).collect()))
+    assert got == Counter([(5, texts["A"]), (2, near), (None, texts["C"]), (None, texts["D"]), (None, ""), (None, None), (7, " \n"), (7, None)])
