@@ -81,19 +81,23 @@ def held_out(id: Column, folds: int = 5) -> Column:
 def training_sample(docs: DataFrame, id: str, text: str, lang: str, texts: int, languages: int, chars: int, seed: int) -> list:
     """At most ``languages * texts`` rows of at most ``chars`` characters, chosen by hash.
 
-    A longer text gives a stretch that starts at a place the hash chooses.
+    Rows that agree in id, language and text hash count once. A longer text gives a
+    stretch that starts at a place the hash chooses.
     """
-    order = F.xxhash64(F.lit(seed), F.col(id))
+    hashed = F.xxhash64(F.col(text))
+    order = F.xxhash64(F.lit(seed), F.col(id), hashed)  # of the row: an id with many texts neither fills nor empties the sample
     usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(id).isNotNull() & ~held_out(F.col(id)))
     common = usable.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "lang").limit(languages)
-    keys = usable.select(F.col(id).alias("id"), F.col(lang).alias("lang"), order.alias("rank"))
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("rank", "id"))
+    keys = usable.select(F.col(id).alias("id"), F.col(lang).alias("lang"), order.alias("rank"), hashed.alias("hash"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("rank", "id", "hash"))
     near = F.pmod("rank", F.lit(1 << 32)) * F.col("count") <= F.lit(float(1 << 32)) * (4 * texts)  # about four times too many are ranked
-    chosen = keys.join(F.broadcast(common), "lang").where(near).withColumn("n", first).where(F.col("n") <= texts).select("id").distinct()
+    ranked = keys.join(F.broadcast(common), "lang").where(near).distinct()
+    chosen = ranked.withColumn("n", first).where(F.col("n") <= texts).select("id", "lang", "hash")
     room = F.greatest(F.length(F.col(text)) - chars, F.lit(0)) + 1
     start = (F.pmod(order, room) + 1).cast("int")
-    rows = usable.select(F.col(id).alias("id"), F.col(lang).alias("lang"), F.substr(F.col(text), start, F.lit(chars)).alias("text"), order.alias("rank"))
-    return rows.join(F.broadcast(chosen), "id").collect()
+    rows = usable.select(F.col(id).alias("id"), F.col(lang).alias("lang"), hashed.alias("hash"), F.substr(F.col(text), start, F.lit(chars)).alias("text"), order.alias("rank"))
+    found = rows.join(F.broadcast(chosen), ["id", "lang", "hash"])
+    return found.groupBy("id", "lang", "hash", "rank").agg(F.min("text").alias("text")).collect()
 
 
 def fit_sample(rows: list[tuple[str, str]], landmarks: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE) -> Model:

@@ -34,6 +34,14 @@ def test_a_fit_never_sees_held_out_rows(spark, documents):
     assert max(Counter(r["lang"] for r in rows).values()) <= 10 and len({r["lang"] for r in rows}) <= 2
 
 
+def test_sample_keeps_its_bound_when_an_id_repeats(spark):
+    key = next(i for i in range(100) if not held_out(i))
+    rows = [(key, f"text {i % 150} of one id", ("aa", "bb")[i % 2]) for i in range(600)] + [(key, "same", "cc")] * 50
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = Counter(r["lang"] for r in language_id.training_sample(docs, "doc_id", "text", "lang", 10, 3, 50, 0))
+    assert max(got.values()) <= 10 and got.get("cc", 0) <= 1
+
+
 def kernel(a, b):
     grams = lambda t: {t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
     x, y = grams(f" {a} "), grams(f" {b} ")
