@@ -9,7 +9,6 @@ regression fold into one matrix, and a batch of texts is scored by one matrix pr
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -18,9 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 UNDETERMINED = "und"
-OTHER, GAP = 0, 1  # codes of letters outside the alphabet and of runs of anything else
-CODES = 128
-MAX_N = 3
+GAP = 1  # code of runs of anything but letters; a letter's code is its code point
+CODE_BITS = 21
+MAX_N = 3  # so many codes fill an int64
 #: Bounds of the labelled sample: texts of a language, languages, characters of a text.
 TEXTS_PER_LANGUAGE = 600
 LANGUAGES = 256
@@ -37,23 +36,25 @@ class Model:
     """What a fit learns; without any labelled text there are no languages."""
 
     languages: list[str] = field(default_factory=list)
-    alphabet: str = ""
-    grams: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    grams: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     weights: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
 
 
 class Presence:
-    """Texts to the sorted codes of the n-grams that occur in them."""
+    """Texts to the codes of the n-grams that occur in them.
 
-    def __init__(self, alphabet: str):
-        letters = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
-        self.code = np.where(letters, OTHER, GAP).astype(np.int32)
-        for i, letter in enumerate(alphabet):
-            self.code[ord(letter)] = GAP + 1 + i
+    Every letter of any script has its own code, unless ``alphabet`` names the only ones
+    that count as letters. Codes are at least 1, so n-grams of different lengths differ.
+    """
+
+    def __init__(self, alphabet: str | None = None):
+        points = np.arange(0x110000)
+        letters = np.fromiter((chr(i).isalpha() for i in points), bool, 0x110000) if alphabet is None else np.isin(points, [ord(c) for c in alphabet])
+        self.code = np.where(letters, points, GAP)
 
     def codes(self, text: str) -> Iterator[np.ndarray]:
         """Letter codes of the whole text, runs of gaps as one, in overlapping chunks."""
-        text, code = f" {text} ", np.zeros(0, np.int32)
+        text, code = f" {text} ", np.zeros(0, np.int64)
         for at in range(0, len(text), CHARS):
             more = self.code[np.frombuffer(text[at : at + CHARS].lower().encode("utf-32-le", "replace"), "<u4")]
             code = np.concatenate((code[len(code) - MAX_N + 1 :] if len(code) >= MAX_N else code, more))
@@ -62,17 +63,13 @@ class Presence:
 
     @staticmethod
     def grams(code: np.ndarray) -> list[np.ndarray]:
-        found, current, base = [code], code, CODES
+        found, current = [code], code
         for n in range(1, MAX_N):
-            current = current[:-1] * CODES + code[n:]
-            found.append(current + base)
-            base += CODES ** (n + 1)
+            current = (current[:-1] << CODE_BITS) | code[n:]
+            found.append(current)
         return found
 
 
-N_GRAMS = sum(CODES**n for n in range(1, MAX_N + 1))
-
-
 def held_out(id: Column, folds: int = 5) -> Column:
     """Documents that a fit must not see: crc32 of the id as text is divisible by ``folds``."""
     return F.coalesce(F.pmod(F.crc32(id.cast("string").cast("binary")), F.lit(folds)) == 0, F.lit(False))
@@ -105,9 +102,7 @@ def fit_sample(rows: list[tuple[str, str]], landmarks: int = LANDMARKS_PER_LANGU
     languages = sorted({lang for lang, _ in rows})
     if not languages:
         return Model()
-    letters = Counter(c for _, text in rows for c in text.lower() if c.isalpha())
-    alphabet = "".join(sorted(c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[: CODES - GAP - 1]))
-    presence = Presence(alphabet)
+    presence = Presence()
     found = [np.unique(np.concatenate([g for code in presence.codes(text) for g in presence.grams(code)])) for _, text in rows]
     chosen = [i for lang in languages for i in [j for j, r in enumerate(rows) if r[0] == lang][:landmarks]]
     grams = np.unique(np.concatenate([found[i] for i in chosen]))
@@ -126,7 +121,7 @@ def fit_sample(rows: list[tuple[str, str]], landmarks: int = LANDMARKS_PER_LANGU
     for k in range(len(languages)):  # both sides of a regression weigh the same
         weighted = features * share[k][:, None]
         columns.append(np.linalg.solve(weighted.T @ features + ridge * np.eye(features.shape[1]), weighted.T @ sides[:, k]))
-    return Model(languages, alphabet, grams.astype(np.int32), (marks.T @ (root @ np.stack(columns, 1))).astype(np.float32))
+    return Model(languages, grams, (marks.T @ (root @ np.stack(columns, 1))).astype(np.float32))
 
 
 def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", seed: int = 0, texts: int = TEXTS_PER_LANGUAGE, languages: int = LANGUAGES, chars: int = SAMPLE_CHARS, **options) -> Model:
@@ -142,17 +137,16 @@ _SCORERS: dict[int, tuple] = {}
 def score_texts(model: Model, texts: list[str | None]) -> list[tuple[str, float]]:
     """Language and score of each text, from its whole length."""
     if id(model) not in _SCORERS:
-        place = np.full(N_GRAMS, -1, np.int32)
-        place[model.grams] = np.arange(len(model.grams))
-        _SCORERS[id(model)] = (model, Presence(model.alphabet), place)
-    _, presence, place = _SCORERS[id(model)]
+        _SCORERS[id(model)] = (model, Presence())
+    _, presence = _SCORERS[id(model)]
     vectors, lettered = np.zeros((len(texts), len(model.grams)), np.float32), np.zeros(len(texts), bool)
     for i, text in enumerate(texts):
         for code in presence.codes(text or ""):
             lettered[i] |= bool((code != GAP).any())
-            for grams in presence.grams(code):
-                at = place[grams]
-                vectors[i, at[at >= 0]] = 1
+            if len(model.grams):
+                for grams in map(np.unique, presence.grams(code)):
+                    at = np.minimum(np.searchsorted(model.grams, grams), len(model.grams) - 1)
+                    vectors[i, at[model.grams[at] == grams]] = 1
     if not model.languages:
         return [(UNDETERMINED, 0.0)] * len(texts)
     values = (vectors @ model.weights) / np.sqrt(np.maximum(vectors.sum(1, keepdims=True), 1))

@@ -65,6 +65,20 @@ def test_kernel_against_its_definition():
             assert abs(vectors[i] @ vectors[j] - kernel(a, b)) < 1e-9
 
 
+def test_rare_scripts_have_letters_of_their_own():
+    """More letters than a small alphabet holds; the two rarest scripts differ only by theirs."""
+    import random
+
+    rng = random.Random(4)
+    starts = {"latin": 0x61, "cyrillic": 0x430, "georgian": 0x10D0, "han": 0x4E00, "hangul": 0xAC00, "yi": 0xA000}
+    sizes = {"latin": 26, "cyrillic": 32, "georgian": 33, "han": 200, "hangul": 60, "yi": 60}
+    line = lambda k, n: " ".join("".join(chr(starts[k] + rng.randrange(sizes[k])) for _ in range(4)) for _ in range(n))
+    rows = [(k, line(k, 5 if k in ("hangul", "yi") else 60)) for k in starts for _ in range(20)]
+    model = language_id.fit_sample(rows)
+    unseen = [(k, line(k, 30)) for k in starts for _ in range(10)]
+    assert [k for k, _ in language_id.score_texts(model, [t for _, t in unseen])] == [k for k, _ in unseen]
+
+
 def test_long_texts_are_read_to_their_end(monkeypatch):
     model = language_id.fit_sample([("a", "aba abab bab"), ("b", "xyx yxy xyxy")] * 4, landmarks=2)
     whole = language_id.score_texts(model, ["ab " * 50 + "xyx yxyx " * 400])
