@@ -19,7 +19,7 @@ from .test_jaccard import components_by_hand
 
 def test_registered():
     assert [n for n in spark_entry.queries() if n.startswith("op")] and "pipeline" in spark_entry.queries()
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in spark_entry.queries() if n.startswith("op")} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in spark_entry.queries() if n.startswith("op")} == set(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
 
 
