@@ -16,14 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from quillmill.durable import durable
-from quillmill.llm.tokens import encode_texts, slices
+from quillmill.llm.tokens import STORED_WORDS, encode_texts, slices
 
 CAPACITY = 4096
 #: Pieces that one task packs. It holds their lengths only.
 PIECES_PER_TASK = 100_000
 
 
-def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 1, id: str = "doc_id", text: str = "text", keep_ids: bool = True) -> DataFrame:
+def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 1, id: str = "doc_id", text: str = "text", keep_ids: bool = True, stored_words: int = STORED_WORDS) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` and ``ids`` of every document.
 
     A document is its ids and ``end_id``; a longer one than ``capacity`` is cut into full
@@ -36,7 +36,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end
         for batch in slices(batches):
             keys = batch.column(0).to_pylist()
             rows, parts = [], []
-            for key, data in zip(keys, encode_texts(tokenizer, True, batch.column(1).to_pylist())):
+            for key, data in zip(keys, encode_texts(tokenizer, True, batch.column(1).to_pylist(), stored_words)):
                 data += end
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at : at + 4 * capacity]
@@ -104,13 +104,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, per_task: int = PIECES_PER
     return packed.unionByName(full.select("unit", (-1 - F.col("unit")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")))
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 1, id: str = "doc_id", text: str = "text", keep_ids: bool = True) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 1, id: str = "doc_id", text: str = "text", keep_ids: bool = True, stored_words: int = STORED_WORDS) -> DataFrame:
     """The pieces of ``encode_pieces`` with ``sequence_id`` and ``offset``.
 
     Sequences are gapless from offset 0 and hold at most ``capacity`` tokens. Texts are
-    encoded once: the pieces are written before their places are found.
+    encoded once: the pieces are written before their places are found. ``stored_words``
+    bounds what a worker remembers and changes no result.
     """
-    encoded = encode_pieces(docs, tokenizer, capacity, end_id, id, text, keep_ids)
+    encoded = encode_pieces(docs, tokenizer, capacity, end_id, id, text, keep_ids, stored_words)
     stored = durable(encoded.withColumn("unit", F.monotonically_increasing_id()), "pieces")
     placed = pack(stored.select("unit", "length"), capacity)
     return stored.join(placed, "unit").drop("unit")
