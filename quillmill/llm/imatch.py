@@ -2,7 +2,7 @@
 
 A lexicon keeps the terms whose document frequency, counted over all documents, lies in a
 chosen band: neither boilerplate nor one-off noise. Several randomised subsets of it are
-drawn, from an eighth of its terms down to a hundred-and-twenty-eighth, so that texts of very
+drawn, from a thirty-second of its terms down to a two-hundred-and-fifty-sixth, so that texts of very
 different lengths keep few terms in some of them. Per subset, the distinct terms of a
 text are hashed in sorted order. Two texts are as alike as the share of subsets, of those
 in which either has a term, that give the same hash.
@@ -23,7 +23,7 @@ THIN = 1
 #: shares its bit with one of the lexicon counts as a member, in every text alike.
 LEXICON_BITS = 1 << 21
 #: Bits of a term's hash that must be zero in a subset; subsets of each such size.
-RATES, COPIES = (3, 5, 7), 8
+RATES, COPIES = (5, 7, 8), 8
 EMPTY = "." * 8
 
 
