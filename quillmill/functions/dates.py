@@ -9,17 +9,12 @@ from quillmill.functions.text import let
 DATE_OUT = "yyyy-MM-dd"
 
 _MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
-_MONTH = r"(jan|feb|mar|apr|may|june?|july?|aug|sept?|oct|nov|dec)(?:uary|ruary|ch|il|ust|ember|tember|ober)?\.?"
-_BEFORE = r"(?s)^(?:(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?,?\s+)?(?:\d{1,2}:\d{2}(?::\d{2})?\s*(?:[ap]m)?,?\s+)?"
-_AFTER = r"(?:[t ,].*)?$"
-_DAY = r"(\d{1,2})(?:st|nd|rd|th)?"
-# Shapes of a date and the groups that hold its year, month and day.
-_YEAR_FIRST = (r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})", (1, 2, 3))
-_COMPACT = (r"(\d{4})(\d{2})(\d{2})", (1, 2, 3))
-_DAY_FIRST = (r"(\d{1,2})\.(\d{1,2})\.(\d{4})|(1[3-9]|2\d|3[01])[-/](\d{1,2})[-/](\d{4})", None)
-_MONTH_FIRST = (r"(\d{1,2})[-/](\d{1,2})[-/](\d{4})", (3, 1, 2))
-_NAMED = (rf"{_DAY}(?:\s+of)?[\s-]+{_MONTH}[\s,-]+(\d{{4}})", (3, 2, 1))
-_NAMED_FIRST = (rf"{_MONTH}\s+{_DAY}[\s,]+(\d{{4}})", (3, 1, 2))
+_MONTH = r"^(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)$"
+_NUMBER = r"^(?:\d{1,2}|\d{4})$"
+_TIME = r"(?<!\d)(?:\d{1,2}:\d{2}(?::\d{2})?(?:[.,]\d+)?\s*(?:[ap]\.?m\b\.?)?|\d{1,2}\s*[ap]\.?m\b\.?)\s*(?:z\b|(?:utc|gmt)?\s*[+-]\d{2}:?\d{2}\b)?"
+# Dates of numbers alone: year first, eight digits, or year last.
+_NUMBERS = r"(?<![\d.])(?:(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})|(\d{4})(\d{2})(\d{2})|(\d{1,2})([-/.])(\d{1,2})[-/.](\d{4}|\d{2}))(?![\d])"
+_EPOCH = r"^\d{10}(?:\d{3})?(?:\.\d+)?$"
 
 
 def week_end_date(week: Column) -> Column:
@@ -38,33 +33,64 @@ def tweet_date(created_at: Column) -> Column:
     return F.try_to_date(F.concat(month_day, F.lit(" "), F.right(created_at, F.lit(4))), "MMM dd yyyy")
 
 
-def article_date(c: Column) -> Column:
-    """Free-form date to a calendar date; null when no known spelling fits.
+def _whole_year(year: Column) -> Column:
+    """Years of two digits lie between 1969 and 2068."""
+    short = F.when(year.cast("int") < 69, F.concat(F.lit("20"), year)).otherwise(F.concat(F.lit("19"), year))
+    return F.when(F.length(year) == 4, year).when(F.length(year) == 2, short)
 
-    Year first, eight digits, a named month on either side of the day, ``M/D/Y`` and
-    ``M-D-Y`` (day first where the first number can be no month) and ``D.M.Y``. A weekday
-    or a time may stand before, anything behind. The shape is recognised first, and the
-    one date it gives is parsed once.
-    """
 
-    def spelled(shape: str, groups) -> tuple[str, str]:
-        return f"{_BEFORE}(?:{shape}){_AFTER}", "-".join(f"${g}" for g in groups)
+def _date(year: Column, month: Column, day: Column) -> Column:
+    return F.try_to_date(F.concat_ws("-", _whole_year(year), F.when(F.length(month) <= 2, month), F.when(F.length(day) <= 2, day)), "yyyy-M-d")
+
+
+def _named_date(text: Column) -> Column:
+    """Date around a month's name: what stands next to it tells day and year apart."""
+
+    def around(parts: Column) -> Column:
+        at = F.array_position(F.transform(parts, lambda p: p.rlike(_MONTH)), True).cast("int")
+        before, name, after, then = (F.get(parts, at + i) for i in (-2, -1, 0, 1))
+        month = ((F.position(F.substring(name, 1, 3), F.lit("".join(_MONTHS))) + 2) / 3).cast("int").cast("string")
+        month_first = (F.length(after) <= 2) & ((F.length(then) == 4) | before.isNull())
+        found = (
+            F.when(month_first, _date(then, month, after))
+            .when(F.length(before) == 4, _date(before, month, after))
+            .otherwise(_date(after, month, before))
+        )
+        return F.when(at > 0, found)
+
+    tokens = F.regexp_extract_all(text, F.lit(r"\d+|[a-z]+"), 0)
+    return let(F.filter(tokens, lambda t: t.rlike(_MONTH) | t.rlike(_NUMBER)), around)
 
-    def canonical(text: Column) -> Column:
-        day_first = f"{_BEFORE}(?:{_DAY_FIRST[0]}){_AFTER}"
-        chosen = F.when(text.rlike(day_first), F.regexp_replace(text, day_first, "$3$6-$2$5-$1$4"))
-        for shape, groups in (_YEAR_FIRST, _COMPACT, _MONTH_FIRST, _NAMED, _NAMED_FIRST):
-            pattern, order = spelled(shape, groups)
-            chosen = chosen.when(text.rlike(pattern), F.regexp_replace(text, pattern, order))
-        return chosen
 
-    def numbered(day: Column) -> Column:
-        name = F.regexp_extract(day, "([a-z]{3})", 1)
-        number = ((F.position(name, F.lit("".join(_MONTHS))) + 2) / 3).cast("int").cast("string")
-        return F.when(name != "", F.regexp_replace(day, "[a-z]+", number)).otherwise(day)
+def _numeric_date(text: Column) -> Column:
+    """The first date of numbers: ``M/D/Y`` unless it has points or the first can be no month."""
+    part = lambda i: F.regexp_extract(F.regexp_extract(text, _NUMBERS, 0), _NUMBERS, i)
+    day_first = (part(8) == ".") | (part(7).try_cast("int") > 12)
+    return (
+        F.when(part(1) != "", _date(part(1), part(2), part(3)))
+        .when(part(4) != "", _date(part(4), part(5), part(6)))
+        .when(part(7) == "", F.lit(None))
+        .when(day_first, _date(part(10), part(9), part(7)))
+        .otherwise(_date(part(10), part(7), part(9)))
+    )
+
+
+def article_date(c: Column) -> Column:
+    """Free-form date to a calendar date; null when there is none.
+
+    The parts of the text are classed as months, numbers and noise, and chosen by their
+    places: a day and a year on the sides of a month's name, else year first, eight
+    digits, ``M/D/Y``, ``M-D-Y`` (day first where the first number can be no month) and
+    ``D.M.Y``. Times, offsets, weekdays and other words may stand anywhere. Years may have two
+    digits; a text of 10 or 13 digits is seconds or milliseconds since 1970, in UTC.
+    """
+
+    def read(text: Column) -> Column:
+        seconds = F.substring(text, 1, 10).try_cast("bigint")
+        epoch = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86_400).cast("int"))
+        return F.when(text.rlike(_EPOCH), epoch).otherwise(let(F.regexp_replace(text, _TIME, " "), lambda t: F.coalesce(_named_date(t), _numeric_date(t))))
 
-    found = let(F.lower(F.trim(c)), canonical)
-    return F.try_to_date(let(found, numbered), "yyyy-M-d")
+    return let(F.lower(F.trim(c)), read)
 
 
 def iso_date(d: Column) -> Column:

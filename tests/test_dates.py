@@ -43,6 +43,21 @@ def test_article_dates(values):
         "16-05-2020": "2020-05-16",
         "6th of May 2020": "2020-05-06",
         "Wednesday 6 May 2020 10:30": "2020-05-06",
+        "6.5.20": "2020-05-06",
+        "5/6/20": "2020-05-06",
+        "2020 May 6": "2020-05-06",
+        "Updated: 6 May 2020": "2020-05-06",
+        "1588723200": "2020-05-06",
+        "1588723200123": "2020-05-06",
+        "Published at 9:05 p.m. GMT+01:00 on May 6th, 2020 by A. Decker": "2020-05-06",
+        "6-May-20": "2020-05-06",
+        "5 March 99": "1999-03-05",
+        "10 things: April 5, 2020": "2020-04-05",
+        "posted 2020-04-05, 3 comments": "2020-04-05",
+        "v1.2.3.4": None,
+        "May 2020": None,
+        "6 May": None,
+        "12345678901": None,
         "31 February 2020": None,
         "soon": None,
         "": None,
