@@ -43,6 +43,10 @@ def _first_group(c: Column, pattern: str) -> Column:
     return F.try_element_at(F.regexp_extract_all(c, F.lit(pattern), 1), F.lit(1))
 
 
+#: A tag, an end tag, a declaration or an instruction; any other ``<`` is text.
+ANY_TAG = r"</?[A-Za-z!?][^>]*>"
+
+
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute of one tag, quoted either way or bare; null when absent."""
     start = rf"(?is)\s{name}\s*=\s*"
@@ -201,7 +205,7 @@ def page_tags(metas: Column, sep: str = ",") -> Column:
 def text_of(fragment: Column) -> Column:
     """Text of an HTML fragment: block tags end lines, other tags vanish."""
     lines = F.regexp_replace(fragment, rf"(?i)</?(?:{BLOCK_ELEMENTS})\b[^>]*>", "\n")
-    plain = unescape(F.regexp_replace(lines, r"<[^>]*>", ""))
+    plain = unescape(F.regexp_replace(lines, ANY_TAG, ""))
     return _or_null(drop_lines(plain))
 
 
@@ -258,7 +262,7 @@ def element_text(html: Column, element: str, css_class: str, last: bool = False)
     found = F.filter(_starts(html, element), lambda e: has_class(F.regexp_extract(e, r"(?s)^<[^>]*>", 0), css_class))
     picked = F.try_element_at(found, F.lit(-1 if last else 1))
     inner = F.regexp_extract(picked, rf"(?is)^<[^>]*>(.*?)(?:</{element}\s*>|\z)", 1)
-    return strip(unescape(F.regexp_replace(_complete_or_text(inner), r"<[^>]*>", "")))
+    return strip(unescape(F.regexp_replace(_complete_or_text(inner), ANY_TAG, "")))
 
 
 def json_ld(html: Column) -> Column:

@@ -300,3 +300,12 @@ def test_nested_furniture_and_text_behind_the_last_tag(values):
 )
 def test_main_text_of_ordinary_pages(values, html, text):
     assert values(H.main_text, [html]) == [text]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["Sale 5 < 6 and 7 > 3", "a<3 b> c", "x <- y -> z", "if 1 <2 then", "<> empty", "tail <"],
+)
+def test_a_bare_angle_bracket_is_text(values, text):
+    assert values(H.main_text, [page(f"<p>{text}</p>")]) == [text]
+    assert values(lambda c: H.element_text(c, "p", "k"), [page(f'<p class="k">{text} <b>bold</b></p>')]) == [f"{text} bold"]
