@@ -51,7 +51,7 @@ LATIN_AND_SYMBOLS = {
     "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "--", "―": "--", "‘": "'", "’": "'",
     "‚": ",", "‛": "'", "“": '"', "”": '"', "„": ",,", "†": "+", "‡": "++", "•": "*",
     "…": "...", "‰": "%0", "′": "'", "″": '"', "‹": "<", "›": ">", "€": "EUR", "№": "No",
-    "™": "tm", "−": "-", "\u2009": " ", "\u200a": " ", "\u202f": " ", "\u2028": "\n", "\u2029": "\n\n",
+    "™": "tm", "−": "-", "₤": "L", "₦": "N", "₨": "Rs", "₩": "W", "₪": "NS", "₫": "D", "₮": "T", "₹": "Rs", "₽": "R", "\u2009": " ", "\u200a": " ", "\u202f": " ", "\u2028": "\n", "\u2029": "\n\n",
 }
 GREEK = {
     "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i",
@@ -66,6 +66,41 @@ CYRILLIC = {
     "і": "i", "ї": "yi",
 }
 
+HEBREW = dict(zip("אבגדהוזחטיךכלםמןנסעףפץצקרשת", "A b g d h v z KH t y k k l m m n n s ` p p TS TS q r SH t".split()))
+ARABIC = dict(zip("بتثجحخدذرزسشصضطظعغفقكلمنهوىيپچژکگی", "b t th j H kh d dh r z s sh S D T Z ` G f q k l m n h w ~ y p ch zh k g y".split())) | {
+    "ء": "", "آ": "a", "أ": "'", "ؤ": "w'", "إ": "", "ئ": "y'", "ا": "", "ة": "@", "ـ": "", "،": ",", "؛": ";", "؟": "?",
+}
+GEORGIAN = dict(zip("აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ", "a b g d e v z t` i k l m n o p zh r s t u p` k` g' q sh ch` ts dz ts' ch' kh j h".split()))
+ARMENIAN = dict(zip("աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցւփքօֆ", "a b g d e z e e t` zh i l kh ts k h dz gh ch m y n sh o ch` p j rh s v t r ts` w p` k` o f".split())) | {"և": "ew", "։": ":"}
+THAI = dict(
+    zip("กขฃคฅฆงจฉชซฌญฎฏฐฑฒณดตถทธนบปผฝพฟภมยรฤลฦวศษสหฬอฮ", "k kh kh kh kh kh ng cch ch ch ch ch y d t th th th n d t th th th n b p ph f ph f ph m y r R l L w s s s h l ` h".split())
+) | {"ฯ": "~", "ะ": "a", "ั": "a", "า": "aa", "ำ": "am", "ิ": "i", "ี": "ii", "ึ": "ue", "ื": "uue", "ุ": "u", "ู": "uu", "เ": "e", "แ": "ae", "โ": "o", "ใ": "ai", "ไ": "ai", "ๆ": "+"}
+# Scripts of India whose Unicode names are the sounds: blocks of 128 code points.
+INDIC = ("DEVANAGARI", "BENGALI", "GURMUKHI", "GUJARATI", "ORIYA", "TAMIL", "TELUGU", "KANNADA", "MALAYALAM")
+
+
+def _indic() -> dict[str, str]:
+    """Letters of INDIC by name: a consonant without its vowel, a vowel or its sign as it sounds."""
+    known = {"।": ".", "॥": ".."}
+    for letter in map(chr, range(0x0900, 0x0D80)):
+        name = unicodedata.name(letter, "").split()
+        if name[:1] and name[0] in INDIC and len(name) > 2:
+            kind, sound = " ".join(name[1:-1]), name[-1].lower()
+            if name[-2] == "VOCALIC":
+                known[letter] = sound.upper()
+            elif kind.startswith("LETTER"):
+                known[letter] = sound[:-1] if len(sound) > 1 and sound.endswith("a") and sound.strip("aeiou") else sound
+            elif kind.startswith("VOWEL SIGN"):
+                known[letter] = sound
+            elif name[1] == "SIGN":
+                known[letter] = {"candrabindu": "N", "anusvara": "N", "visarga": "H"}.get(sound, "")
+    return known
+
+
+def _digits() -> dict[str, str]:
+    """Decimal digits of all scripts."""
+    return {c: str(unicodedata.decimal(c)) for c in map(chr, range(0x80, 0x1E000)) if unicodedata.category(c) == "Nd"}
+
 
 # Parts of a Korean syllable: 19 beginnings, 21 vowels, 28 endings.
 HANGUL = (
@@ -104,7 +139,8 @@ def _ascii_spellings() -> dict[str, str]:
     Accented letters take their base letter's spelling; ligatures, full-width forms,
     raised, circled and Roman numbers take their compatibility form when that is ASCII.
     """
-    known = LATIN_AND_SYMBOLS | _with_capitals(GREEK) | _with_capitals(CYRILLIC) | _kana()
+    known = LATIN_AND_SYMBOLS | _with_capitals(GREEK) | _with_capitals(CYRILLIC) | _with_capitals(ARMENIAN)
+    known |= HEBREW | ARABIC | GEORGIAN | THAI | _indic() | _kana() | _digits()
     for start, end in ((0x00C0, 0x0250), (0x0370, 0x0530), (0x1E00, 0x2000)):
         for letter in map(chr, range(start, end)):
             base = unicodedata.normalize("NFD", letter)[0]
@@ -120,27 +156,59 @@ def _ascii_spellings() -> dict[str, str]:
 
 
 _SPELLINGS = _ascii_spellings()
-_ONE = {k: v for k, v in _SPELLINGS.items() if len(v) == 1}
-_MORE = {k: v for k, v in _SPELLINGS.items() if len(v) > 1}
 NON_ASCII = r"[^\x00-\x7F]"
+#: Letters are looked up by place: each stands for a code point of the private plane 15.
+CODES, CODES_END = 0xF0000, 0xFFFFE
+MOST_SPELLINGS = 60_000
+#: Distinct letters of a text up to which each is replaced in the whole text.
+FEW_LETTERS = 48
+#: Characters that no table has to spell: combining marks are dropped, Korean syllables computed.
+MARK_OR_HANGUL = r"[\p{Mn}가-힣]"
+
+
+def _spelling(letter: Column, spellings: dict[str, str]) -> Column:
+    """ASCII of one letter, null where none is known; one look-up however large the table is."""
+    codes = "".join(map(chr, range(CODES, CODES + len(spellings))))
+    values = F.split(F.lit("\x00".join(spellings.values())), "\x00")
+    place = F.ascii(F.translate(letter, "".join(spellings), codes)) - CODES
+    own = letter.between(chr(CODES), chr(CODES_END))  # a code that stands in the text itself
+    return F.coalesce(_hangul(letter), F.when((place >= 0) & (place < len(spellings)) & ~own, F.get(values, place)))
+
+
+def _known(spellings: dict[str, str] | None) -> dict[str, str]:
+    known = _SPELLINGS | {k: v for k, v in (spellings or {}).items() if len(k) == 1 and not k.isascii()}
+    if len(known) > CODES_END - CODES:
+        raise ValueError("more spellings than codes")
+    return known
 
 
-def _spelling(letter: Column) -> Column:
-    longer = F.create_map(*[F.lit(x) for pair in _MORE.items() for x in pair])
-    return F.coalesce(_hangul(letter), F.try_element_at(longer, letter), F.translate(letter, "".join(_ONE), "".join(_ONE.values())))
-
-
-def decode_unicode(c: Column) -> Column:
+def decode_unicode(c: Column, spellings: dict[str, str] | None = None) -> Column:
     """ASCII transliteration; characters without a known spelling are removed.
 
-    Pure ASCII texts skip all work. In other texts each *distinct* letter with a known
-    spelling is replaced once, which is far fewer passes than the table has letters.
+    ``spellings`` adds letters to the known ones, or changes theirs; ``lost_characters``
+    counts what is removed. Pure ASCII texts skip all work. In texts with few distinct
+    letters each is replaced once, in others every character is spelt in one pass.
     """
+    table = _known(spellings)
     letters = F.array_distinct(F.regexp_extract_all(c, F.lit(NON_ASCII), 0))
-    spelled = F.transform(letters, lambda a: F.struct(a.alias("letter"), _spelling(a).alias("ascii")))
-    known = F.filter(spelled, lambda s: s["letter"] != s["ascii"])
-    replaced = F.aggregate(known, c, lambda text, s: F.replace(text, s["letter"], s["ascii"]))
-    return F.when(c.rlike(NON_ASCII), F.regexp_replace(replaced, NON_ASCII, "")).otherwise(c)
+
+    def spelled(found: Column) -> Column:
+        pairs = F.transform(found, lambda a: F.struct(a.alias("letter"), F.coalesce(_spelling(a, table), F.lit("")).alias("ascii")))
+        few = F.aggregate(pairs, c, lambda text, s: F.replace(text, s["letter"], s["ascii"]))
+        each = F.transform(F.split(c, ""), lambda a: F.when(a.rlike(NON_ASCII), F.coalesce(_spelling(a, table), F.lit(""))).otherwise(a))
+        return F.when(F.size(found) <= FEW_LETTERS, few).otherwise(F.array_join(each, ""))
+
+    return F.when(c.rlike(NON_ASCII), let(letters, spelled)).otherwise(c)
+
+
+def lost_characters(c: Column, spellings: dict[str, str] | None = None) -> Column:
+    """How many characters ``decode_unicode`` removes because it knows no spelling.
+
+    Combining marks and characters whose spelling is empty are not losses.
+    """
+    table = _known(spellings)
+    rest = F.regexp_replace(F.translate(c, "".join(table), ""), MARK_OR_HANGUL, "")
+    return F.when(c.rlike(NON_ASCII), F.regexp_count(rest, F.lit(NON_ASCII))).when(c.isNotNull(), F.lit(0))
 
 
 def decode_unicode_record(df: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.operators.sets import concat_labelled, union_files
+from quillmill.functions.text import MOST_SPELLINGS
 from quillmill.schemas import ID_TSV, LABELLED_POST_FIELDS, PAPER, PAPER_METADATA_FIELDS, TWEET
 
 PAPER_DIRS = ("document_parses/pdf_json", "document_parses/pmc_json")
@@ -105,9 +106,9 @@ def list_files(spark: SparkSession, dirs: list[str]) -> DataFrame:
 
 
 def _file_key(path):
-    """(dataset, file_name) of a path; the parts of one day's folder are one file."""
+    """(dataset, file_name) of a path; the parts of one day's folder, of all its tables, are one file."""
     day = F.regexp_extract(path, r"/date=(\d{4}-\d{2}-\d{2})/", 1)
-    whole = F.regexp_replace(path, r"/date=\d{4}-\d{2}-\d{2}/[^/]*$", "/day")
+    whole = F.regexp_replace(path, r"/date=\d{4}-\d{2}-\d{2}/(input=[^/]*/)?[^/]*$", "/day")
     dataset = F.element_at(F.split(whole, "/"), -2).alias("dataset")
     base = F.element_at(F.split(path, "/"), -1)
     name = F.when(day != "", F.concat(day, F.lit("_tweets_cov19.csv"))).otherwise(base)
@@ -183,3 +184,16 @@ def read_countries(spark: SparkSession, path: str) -> DataFrame:
     """Country dimension ``ord,name,alpha2,alpha3`` from a headered CSV."""
     rows = spark.read.options(header=True, quote='"', escape='"').csv(path)
     return rows.select(F.col("ord").cast("bigint"), "name", "alpha2", "alpha3")
+
+
+def read_spellings(spark: SparkSession, path: str, most: int = MOST_SPELLINGS) -> dict[str, str]:
+    """Letters and their ASCII spellings from a table of ``code point in hex <TAB> spelling``.
+
+    For scripts that no rule spells, such as Chinese. The table becomes a constant of the
+    plan, so more than ``most`` rows are an error.
+    """
+    rows = spark.read.schema("point string, spelling string").option("sep", "\t").option("quote", "").option("ignoreTrailingWhiteSpace", False).csv(path)
+    found = rows.where(F.col("point").rlike("^[0-9A-Fa-f]{2,6}$")).limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{path} has more than {most} spellings")
+    return {chr(int(r["point"], 16)): r["spelling"] or "" for r in found}

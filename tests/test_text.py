@@ -1,9 +1,11 @@
 import string
 import sys
 
+import pytest
 from pyspark.sql import functions as F
 
 from quillmill.functions import text as X
+from quillmill.sources import readers
 
 BLANKS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
 
@@ -96,3 +98,31 @@ def test_batch_file_name(spark):
 def test_corpus_line_keeps_tab_for_null_text(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "i int, t string")
     assert [r[0] for r in df.select(X.corpus_line(F.col("i"), F.col("t"))).collect()] == ["1\t", "2\tx"]
+
+
+def test_transliteration_of_more_scripts(values):
+    texts = {
+        "שלום": "SHlvm", "العربية": "l`rby@", "नमस्ते": "nmste", "ไทย": "aithy", "თბილისი": "t`bilisi", "Հայ": "Hay",
+        "کتاب؟": "ktb?", "१२३ ٣ ๔": "123 3 4", "₽₹₩": "RRsW", "தமிழ்": "tmilll", "汉ᚠ": "",
+    }
+    assert values(X.decode_unicode, list(texts)) == list(texts.values())
+
+
+def test_spellings_may_be_added_and_losses_are_counted(values):
+    readings = {"汉": "Han ", "ß": "sz", "a": "no ASCII letter is changed"}
+    texts = ["汉a ß", "字ᚠᚠ é́", "plain", "한국", "\U000f0000\U000f0001x", "", None]
+    assert values(lambda c: X.decode_unicode(c, readings), texts) == ["Han a sz", " e", "plain", "hangug", "x", "", None]
+    assert values(lambda c: X.lost_characters(c, readings), texts) == [0, 3, 0, 0, 2, 0, None]
+
+
+def test_few_and_many_letters_are_spelt_alike(values):
+    many = "".join(X._SPELLINGS) + "한국\U000f0000汉 end"
+    singles = values(X.decode_unicode, list(many))
+    assert values(X.decode_unicode, [many])[0] == "".join(singles)
+
+
+def test_spelling_table(spark, tmp_path):
+    (tmp_path / "t.tsv").write_text("# letters\n6c49\tHan \n5B57\tZi\n16A0\t\"\n1f600\n")
+    assert readers.read_spellings(spark, str(tmp_path / "t.tsv")) == {"汉": "Han ", "字": "Zi", "ᚠ": '"', "😀": ""}
+    with pytest.raises(ValueError, match="more than 2"):
+        readers.read_spellings(spark, str(tmp_path / "t.tsv"), most=2)
