@@ -24,6 +24,12 @@ ORACLES["transliterate"] = f"SELECT doc_id, {_ascii('text')} AS ascii FROM docum
 ORACLES["transliterate_scripts"] = (
     f"SELECT doc_id, replace({_ascii('text')}, chr(10), chr(10) || 'hangugeo kana gatsukou Moskva logos ') AS ascii FROM documents"
 )
+_WORDS = "'SHlvm slm nmste baaNlaa aithy t`bilisi Hay Han Zi  Rs5  '"
+ORACLES["transliterate_all_scripts"] = f"""
+SELECT doc_id, {_WORDS} || replace({_ascii('text')}, chr(10), chr(10) || {_WORDS}) AS ascii,
+       CAST(2 * (1 + len(text) - len(replace(text, chr(10), ''))) + len(regexp_replace(
+         replace(translate(text, 'ÄÇÈÉÊÍÑÓÖÜäçèéêíñóöü', ''), 'ß', ''), '[\\x00-\\x7F]', '', 'g')) AS INTEGER) AS lost
+FROM documents"""
 ORACLES["transliterate_record"] = f"SELECT conv_id, turn, {_ascii('role')} AS role, {_ascii('text')} AS text FROM conversations"
 ORACLES["token_lengths"] = (
     "SELECT doc_id AS tweet_id, CAST(len(regexp_extract_all(text, '\\S+')) AS INTEGER) AS tweet_length FROM documents"
@@ -281,6 +287,9 @@ WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-20' GROUP BY
 
 ORACLES["written_all_days"] = """
 SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n, min(event_id) AS first_id FROM events GROUP BY 1"""
+ORACLES["shared_days"] = """
+SELECT strftime(ts, '%Y-%m-%d') || '_tweets_cov19.csv' AS file_name, count(*) AS n, sum(event_id)::bigint AS ids FROM events
+WHERE event_id % 2 = 0 OR CAST(ts AS DATE) < DATE '2024-01-20' GROUP BY 1"""
 _LINES = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
 ORACLES["first_n_many"] = f"SELECT {_LINES} FROM lineitem ORDER BY {_LINES} LIMIT 20000"
 ORACLES["first_n_descending"] = f"SELECT {_LINES} FROM lineitem ORDER BY l_orderkey DESC, {_LINES} LIMIT 15000"

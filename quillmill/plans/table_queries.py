@@ -71,6 +71,15 @@ def transliterate_scripts(spark, sf):
     return _documents(spark, sf).select("doc_id", X.decode_unicode(mixed).alias("ascii"))
 
 
+@query
+def transliterate_all_scripts(spark, sf):
+    """Texts with words of ten more scripts, a table of Chinese readings, and what is lost."""
+    words = "שלום سلام नमस्ते বাংলা ไทย თბილისი Հայ 汉字 ₹५ ᚠᛇ "
+    mixed = F.concat(F.lit(words), F.replace("text", F.lit("\n"), F.lit("\n" + words)))
+    readings = {"汉": "Han ", "字": "Zi "}
+    return _documents(spark, sf).select("doc_id", X.decode_unicode(mixed, readings).alias("ascii"), X.lost_characters(mixed, readings).alias("lost"))
+
+
 @query
 def transliterate_record(spark, sf):
     return X.decode_unicode_record(table(spark, sf, "conversations"))
@@ -885,6 +894,18 @@ def written_all_days(spark, sf):
     return _days(spark, path)
 
 
+@query
+def shared_days(spark, sf):
+    """Two tables with common days, each written twice, and one of them a third time with fewer days."""
+    path = scratch_path(spark, "days")
+    rows = table(spark, sf, "events").select(F.to_date("ts").alias("date"), F.col("event_id").alias("id"), "event_type")
+    odd, even = rows.where("event_id % 2 = 1"), rows.where("event_id % 2 = 0")
+    for part, name in ((odd, "odd"), (even, "even")) * 2:
+        sinks.write_daily_partitions(part, path, table=name)
+    sinks.write_daily_partitions(odd.where("date < DATE'2024-01-20'"), path, table="odd")
+    return readers.read_id_files(spark, [path]).groupBy("file_name").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+
+
 def _days(spark, path: str) -> DataFrame:
     back = spark.read.option("header", True).csv(path)
     return back.groupBy(F.col("date").cast("string").alias("date")).agg(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.durable import durable
@@ -29,10 +32,15 @@ FILES = ("dataset", "file_name")
 BATCH = (*FILES, "batch_id")
 
 
-def split_id_table_by_day(spark: SparkSession, tsv: str, out: str, date_range: tuple[str, str] | None = None) -> DataFrame:
-    """Write the 12-column id table as one folder per day; returns the rows per day."""
+def split_id_table_by_day(spark: SparkSession, tsv: str, out: str, date_range: tuple[str, str] | None = None, table: str | None = None) -> DataFrame:
+    """Add the 12-column id table to the folders of its days; returns its rows per day.
+
+    Several tables may go to one ``out``. A table is known by its path, or by the name
+    ``table``, and replaces what it wrote before.
+    """
     rows = read_id_tsv(spark, tsv).withColumn("date", tweet_date(F.col("timestamp")))
-    write_daily_partitions(rows, out, date_range)
+    name = table or f"{re.sub('[^A-Za-z0-9.-]', '-', tsv.rstrip('/').rsplit('/', 1)[-1])}-{zlib.crc32(tsv.rstrip('/').encode()):08x}"
+    write_daily_partitions(rows, out, date_range, name)
     return daily_counts(rows, date_range)
 
 

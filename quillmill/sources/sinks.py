@@ -50,14 +50,35 @@ def write_skipped_ids(df: DataFrame, path: str, by: tuple[str, ...] = (), id: st
     (_replace(lines, by) if by else lines.write.mode("append")).text(path)
 
 
-def write_daily_partitions(df: DataFrame, path: str, date_range: tuple[str, str] | None = None) -> None:
-    """One folder of headered CSV files per day; days that ``df`` has are replaced.
-
-    So a repeated run changes nothing. Rows are gathered per day so that a day has few files, and a day that holds very
-    many rows is split again into files of bounded size.
+def write_daily_partitions(df: DataFrame, path: str, date_range: tuple[str, str] | None = None, table: str = "table") -> None:
+    """Headered CSV files per day and, below a day, per input table.
+
+    A day's file is what lies below its folder: tables that share a day add up, and a
+    table that is written again replaces its own rows alone, also on days of the range
+    that it has no longer. So a repeated run changes nothing. Rows are gathered per day so
+    that a day has few files, and a day that holds very many rows is split again into
+    files of bounded size.
     """
-    days = in_date_range(df, date_range).hint("rebalance", F.col("date"))
-    _replace(days, ("date",)).option("header", True).csv(path)
+    if "input" in df.columns:
+        raise ValueError("the column input is the name of the folders of a table")
+    days = in_date_range(df, date_range)
+    before = _table_days(df, path, table, date_range)
+    _replace(days.withColumn("input", F.lit(table)).hint("rebalance", F.col("date")), ("date", "input")).option("header", True).csv(path)
+    if before:  # of an earlier run
+        gone = before.keys() - {str(r["date"]) for r in days.select("date").distinct().collect()}
+        for day in gone:
+            folder = before[day]
+            folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _table_days(df: DataFrame, path: str, table: str, date_range: tuple[str, str] | None) -> dict:
+    """Folders that a table has, by day, within the range."""
+    context = df.sparkSession.sparkContext
+    pattern = context._jvm.org.apache.hadoop.fs.Path(f"{path}/date=*/input={table}")
+    found = pattern.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(pattern)
+    folders = {f.getPath().getParent().getName().removeprefix("date="): f.getPath() for f in found or []}
+    first, last = date_range or ("0000", "9999")
+    return {day: folder for day, folder in folders.items() if day[:1].isdigit() and str(first) <= day <= str(last)}
 
 
 def write_sample_texts(df: DataFrame, path: str, id: str = "id", text: str = "text") -> None:

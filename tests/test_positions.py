@@ -176,7 +176,7 @@ def test_a_hot_day_is_split_over_files(spark, small_partitions, tmp_path):
     day = F.when(F.col("id") % 3 > 0, F.lit("2020-03-01")).otherwise(F.lit("2020-03-02")).cast("date")
     rows = spark.range(0, 60_000, numPartitions=8).select("id", F.md5(F.col("id").cast("string")).alias("x"), day.alias("date"))
     write_daily_partitions(rows, str(tmp_path / "days"))
-    assert len(list((tmp_path / "days/date=2020-03-01").glob("*.csv"))) > 1
+    assert len(list((tmp_path / "days/date=2020-03-01").rglob("*.csv"))) > 1
     assert spark.read.option("header", True).csv(str(tmp_path / "days")).count() == 60_000
 
 
@@ -185,3 +185,30 @@ def test_copies_of_one_url_reach_the_shuffle_as_one_row_per_task(spark, small_pa
     posts = spark.range(0, 30_000, numPartitions=4).select(hot.alias("url"), F.col("id").alias("n"))
     first = J.first_per_key(posts, "url", ["n"])
     assert first.count() == 10_001 and first.where("url = 'u'").first().n == 1
+
+
+def test_tables_that_share_a_day_add_up(spark, tmp_path):
+    path = str(tmp_path / "days")
+
+    def write(name, days, date_range=None):
+        rows = [(f"2020-03-0{d}", 10 * d + i) for d in days for i in range(2)]
+        df = spark.createDataFrame(rows, "date string, id bigint").withColumn("date", F.col("date").cast("date"))
+        write_daily_partitions(df, path, date_range, name)
+
+    def stored():
+        back = spark.read.option("header", True).csv(path)
+        return sorted((str(r.date), r.input, r["count"]) for r in back.groupBy("date", "input").count().collect())
+
+    for _ in range(2):
+        write("a", [1, 2])
+        write("b", [2, 3])
+    both = [("2020-03-01", "a", 2), ("2020-03-02", "a", 2), ("2020-03-02", "b", 2), ("2020-03-03", "b", 2)]
+    assert stored() == both
+    write("a", [2], ("2020-03-02", "2020-03-03"))  # outside the range nothing changes
+    assert stored() == both
+    write("a", [2])  # a day that the table has no longer goes
+    assert stored() == both[1:]
+    write("b", [4], ("2020-03-03", "2020-03-04"))
+    assert stored() == [("2020-03-02", "a", 2), ("2020-03-02", "b", 2), ("2020-03-04", "b", 2)]
+    with pytest.raises(ValueError, match="input"):
+        write_daily_partitions(spark.createDataFrame([("x", 1)], "date string, input int"), path)
