@@ -16,6 +16,8 @@ from quillmill.llm import exact_dedup, jaccard_join, language_id, mixing, packin
 
 #: A document goes when no one-versus-rest regression comes near to claiming it.
 LEAST_SCORE = 0.25
+#: Words that a worker of the last stage remembers; the workers of all stages share memory.
+WORKER_WORDS = 150_000
 
 
 def in_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +48,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset`` of every piece."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), stored_words=WORKER_WORDS)
 
 
 STAGES = [

@@ -9,13 +9,21 @@ SIZE = 5
 _ORDER = np.random.default_rng(20_240_602).integers(0, 1 << 63, SIZE, dtype=np.uint64) * 2 + 1
 
 
+#: Words of which a worker knows the numbers: those met of late, and as many before them.
+STORED_WORDS = 100_000
+
+
 class WordIds(dict):
-    """64-bit number of each word; forgets all when it has become large."""
+    """64-bit number of each word; keeps the frequent ones when it forgets."""
+
+    older: dict = {}
 
     def __missing__(self, word) -> int:
-        if len(self) > 1_000_000:
+        if len(self) >= STORED_WORDS:
+            self.older = self.copy()
             self.clear()
-        number = self[word] = xxhash.xxh3_64_intdigest(word)
+        number = self.older.get(word)
+        number = self[word] = xxhash.xxh3_64_intdigest(word) if number is None else number
         return number
 
 
