@@ -15,19 +15,23 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quillmill.durable import durable
+from quillmill.durable import scratch_path
 
 #: Bytes of text after which a chunk ends; a document is never cut.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 24 << 20
 
 
 def in_chunks(docs: DataFrame, columns: dict[str, Column], text: str = "text", size: int = CHUNK_BYTES) -> DataFrame:
     """``chunk, unit, text`` and ``columns`` of every row, stored.
 
-    A chunk holds neighbouring rows of one scan task. ``unit`` numbers the rows, so that
+    A chunk holds neighbouring rows of one scan task; tasks of small splits take several,
+    as the fewer the chunks, the fewer words are fetched. ``unit`` numbers the rows, so that
     repeated rows stay apart; a null text is empty.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("unit"), F.coalesce(F.col(text), F.lit("")).alias("text"), *[c.alias(name) for name, c in columns.items()])
+    body = F.coalesce(F.col(text), F.lit(""))
+    whole = docs.agg(F.coalesce(F.sum(F.octet_length(body)), F.lit(0)).alias("bytes")).first()["bytes"]
+    scanned = docs.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, 1 + whole // size))
+    rows = scanned.select(F.monotonically_increasing_id().alias("unit"), body.alias("text"), *[c.alias(name) for name, c in columns.items()])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, first = 0, TaskContext.get().partitionId() << 24
@@ -39,7 +43,9 @@ def in_chunks(docs: DataFrame, columns: dict[str, Column], text: str = "text", s
             yield pa.RecordBatch.from_arrays([pa.array(chunk), *batch.columns], ["chunk", *batch.schema.names])
 
     schema = ", ".join(["chunk bigint", *[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields]])
-    return durable(rows.mapInArrow(deal, schema), "chunks")
+    dealt, path = rows.mapInArrow(deal, schema), scratch_path(docs.sparkSession, "chunks")
+    dealt.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(dealt.schema).parquet(path)
 
 
 def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:

@@ -17,12 +17,12 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillmill.durable import durable
 from quillmill.llm.chunks import in_chunks, runs, texts_of
@@ -32,10 +32,12 @@ from quillmill.llm.language_id import held_out
 #: subtree has at most 2^24 runs, however large the corpus is.
 DEPTH, TOP = 5, 3
 #: Byte runs of a bucket of subtrees, and bytes of text looked at together.
-BUCKET_RUNS, TOGETHER = 500_000, 4_000_000
+BUCKET_RUNS, TOGETHER = 500_000, 2_000_000
 PAD, END, SPACE = b"\n" * DEPTH, b"\n", b" "
 FOLDS = 10
 LN2, LNPI = math.log(2), math.log(math.pi)
+#: Value of a word that the training texts lack: log10 of the smoothing count alone.
+NEVER = -1.0
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -60,7 +62,7 @@ def byte_runs(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return run[inside[DEPTH:]], sizes
 
 
-def groups_of_lines(lines: list[bytes]) -> Iterator[list[bytes]]:
+def groups_of_lines(lines: Iterable[bytes]) -> Iterator[list[bytes]]:
     group, held = [], 0
     for x in lines:
         group.append(x)
@@ -94,43 +96,51 @@ class Sums:
         return self.keys, self.counts
 
 
-VALUES = "chunk bigint, run bigint, word binary, n bigint"
-
-
-def chunk_counts(stored: DataFrame) -> DataFrame:
-    """``chunk, run, word, n``: how often each run or word of a chunk occurs in its training texts.
-
-    Those of held-out texts alone come with 0. The end of a text is the word of one newline.
-    """
+def run_counts(stored: DataFrame) -> DataFrame:
+    """``chunk, run, n``: how often each run of a chunk occurs in its training texts, 0 if in others only."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, sums, words = None, Sums(), Counter()
+        now, sums = None, Sums()
         for chunk, batch in runs(batches):
-            if chunk != now and words:
-                yield from listed(now, sums, words)
-                sums, words = Sums(), Counter()
+            if chunk != now and now is not None:
+                yield listed(now, sums)
+                sums = Sums()
             now = chunk
             for learn in (True, False):
-                lines = []
-                for text in texts_of(batch.filter(pc.equal(batch.column("learn"), learn))):
-                    found = words_of(text)
-                    lines.append(line(found))
-                    found.append(END)
-                    if learn:
-                        words.update(found)
-                    else:
-                        words.update(dict.fromkeys(found, 0))
-                for group in groups_of_lines(lines):
+                texts = texts_of(batch.filter(pc.equal(batch.column("learn"), learn)))
+                for group in groups_of_lines(map(line, map(words_of, texts))):
                     sums.add(byte_runs(group)[0], int(learn))
-        if words:
-            yield from listed(now, sums, words)
+        if now is not None:
+            yield listed(now, sums)
 
-    def listed(chunk: int, sums: Sums, words: Counter) -> Iterator[pa.RecordBatch]:
+    def listed(chunk: int, sums: Sums) -> pa.RecordBatch:
         keys, counts = sums.total()
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk)), pa.array(keys), pa.nulls(len(keys), pa.binary()), pa.array(counts)], ["chunk", "run", "word", "n"])
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), chunk)), pa.nulls(len(words), pa.int64()), pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], ["chunk", "run", "word", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk)), pa.array(keys), pa.array(counts)], ["chunk", "run", "n"])
+
+    return stored.select("chunk", "learn", "text").mapInArrow(count, "chunk bigint, run bigint, n bigint")
 
-    return stored.select("chunk", "learn", "text").mapInArrow(count, VALUES)
+
+def word_counts(stored: DataFrame) -> DataFrame:
+    """``chunk, word, n``, in the same way; the end of a text is the word of one newline."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, learnt, seen = None, Counter(), set()
+        for chunk, batch in runs(batches):
+            if chunk != now and now is not None:
+                yield listed(now, learnt, seen)
+                learnt, seen = Counter(), set()
+            now = chunk
+            for text, learn in zip(texts_of(batch), batch.column("learn").to_pylist()):
+                (learnt if learn else seen).update([*words_of(text), END])
+        if now is not None:
+            yield listed(now, learnt, seen)
+
+    def listed(chunk: int, learnt: Counter, seen: set) -> pa.RecordBatch:
+        words = sorted(seen.union(learnt))  # the same order whenever the task runs
+        columns = [pa.array(np.full(len(words), chunk)), pa.array(words, pa.binary()), pa.array([learnt[w] for w in words], pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["chunk", "word", "n"])
+
+    return stored.select("chunk", "learn", "text").mapInArrow(count, "chunk bigint, word binary, n bigint")
 
 
 def log_gamma(x):
@@ -248,28 +258,54 @@ def run_values(counts: DataFrame) -> DataFrame:
     return dealt.groupBy("bucket").cogroup(tops.groupBy("bucket")).applyInArrow(lambda runs, top: price_runs(runs, top), "run bigint, value double")
 
 
+class Prices:
+    """Values by run: most are found by one look into a table of hashes, the others by bisection."""
+
+    BITS = 21
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+        self.hashed, self.hashed_values = np.full(1 << self.BITS, -1, np.int64), np.zeros(1 << self.BITS)
+        at = self.place(self.keys)
+        self.hashed[at] = self.keys
+        self.hashed_values[at] = self.values
+
+    def place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)).view(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        at = self.place(keys)
+        found = self.hashed_values[at]
+        other = np.flatnonzero(self.hashed[at] != keys)
+        found[other] = self.values[np.searchsorted(self.keys, keys[other])]
+        return found
+
+
 def score_chunk(docs: pa.Table, values: pa.Table) -> pa.Table:
     """Scores of the texts of a chunk, from the values of its runs and words."""
     named = pc.is_valid(values.column("word"))
-    of_word = values.filter(named)
-    price = dict(zip(of_word.column("word").to_pylist(), zip(of_word.column("value").to_pylist(), of_word.column("n").to_pylist())))
-    of_run = values.filter(pc.invert(named))
-    keys = of_run.column("run").to_numpy()
-    order = np.argsort(keys)
-    keys, prices = keys[order], of_run.column("value").to_numpy()[order]
-    first, tokens, known, lines = [], [], [], []
-    for text in texts_of(docs):
-        words = words_of(text)
-        lines.append(line(words))
-        words.append(END)
-        found = np.array(list(map(price.__getitem__, words)))
-        first.append(found[:, 0].sum())
-        tokens.append(len(words))
-        known.append(int((found[:, 1] > 0).sum()))
+    of_word, of_run = values.filter(named), values.filter(pc.invert(named))
+    price = dict(zip(of_word.column("word").to_pylist(), of_word.column("value").to_pylist()))
+    prices = Prices(of_run.column("run").to_numpy(), of_run.column("value").to_numpy())
+    del values, of_word, of_run
+    first, tokens, known = [], [], []
+
+    def lines() -> Iterator[bytes]:
+        for at in range(0, docs.num_rows, 500):
+            for text in texts_of(docs.slice(at, 500)):
+                words = words_of(text)
+                yield line(words)
+                words.append(END)
+                found = np.fromiter(map(price.__getitem__, words), float, len(words))
+                first.append(found.sum())
+                tokens.append(len(words))
+                known.append(int((found > NEVER).sum()))
+
     scores, sizes = [], []
-    for group in groups_of_lines(lines):
+    for group in groups_of_lines(lines()):
         run, size = byte_runs(group)
-        scores.append(np.add.reduceat(prices[np.searchsorted(keys, run)], np.cumsum(size) - size))
+        scores.append(np.add.reduceat(prices.find(run), np.cumsum(size) - size))
         sizes.append(size)
     columns = [docs.column("id"), docs.column("learn"), tokens, known, first, np.concatenate(scores), np.concatenate(sizes)]
     return pa.table([c if isinstance(c, pa.ChunkedArray) else pa.array(c) for c in columns], ["id", "learn", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
@@ -289,13 +325,18 @@ def scores(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int =
     further columns are ignored.
     """
     stored = in_chunks(docs, {"id": F.col(id).cast("bigint"), "learn": ~held_out(F.col(id), folds)}, text)
-    counts = durable(chunk_counts(stored), "chunk-counts")
-    per_run = durable(counts.where(F.col("run").isNotNull()).groupBy("run").agg(F.sum("n").alias("n")), "runs")
-    per_word = durable(counts.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n")), "words")
-    total = per_word.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.coalesce(F.sum((F.col("n") > 0).cast("bigint")), F.lit(0)).alias("words")).first()
-    smooth = F.log10((F.col("n") + 0.1) / (F.lit(float(total.tokens)) + 0.1 * (total.words + 1)))
-    of_words = counts.where(F.col("word").isNotNull()).select("chunk", "word").join(per_word.withColumn("value", smooth), "word").select("chunk", F.lit(None).cast("bigint").alias("run"), "word", "n", "value")
-    of_runs = counts.where(F.col("run").isNotNull()).select("chunk", "run").join(run_values(per_run), "run").select("chunk", "run", F.lit(None).cast("binary").alias("word"), F.lit(0).cast("bigint").alias("n"), "value")
-    scored = stored.select("chunk", "id", "learn", "text").groupBy("chunk").cogroup(of_words.unionByName(of_runs).groupBy("chunk")).applyInArrow(lambda texts, values: score_chunk(texts, values), SCORES)
+    in_chunk = durable(run_counts(stored), "chunk-runs")
+    per_run = durable(in_chunk.groupBy("run").agg(F.sum("n").alias("n")), "runs")
+    rows = word_counts(stored).withColumn("row", F.monotonically_increasing_id())
+    everywhere = Window.partitionBy("word")  # one row per chunk
+    total = F.sum("n").over(everywhere)
+    words = durable(rows.select("chunk", "word", "n", total.alias("count"), (F.col("row") == F.min("row").over(everywhere)).alias("first")), "words")
+    learnt = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.coalesce(F.sum((F.col("first") & (F.col("count") > 0)).cast("bigint")), F.lit(0)).alias("distinct")).first()
+    smooth = F.when(F.col("count") > 0, F.log10(F.col("count") + 0.1)).otherwise(F.lit(NEVER))
+    of_words = words.select("chunk", F.lit(None).cast("bigint").alias("run"), "word", smooth.alias("value"))
+    of_runs = in_chunk.select("chunk", "run").join(run_values(per_run), "run").select("chunk", "run", F.lit(None).cast("binary").alias("word"), "value")
+    texts = stored.select("chunk", "id", "learn", "text").groupBy("chunk")
+    scored = texts.cogroup(of_words.unionByName(of_runs).groupBy("chunk")).applyInArrow(lambda texts, values: score_chunk(texts, values), SCORES)
+    smoothed = math.log10(learnt.tokens + 0.1 * (learnt.distinct + 1))
     bits = -F.col("score") * math.log2(10) / F.col("n_bytes")
-    return scored.select("id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", F.lit(total.tokens).cast("bigint").alias("train_tokens"), "base_score", "score", "n_bytes", bits.alias("bits_per_byte"))
+    return scored.select("id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", F.lit(learnt.tokens).cast("bigint").alias("train_tokens"), (F.col("base_score") - F.col("n_tokens") * smoothed).alias("base_score"), "score", "n_bytes", bits.alias("bits_per_byte"))
