@@ -9,19 +9,23 @@ and set of failed filters, from which all orders follow.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from quillmill.durable import durable
 from quillmill.llm.chunks import in_chunks, runs, texts_of
 
 #: Documents of a shard of the matrix.
 SHARD_ROWS = 1_000
+#: Bytes of text of a chunk: larger ones fetch each word less often.
+CHUNK_BYTES = 40 << 20
 FILTERS = "ABCDE"
 LEAST_WORDS, DISTINCT_PERCENT, CAPITAL_PERCENT, MARKS = 200, 50, 3, "#$%&*|"
 
@@ -30,62 +34,88 @@ def chunk_words(stored: DataFrame) -> DataFrame:
     """``chunk, word`` of the distinct words of each chunk, as bytes."""
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, words = None, set()
+        now, words = None, {}
         for chunk, batch in runs(batches):
             if chunk != now and words:
                 yield listed(now, words)
-                words = set()
+                words = {}
             now = chunk
             for text in texts_of(batch):
-                words.update(text.split())  # of bytes: at U+0009 to U+000D and U+0020 alone
+                words.update(dict.fromkeys(text.split()))  # of bytes: at U+0009 to U+000D and U+0020 alone
         if words:
             yield listed(now, words)
 
-    def listed(chunk: int, words: set) -> pa.RecordBatch:
-        found = pa.array(list(words), pa.binary())
+    def listed(chunk: int, words: dict) -> pa.RecordBatch:
+        found = pa.array(list(words), pa.binary())  # in the order of the texts whenever the task runs
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(found), chunk)), found], ["chunk", "word"])
 
     return stored.select("chunk", "text").mapInArrow(distinct, "chunk bigint, word binary")
 
 
-def term_shards(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The dictionary ``word, term`` and the shards ``units, bounds, terms, counts`` of *stored* chunks.
+def dictionary(words: DataFrame) -> DataFrame:
+    """``words`` with ``term``, one number for all rows of a word: the least of their row numbers.
+
+    A word has one row per chunk, so no word stands out.
+    """
+    rows = words.withColumn("row", F.monotonically_increasing_id())
+    return rows.select("chunk", "word", F.min("row").over(Window.partitionBy("word")).alias("term"))
+
+
+SHARD = "units array<bigint>, bounds array<bigint>, terms array<bigint>, counts array<int>, chars array<int>, capitals array<int>, marks array<int>, digests array<binary>"
+CONTINUED, CAPITALS = bytes(range(0x80, 0xC0)), bytes(range(0x41, 0x5B))
+
+
+def traits(text: bytes) -> tuple[int, int, int, bytes]:
+    """Code points, capitals and marks of a text, and its digest."""
+    size = len(text)
+    lacks = lambda some: size - len(text.translate(None, some))
+    return size - lacks(CONTINUED), lacks(CAPITALS), lacks(MARKS.encode()), hashlib.sha256(text).digest()
+
+
+def term_shards(stored: DataFrame) -> DataFrame:
+    """The shards of *stored* chunks, with the word numbers of ``dictionary``.
 
     Row i of a shard is the document ``units[i]``; its words are ``terms`` and ``counts``
-    from ``bounds[i]`` to ``bounds[i + 1]``, by ascending term. Documents without words have empty rows.
+    from ``bounds[i]`` to ``bounds[i + 1]``, in the order of the text. Documents without
+    words have empty rows. What the other filters look at comes along, as the texts are
+    read here anyway: ``chars``, ``capitals``, ``marks`` and ``digests`` have one entry a document.
     """
-    words = durable(chunk_words(stored), "chunk-words")
-    dictionary = durable(words.select("word").distinct().withColumn("term", F.monotonically_increasing_id()), "dictionary")
-    known = words.join(dictionary, "word").select("chunk", "word", "term")
+    known = dictionary(chunk_words(stored))
 
     def build(docs: pa.Table, terms: pa.Table) -> pa.Table:
         number = dict(zip(terms.column("word").to_pylist(), terms.column("term").to_pylist()))
         units, shards = docs.column("unit").to_numpy(), []
         for at in range(0, docs.num_rows, SHARD_ROWS):
-            rows = []
+            bounds, entries, counts, rest = [0], [], [], []
             for text in texts_of(docs.slice(at, SHARD_ROWS)):
-                found = text.split()
-                rows.append(np.unique(np.fromiter(map(number.__getitem__, found), np.int64, len(found)), return_counts=True))
-            bounds = np.concatenate(([0], np.cumsum([len(r[0]) for r in rows], dtype=np.int64)))
-            shards.append((units[at : at + SHARD_ROWS], bounds, np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])))
-        return pa.table([pa.array([s[i] for s in shards], pa.list_(pa.int64())) for i in range(4)], ["units", "bounds", "terms", "counts"])
+                row = Counter(text.split())
+                entries.extend(map(number.__getitem__, row))
+                counts.extend(row.values())
+                bounds.append(len(entries))
+                rest.append(traits(text))
+            shards.append((units[at : at + SHARD_ROWS], bounds, np.array(entries, np.int64), np.array(counts, np.int32), *zip(*rest)))
+        kinds = [pa.int64()] * 3 + [pa.int32()] * 4 + [pa.binary()]
+        names = "units bounds terms counts chars capitals marks digests".split()
+        return pa.table([pa.array([list(s[i]) if isinstance(s[i], tuple) else s[i] for s in shards], pa.list_(kind)) for i, kind in enumerate(kinds)], names)
 
     docs = stored.select("chunk", "unit", "text")
-    shards = docs.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(build, "units array<bigint>, bounds array<bigint>, terms array<bigint>, counts array<bigint>")
-    return dictionary, shards
+    return docs.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(build, SHARD)
 
 
 def row_counts(shards: DataFrame) -> DataFrame:
-    """``unit, words, distinct``: sum and number of nonzero entries of every row."""
+    """``unit, words, distinct`` of every row, its sum and number of nonzero entries, and the traits."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                units, bounds, counts = (batch.column(c)[i].values.to_numpy() for c in ("units", "bounds", "counts"))
-                sums = np.concatenate(([0], np.cumsum(counts)))
-                yield pa.RecordBatch.from_arrays([pa.array(units), pa.array(np.diff(sums[bounds])), pa.array(np.diff(bounds))], ["unit", "words", "distinct"])
+                units, bounds, counts, *rest = (column[i].values for column in batch.columns)
+                sums = np.concatenate(([0], np.cumsum(counts.to_numpy(), dtype=np.int64)))
+                bounds = bounds.to_numpy()
+                yield pa.RecordBatch.from_arrays([units, pa.array(np.diff(sums[bounds])), pa.array(np.diff(bounds)), *rest], names)
 
-    return shards.select("units", "bounds", "counts").mapInArrow(count, "unit bigint, words bigint, distinct bigint")
+    names = "unit words distinct chars capitals marks digest".split()
+    found = shards.select("units", "bounds", "counts", "chars", "capitals", "marks", "digests")
+    return found.mapInArrow(count, "unit bigint, words bigint, distinct bigint, chars int, capitals int, marks int, digest binary")
 
 
 def failures(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", part: str = "lang") -> DataFrame:
@@ -96,19 +126,16 @@ def failures(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
     text a smaller id has too; a null id is larger than all others and has no labels. Of
     several labels of a document, any 1 counts. No documents give no rows.
     """
-    stored = in_chunks(docs, {"id": F.col(id), "part": F.coalesce(F.col(part), F.lit(""))}, text)
-    _, shards = term_shards(stored)
-    body = F.col("text")
-    capitals = F.length(F.regexp_replace(body, "[^A-Z]+", ""))
+    stored = in_chunks(docs, {"id": F.col(id), "part": F.coalesce(F.col(part), F.lit(""))}, text, CHUNK_BYTES)
     flags = [
         F.col("words") < LEAST_WORDS,
         100 * F.col("distinct") < DISTINCT_PERCENT * F.col("words"),
-        F.col("shouts"),
-        F.col("marked"),
+        100 * F.col("capitals").cast("bigint") > CAPITAL_PERCENT * F.col("chars").cast("bigint"),
+        F.col("marks") > 0,
     ]
     mask = sum((F.when(flag, F.lit(1 << i)).otherwise(F.lit(0)) for i, flag in enumerate(flags)), F.lit(0))
-    rest = stored.select("unit", "id", "part", (100 * capitals > CAPITAL_PERCENT * F.length(body)).alias("shouts"), body.rlike(f"[{MARKS}]").alias("marked"), F.sha2(body, 256).alias("digest"))
-    flagged = rest.join(row_counts(shards), "unit").select("digest", "id", "part", mask.alias("mask"))
+    counted = stored.select("unit", "id", "part").join(row_counts(term_shards(stored)), "unit")
+    flagged = counted.select("digest", "id", "part", mask.alias("mask"))
     # copies shrink to counts before they are compared, so that no group of them meets in one task
     copies = durable(flagged.groupBy("digest", "id", "part", "mask").agg(F.count(F.lit(1)).alias("n")), "copies")
     first = copies.groupBy("digest").agg(F.min("id").alias("first"))
