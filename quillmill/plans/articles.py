@@ -28,7 +28,6 @@ class SourceRule:
     index_url: str  # template of one index page
     link_class: str
     tag_separator: str | None = None
-    fixed_pages: int | None = None
 
 
 # Sites, index pages and link classes of the five sources.
@@ -55,7 +54,6 @@ RULES = {
         "https://www.telegraph.co.uk/coronavirus/page-{page_num}/",
         "list-headline__link",
         tag_separator=",",
-        fixed_pages=1001,
     ),
     "weforum": SourceRule(
         "https://www.weforum.org",
@@ -74,7 +72,10 @@ WEFORUM_VIDEOS = "https://www.weforum.org/videos/"
 
 
 def page_count(html: Column, source: str) -> Column:
-    """Number of index pages, read from the first one."""
+    """Number of index pages, read from the first one.
+
+    Null where the page does not say it, as all of telegraph's; see ``linked_page_count``.
+    """
     source = check_source(source)
     if source == "gov_uk_news":
         n = F.replace(H.element_text(html, "span", "gem-c-pagination__link-label"), F.lit("2 of "), F.lit(""))
@@ -87,7 +88,7 @@ def page_count(html: Column, source: str) -> Column:
     elif source == "weforum":
         n = F.regexp_extract(H.element_text(html, "div", "pagination__page-info"), r"(\d+)\D*$", 1)
     else:
-        return F.lit(RULES[source].fixed_pages)
+        return F.lit(None).cast("int")
     return F.trim(n).try_cast("int")
 
 
@@ -119,6 +120,29 @@ def page_links(index_pages: DataFrame, source: str) -> DataFrame:
     return links
 
 
+def linked_page_count(index_pages: DataFrame, source: str, *by: str) -> DataFrame:
+    """``(*by, num_pages)``: the last stored index page that has article links.
+
+    For sources whose pages do not name their number; without any link there is no row.
+    """
+    rule = RULES[check_source(source)]
+    linked = F.size(H.link_list(F.col("html"), rule.root, rule.link_class)) > 0
+    last = index_pages.where(linked).groupBy(*by).agg(F.max("page_num").cast("int").alias("num_pages"))
+    return last.where(F.col("num_pages").isNotNull())
+
+
+def pages_to_fetch(index_pages: DataFrame, source: str, ahead: int = 100) -> DataFrame:
+    """``(page_num, index_url)`` of index pages that are not stored, up to ``ahead`` behind the last one with links.
+
+    Without stored pages these are the first ones. Fetching until nothing with links is
+    added finds every page unless more than ``ahead`` in a row lack links.
+    """
+    stored = index_pages.where(F.col("page_num").isNotNull())
+    last = linked_page_count(stored, source).agg(F.coalesce(F.max("num_pages"), F.lit(0)).alias("num_pages"))
+    wanted = index_frontier(last.withColumn("num_pages", F.col("num_pages") + ahead), RULES[source].index_url)
+    return wanted.join(stored.select(F.col("page_num").cast("int").alias("page_num")), "page_num", "left_anti")
+
+
 def article_frontier(index_pages: DataFrame, source: str, limit: int | None = None) -> DataFrame:
     """First ``limit`` article links with their ``id_custom`` index."""
     links = limit_frontier(page_links(index_pages, source), limit)
@@ -143,7 +167,7 @@ def article_record(pages: DataFrame, source: str, stored: bool = False) -> tuple
         "id_custom": F.col("id_custom"),
         "description": H.meta_value(metas, "og:description"),
     }
-    og_title, required = H.meta_value(metas, "og:title"), ["content"]
+    og_title, required = H.meta_value(metas, "og:title"), ["url", "content"]
     if source == "weforum":
         pages = pages.withColumn("_item", F.from_json(H.json_ld(html), JSON_LD))
         item = F.col("_item")

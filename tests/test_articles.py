@@ -111,7 +111,7 @@ def test_json_ld_is_the_first_matching_line(values):
         ("guardian", '<span class="pagination__legend">About 3,001 results</span>', 151),
         ("sun", '<li class="rectangle-4-copy-10">1</li><li class="rectangle-4-copy-10"> 77 </li><li>9</li>', 77),
         ("weforum", '<div class="pagination__page-info">1/12</div>', 12),
-        ("telegraph", "", 1001),
+        ("telegraph", "", None),
         ("sun", "<p>no list</p>", None),
     ],
 )
@@ -119,6 +119,18 @@ def test_page_counts(values, source, html, want):
     assert values(lambda c: plan.page_count(c, source), [html]) == [want]
 
 
+def test_telegraph_pages_follow_from_the_stored_ones(spark):
+    link = '<a class="list-headline__link" href="/x">x</a>'
+    stored = spark.createDataFrame([(1, link), (1500, link), (1501, "<p>no links</p>"), (None, link)], "page_num bigint, html string")
+    assert [r.num_pages for r in plan.linked_page_count(stored, "telegraph").collect()] == [1500]
+    got = sorted(r.page_num for r in plan.pages_to_fetch(stored, "telegraph", ahead=3).collect())
+    assert got == [*range(2, 1500), 1502, 1503]
+    none = stored.limit(0)
+    assert plan.linked_page_count(none, "telegraph").count() == 0
+    urls = {r.page_num: r.index_url for r in plan.pages_to_fetch(none, "telegraph", ahead=2).collect()}
+    assert urls == {n: f"https://www.telegraph.co.uk/coronavirus/page-{n}/" for n in (1, 2)}
+
+
 def test_index_frontier(spark):
     counts = spark.createDataFrame([("sun", 2), ("x", None)], "source string, num_pages int")
     got = [r.index_url for r in plan.index_frontier(counts, plan.RULES["sun"].index_url).orderBy("page_num").collect()]
