@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quillmill.durable import durable
 from quillmill.functions.tweets import is_retweet
 from quillmill.schemas import SOURCES
 
@@ -33,8 +34,15 @@ def drop_containing_any(df: DataFrame, col: str, literals=REMOVAL_NOTICES) -> Da
     return df.where(~F.coalesce(contains_any(F.col(col), literals), F.lit(False)))
 
 
-def split_retweets(df: DataFrame, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
-    """``(kept, skipped)``: rows without and with the key ``retweeted_status``."""
+def split_retweets(df: DataFrame, raw: str = "raw", stored: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(kept, skipped)``: rows without and with the key ``retweeted_status``.
+
+    With ``stored`` the rows, without ``raw``, are computed and written once for both.
+    """
+    if stored:
+        row = F.struct(*[c for c in df.columns if c != raw])
+        rows = durable(df.select(row.alias("row"), is_retweet(F.col(raw)).alias("retweet")), "tweets")
+        return rows.where("NOT retweet").select("row.*"), rows.where("retweet").select("row.*")
     return df.where(~is_retweet(F.col(raw))), df.where(is_retweet(F.col(raw)))
 
 

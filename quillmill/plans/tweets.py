@@ -115,10 +115,10 @@ def hydrate_batches(
     latest = first_per_key(wanted, "id", [F.desc("file_path"), F.desc("line_ord")]).select("id", "raw")
     # gathered by batch, each output partition is written by one task as one file
     found = hydrate(todo, latest).hint("rebalance", *[F.col(c) for c in BATCH])
-    found = durable(found, "found")
-    kept, skipped = split_retweets(parse_tweets(found.drop("pos").withColumnRenamed("id", "_id")).drop("_id"))
+    # each found object is parsed once, and each kept one located once, for all outputs
+    kept, skipped = split_retweets(parse_tweets(found.drop("pos").withColumnRenamed("id", "_id")).drop("_id"), stored=True)
     lengths = kept.select(*BATCH, F.col("id_str").alias("tweet_id"), token_count(F.col("full_text")).alias("tweet_length"))
-    records = tweet_metadata(tweet_location(kept, countries, states), *BATCH)
+    records = durable(tweet_metadata(tweet_location(kept, countries, states), *BATCH).hint("rebalance", *[F.col(c) for c in BATCH]), "records")
     write_corpus(records, f"{out}/corpus", text="content", normalise=False, by=BATCH)
     write_metadata(records.drop("content"), f"{out}/metadata", by=BATCH)
     write_lengths(lengths, f"{out}/lengths", by=BATCH)
