@@ -276,6 +276,9 @@ ORACLES["export_posts"] = f"""
 SELECT printf('%05d_guardian', page_id + 1) AS id, {_line(_ascii(f"replace(replace({_main_text('html')}, '©', '(c)'), '·', '*')"))} AS text, {_TITLE} AS title, url FROM pages"""
 ORACLES["ingest_pages_stream"] = f"""
 SELECT 'sun' AS source, url, page_id AS id_custom, {_TITLE} AS title, {_main_text('html')} AS content FROM pages"""
+ORACLES["ingest_rejects_stream"] = """
+SELECT url, CASE WHEN page_id % 3 <> 0 THEN page_id ELSE -1 - page_id END AS id_custom, 'saved' AS state FROM pages WHERE page_id % 6 <> 0
+UNION ALL SELECT url, unnest([page_id, -1 - page_id]), 'no content' FROM pages WHERE page_id % 6 = 0"""
 
 ORACLES["written_corpus"] = f"SELECT doc_id || chr(9) || {_line('text')} AS line FROM documents"
 ORACLES["written_metadata"] = """
@@ -303,8 +306,14 @@ FROM o GROUP BY file_name"""
 
 ORACLES["page_counts"] = """
 WITH n AS (SELECT page_id, CAST(page_id % 900 + 2 AS INTEGER) AS n FROM pages)
-SELECT page_id, s.source, CASE WHEN s.source = 'telegraph' THEN 1001 ELSE n END AS num_pages
-FROM n, (SELECT unnest(['gov_uk_news', 'guardian', 'sun', 'telegraph', 'weforum']) AS source) s"""
+SELECT page_id, s.source, n AS num_pages FROM n, (SELECT unnest(['gov_uk_news', 'guardian', 'sun', 'weforum']) AS source) s
+UNION ALL SELECT page_id // 10 * 10, 'telegraph', CAST(max(page_id) AS INTEGER) FROM pages
+WHERE page_id % 3 <> 0 AND contains(html, '<li><a href') GROUP BY 1"""
+ORACLES["pages_to_fetch"] = """
+WITH stored AS (SELECT page_id, page_id % 3 <> 0 AND contains(html, '<li><a href') AS linked FROM pages WHERE page_id % 5 <> 2),
+n AS (SELECT unnest(generate_series(1, (SELECT max(page_id) FILTER (linked) + 25 FROM stored))) AS page_num)
+SELECT CAST(page_num AS INTEGER) AS page_num, 'https://www.telegraph.co.uk/coronavirus/page-' || page_num || '/' AS index_url
+FROM n WHERE page_num NOT IN (SELECT page_id FROM stored)"""
 ORACLES["scraped_articles"] = """
 WITH l AS (SELECT page_id // 10 AS page_num, page_id AS place, url, true AS there FROM pages
            UNION ALL SELECT DISTINCT page_id // 10, 1000000000000, 'https://gone.example.org/' || (page_id // 10), false FROM pages)
@@ -313,7 +322,8 @@ ORACLES["processed_papers"] = f"""
 SELECT printf('%06d', d.doc_id) || chr(9) || {_line("source || chr(10) || lang || chr(10) || text")} AS line,
        source AS title, 'journal ' || quality AS journal, 'https://doi.example.org/' || l.doc_id AS url
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
-for _source, _columns in (("gov_uk_news", "'news' AS kind"), ("telegraph", "NULL AS kind"), ("weforum", "'health' AS kind")):
+_CONTAINER = _stripped_lines(_unescaped("regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]*>', '', 'g')"))
+for _source, _kind, _text in (("gov_uk_news", "'news'", _main_text("html")), ("telegraph", "NULL", _main_text("html")), ("weforum", "'health'", _CONTAINER)):
     ORACLES[f"{_source}_records"] = f"""
-SELECT page_id + 1 AS id_custom, 'T' || page_id AS title, 'text ' || page_id AS content, '2020-05-06' AS date, CAST({_columns[:-8]} AS VARCHAR) AS kind
+SELECT page_id + 1 AS id_custom, 'T' || page_id AS title, {_text} AS content, '2020-05-06' AS date, CAST({_kind} AS VARCHAR) AS kind
 FROM pages WHERE page_id % 3 <> 0"""

@@ -689,19 +689,32 @@ def index_frontier(spark, sf):
 
 @query
 def page_counts(spark, sf):
-    """Number of index pages as each source writes it."""
+    """Number of index pages as each source writes it; telegraph's from the links of each group of pages."""
     n = (F.col("page_id") % 900 + 2).cast("int").cast("string")
     spelled = {
         "gov_uk_news": F.concat(F.lit('<span class="gem-c-pagination__link-label">2 of '), n, F.lit("</span>")),
         "guardian": F.concat(F.lit('<span class="pagination__legend">x '), F.format_string("%,d", (F.col("page_id") % 900 + 2) * 20), F.lit("</span>")),
         "sun": F.concat(F.lit('<li class="rectangle-4-copy-10">1</li><li class="rectangle-4-copy-10">'), n, F.lit("</li>")),
-        "telegraph": F.lit("<html></html>"),
         "weforum": F.concat(F.lit('<div class="pagination__page-info">1/'), F.repeat(F.lit(" "), F.lit(30)), n, F.lit("</div>")),
     }
     counts = [_pages(spark, sf).select("page_id", F.lit(name).alias("source"), articles.page_count(html, name).alias("num_pages")) for name, html in spelled.items()]
+    index = _telegraph_index(spark, sf).withColumn("page_id", F.floor(F.col("page_num") / 10) * 10)
+    counts.append(articles.linked_page_count(index, "telegraph", "page_id").select("page_id", F.lit("telegraph").alias("source"), "num_pages"))
     return reduce(DataFrame.unionByName, counts)
 
 
+def _telegraph_index(spark, sf) -> DataFrame:
+    """Index pages whose links are of the wanted class, but for every third page."""
+    marked = F.replace(F.col("html"), F.lit("<li><a href"), F.lit('<li><a class="list-headline__link" href'))
+    return _pages(spark, sf).select(F.col("page_id").alias("page_num"), F.when(F.col("page_id") % 3 == 0, F.col("html")).otherwise(marked).alias("html"))
+
+
+@query
+def pages_to_fetch(spark, sf):
+    """Telegraph's index pages that are not stored yet; every fifth one is missing."""
+    return articles.pages_to_fetch(_telegraph_index(spark, sf).where(F.col("page_num") % 5 != 2), "telegraph", ahead=25)
+
+
 @query
 def scraped_articles(spark, sf):
     """Index pages to links to pages to the store, twice: the second run finds only what is missing."""
@@ -718,36 +731,37 @@ def scraped_articles(spark, sf):
     return saved.unionByName(rejected.select("url", "id_custom", F.col("reason").alias("state")))
 
 
-def _source_records(spark, sf, source: str, head: Column, body: Column, kind: Column) -> DataFrame:
-    """Pages of one source; every third one lacks a title and is rejected."""
+def _source_records(spark, sf, source: str, head: Column, kind: Column, html: Column | None = None) -> DataFrame:
+    """Pages with a source's head tags; every third one lacks a title and is rejected."""
     title = F.when(F.col("page_id") % 3 != 0, F.concat(F.lit('<meta property="og:title" content="T'), F.col("page_id").cast("string"), F.lit('">'))).otherwise(F.lit(""))
-    html = F.concat(F.lit("<html><head>"), title, F.lit('<meta property="og:description" content="D">'), head, F.lit("</head><body>"), body, F.lit("</body></html>"))
-    pages = _pages(spark, sf).select((F.col("page_id") + 1).alias("id_custom"), "url", html.alias("html"))
+    page = _with_head(F.col("html") if html is None else html, title, F.lit('<meta property="og:description" content="D">'), head)
+    pages = _pages(spark, sf).select((F.col("page_id") + 1).alias("id_custom"), "url", page.alias("html"))
     kept, _ = articles.article_record(pages, source)
     return kept.select("id_custom", "title", "content", "date", kind.cast("string").alias("kind"))
 
 
-def _content(before: str, after: str) -> Column:
-    return F.concat(F.lit(before + "text "), F.col("page_id").cast("string"), F.lit(after))
+def _rewrapped(before: str, after: str) -> Column:
+    """The pages with other tags around their articles."""
+    return F.replace(F.replace(F.col("html"), F.lit("<article>"), F.lit(before)), F.lit("</article>"), F.lit(after))
 
 
 @query
 def gov_uk_news_records(spark, sf):
     head = F.lit('<meta name="govuk:taxon-slug" content="x"><meta name="govuk:format" content="news"><meta name="date" content="6th of May 2020">')
-    return _source_records(spark, sf, "gov_uk_news", head, _content("<article><p>", "</p></article>"), F.col("format"))
+    return _source_records(spark, sf, "gov_uk_news", head, F.col("format"))
 
 
 @query
 def telegraph_records(spark, sf):
     head = F.lit('<meta property="article:published_time" content="20200506">')
-    return _source_records(spark, sf, "telegraph", head, _content("<form><article><p>", "</p></article></form>"), F.lit(None))
+    return _source_records(spark, sf, "telegraph", head, F.lit(None), _rewrapped("<form><article>", "</article></form>"))
 
 
 @query
 def weforum_records(spark, sf):
     item = '\n{"@context": "x", "dateCreated": "10:30 6 May 2020", "creator": ["A"], "articleSection": "health", "keywords": ["k"]}\n'
-    body = _content('<div class="article-body"><div>', "</div>We use cookies to improve your experience</div>".replace("</div>We", "</div>\nWe"))
-    return _source_records(spark, sf, "weforum", F.lit(f"<script>{item}</script>"), body, F.col("category"))
+    html = _rewrapped('<div class="article-body">', "\nWe use cookies to improve your experience</div>")
+    return _source_records(spark, sf, "weforum", F.lit(f"<script>{item}</script>"), F.col("category"), html)
 
 
 @query
@@ -849,6 +863,25 @@ def ingest_pages_stream(spark, sf):
     return store.read_posts(spark, path, "sun").select("source", "url", "id_custom", "title", "content")
 
 
+@query
+def ingest_rejects_stream(spark, sf):
+    """Two arrivals that repeat all URLs, then all input again as another stream.
+
+    Every third page is blank at first; half of these are mended in the second arrival.
+    """
+    landing, path, rejects = (scratch_path(spark, n) for n in ("landing", "store", "rejects"))
+    page = _pages(spark, sf).select("page_id", "url", "html")
+    blank = lambda every: F.when(F.col("page_id") % every == 0, F.lit("<html></html>")).otherwise(F.col("html")).alias("html")
+    arrivals = page.select("page_id", "url", blank(3)), page.select((-1 - F.col("page_id")).alias("page_id"), "url", blank(6))
+    first = scratch_path(spark, "stream")
+    for arrival in arrivals:
+        arrival.write.mode("append").parquet(landing)
+        ingest_stream(spark, landing, path, first, source_posts("sun"), rejects=rejects)
+    ingest_stream(spark, landing, path, scratch_path(spark, "stream"), source_posts("sun"), rejects=rejects)
+    saved = store.read_posts(spark, path, "sun").select("url", "id_custom", F.lit("saved").alias("state"))
+    return saved.unionByName(store.read_rejects(spark, rejects, path).select("url", "id_custom", F.col("reason").alias("state")))
+
+
 @query
 def written_corpus(spark, sf):
     """Corpus files written and read back as lines."""

@@ -66,3 +66,5 @@ LEDGER = (
 )
 
 PAGES = "page_id bigint, url string, html string"
+
+REJECTS = "source string, url string, id_custom bigint, reason string, stream string, batch_id bigint"

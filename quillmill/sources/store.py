@@ -1,4 +1,4 @@
-"""The post store (Parquet by source) and the ledger of finished batches."""
+"""The post store (Parquet by source), the pages it rejected, and the ledger of finished batches."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.operators.filters import by_source
 from quillmill.operators.joins import first_per_key, new_only
-from quillmill.schemas import LEDGER, POSTS, REQUIRED_POST_FIELDS, SOURCES
+from quillmill.schemas import LEDGER, POSTS, REJECTS, REQUIRED_POST_FIELDS, SOURCES
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -60,6 +60,22 @@ def append_posts(df: DataFrame, path: str, order: tuple[str, ...] = ("id_custom"
     as_posts(new).hint("rebalance", F.col("source")).write.mode("append").partitionBy("source").parquet(path)
 
 
+def replace_rejects(rejected: DataFrame, path: str, stream: str, batch_id: int) -> None:
+    """Write the rejects of one micro-batch in place of what it wrote before."""
+    rows = rejected.select("source", "url", F.col("id_custom").cast("bigint").alias("id_custom"), "reason")
+    rows.write.mode("overwrite").parquet(f"{path}/stream={stream}/batch_id={batch_id}")
+
+
+def read_rejects(spark: SparkSession, path: str, store: str | None = None) -> DataFrame:
+    """``source, url, id_custom, reason`` of rejected pages, each once; an absent table is empty.
+
+    A page that several streams rejected, as after the loss of a checkpoint, counts once.
+    With ``store`` only pages whose URL has no post by now.
+    """
+    rows = _read_or_empty(spark, path, REJECTS).select("source", "url", "id_custom", "reason").distinct()
+    return rows if store is None else unseen(rows, store).select(rows.columns)
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Finished batches; an absent ledger is empty."""
     return _read_or_empty(spark, path, LEDGER)
