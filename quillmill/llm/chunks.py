@@ -21,6 +21,12 @@ from quillmill.durable import scratch_path
 CHUNK_BYTES = 24 << 20
 
 
+def gathered(docs: DataFrame, text: str, size: int) -> DataFrame:
+    """The rows in so few scan tasks that a chunk of ``size`` bytes can be filled."""
+    whole = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes")).first()["bytes"]
+    return docs.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, 1 + whole // size))
+
+
 def in_chunks(docs: DataFrame, columns: dict[str, Column], text: str = "text", size: int = CHUNK_BYTES) -> DataFrame:
     """``chunk, unit, text`` and ``columns`` of every row, stored.
 
@@ -29,9 +35,7 @@ def in_chunks(docs: DataFrame, columns: dict[str, Column], text: str = "text", s
     repeated rows stay apart; a null text is empty.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    whole = docs.agg(F.coalesce(F.sum(F.octet_length(body)), F.lit(0)).alias("bytes")).first()["bytes"]
-    scanned = docs.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, 1 + whole // size))
-    rows = scanned.select(F.monotonically_increasing_id().alias("unit"), body.alias("text"), *[c.alias(name) for name, c in columns.items()])
+    rows = gathered(docs, text, size).select(F.monotonically_increasing_id().alias("unit"), body.alias("text"), *[c.alias(name) for name, c in columns.items()])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, first = 0, TaskContext.get().partitionId() << 24

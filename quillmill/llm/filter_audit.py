@@ -1,10 +1,11 @@
 """What each of several filters removes, alone and in every order, from a document-term matrix.
 
-All distinct words get a number from one global dictionary. The documents of a chunk
-become a shard of a sparse matrix in compressed rows (CSR): row bounds, word numbers and
-counts. The sum of a row is the number of words and its number of nonzero entries that of
-distinct words. With the flags of the other filters, documents shrink to counts per part
-and set of failed filters, from which all orders follow.
+The documents of a chunk become shards of a sparse matrix in compressed rows (CSR): row
+bounds, word numbers and counts. Texts are cut into words once: a chunk numbers its words
+as they come, one global dictionary numbers the words of all chunks, and each chunk then
+exchanges its own numbers for the global ones. The sum of a row is the number of words and
+its number of nonzero entries that of distinct words. With the flags of the other filters,
+documents shrink to counts per part and set of failed filters, from which all orders follow.
 """
 
 from __future__ import annotations
@@ -17,105 +18,146 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quillmill.durable import durable
-from quillmill.llm.chunks import in_chunks, runs, texts_of
+from quillmill.durable import durable, scratch_path
+from quillmill.llm.chunks import gathered, texts_of
 
-#: Documents of a shard of the matrix.
-SHARD_ROWS = 1_000
-#: Bytes of text of a chunk: larger ones fetch each word less often.
+#: Documents of a shard of the matrix, and words of a row of a chunk's dictionary.
+SHARD_ROWS, WORD_ROWS = 250, 100_000
+#: Bytes of text of a chunk: larger ones name each word less often.
 CHUNK_BYTES = 40 << 20
 FILTERS = "ABCDE"
 LEAST_WORDS, DISTINCT_PERCENT, CAPITAL_PERCENT, MARKS = 200, 50, 3, "#$%&*|"
+CONTINUED, CAPITALS = bytes(range(0x80, 0xC0)), bytes(range(0x41, 0x5B))
 
 
-def chunk_words(stored: DataFrame) -> DataFrame:
-    """``chunk, word`` of the distinct words of each chunk, as bytes."""
+def traits(text: bytes) -> tuple[int, int, int, bytes]:
+    """Code points, capitals and marks of a text, and its digest."""
+    size = len(text)
+    lacks = lambda some: size - len(text.translate(None, some))
+    return size - lacks(CONTINUED), lacks(CAPITALS), lacks(MARKS.encode()), hashlib.sha256(text).digest()
 
-    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, words = None, {}
-        for chunk, batch in runs(batches):
-            if chunk != now and words:
-                yield listed(now, words)
-                words = {}
-            now = chunk
-            for text in texts_of(batch):
-                words.update(dict.fromkeys(text.split()))  # of bytes: at U+0009 to U+000D and U+0020 alone
-        if words:
-            yield listed(now, words)
 
-    def listed(chunk: int, words: dict) -> pa.RecordBatch:
-        found = pa.array(list(words), pa.binary())  # in the order of the texts whenever the task runs
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(found), chunk)), found], ["chunk", "word"])
+class Codes(dict):
+    """Number of each word of a chunk, in the order of the texts."""
 
-    return stored.select("chunk", "text").mapInArrow(distinct, "chunk bigint, word binary")
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
 
 
-def dictionary(words: DataFrame) -> DataFrame:
-    """``words`` with ``term``, one number for all rows of a word: the least of their row numbers.
+WORDS = {"chunk": pa.int64(), "first": pa.int64(), "words": pa.list_(pa.binary())}
+MATRIX = {"bounds": pa.int64(), "codes": pa.int32(), "counts": pa.int32()}
+TRAITS = {"chars": pa.int32(), "capitals": pa.int32(), "marks": pa.int32(), "digest": pa.binary()}
+SQL_TYPES = {pa.int64(): "bigint", pa.int32(): "int", pa.binary(): "binary"}
 
-    A word has one row per chunk, so no word stands out.
-    """
-    rows = words.withColumn("row", F.monotonically_increasing_id())
-    return rows.select("chunk", "word", F.min("row").over(Window.partitionBy("word")).alias("term"))
 
+def coded_chunks(docs: DataFrame, columns: dict[str, Column], text: str = "text", size: int = CHUNK_BYTES) -> DataFrame:
+    """Chunks of documents with word numbers of their own, stored as rows of two kinds.
 
-SHARD = "units array<bigint>, bounds array<bigint>, terms array<bigint>, counts array<int>, chars array<int>, capitals array<int>, marks array<int>, digests array<binary>"
-CONTINUED, CAPITALS = bytes(range(0x80, 0xC0)), bytes(range(0x41, 0x5B))
+    ``first, words`` lists a part of a chunk's words, numbered from ``first``. A shard has
+    ``bounds, codes, counts``: row i are the words ``codes`` from ``bounds[i]`` to
+    ``bounds[i + 1]``. What the other filters look at comes along, as the texts are read
+    here anyway: ``chars, capitals, marks, digest`` and ``columns`` have one entry a document.
+    A chunk holds neighbouring rows of one scan task and never a part of a document; a null
+    text is empty and has an empty row.
+    """
+    names = list(columns)
+    rows = gathered(docs, text, size).select(F.coalesce(F.col(text), F.lit("")).alias("text"), *[c.alias(name) for name, c in columns.items()])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, read, held, codes, shard, kinds = TaskContext.get().partitionId() << 24, 0, 0, Codes(), [], {}
+
+        def row(first: int, words: list, matrix: tuple, rest: list) -> pa.RecordBatch:
+            values = [words, *matrix, *(rest or [[]] * (len(TRAITS) + len(names)))]
+            types = [pa.binary(), *MATRIX.values(), *TRAITS.values(), *kinds.values()]
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, t)) for v, t in zip(values, types)]
+            return pa.RecordBatch.from_arrays([pa.array([chunk + read // size]), pa.array([first]), *lists], [*WORDS, *MATRIX, *TRAITS, *kinds])
+
+        def close_shard() -> Iterator[pa.RecordBatch]:
+            if shard:
+                bounds, found, counts = [0], [], []
+                for words, *_ in shard:
+                    found.extend(map(codes.__getitem__, words))
+                    counts.extend(words.values())
+                    bounds.append(len(found))
+                yield row(0, [], (bounds, np.array(found, np.int32), np.array(counts, np.int32)), list(zip(*[r[1:] for r in shard])))
+                shard.clear()
+
+        def close_chunk() -> Iterator[pa.RecordBatch]:
+            yield from close_shard()
+            words = list(codes)
+            for at in range(0, len(words), WORD_ROWS):
+                yield row(at, words[at : at + WORD_ROWS], ([], [], []), [])
+            codes.clear()
 
+        for batch in batches:
+            kinds = {name: batch.schema.field(name).type for name in names}
+            for body, *rest in zip(texts_of(batch), *[batch.column(name).to_pylist() for name in names]):
+                if (read + held) // size > read // size:
+                    yield from close_chunk()
+                    read, held = read + held, 0
+                elif len(shard) == SHARD_ROWS:
+                    yield from close_shard()
+                shard.append((Counter(body.split()), *traits(body), *rest))  # of bytes: at U+0009 to U+000D and U+0020 alone
+                held += len(body)
+        yield from close_chunk()
+
+    listed = [f"`{name}` array<{SQL_TYPES[kind]}>" for name, kind in (MATRIX | TRAITS).items()]
+    carried = [f"`{name}` array<{rows.schema[name].dataType.simpleString()}>" for name in names]
+    coded = rows.mapInArrow(deal, ", ".join(["chunk bigint, first bigint, words array<binary>", *listed, *carried]))
+    path = scratch_path(docs.sparkSession, "coded")
+    # a row is large: row groups are kept small, as a reader holds a whole one
+    coded.write.options(**{"compression": "zstd", "parquet.block.size": 32 << 20, "parquet.block.size.row.check.min": 8}).parquet(path)
+    return docs.sparkSession.read.schema(coded.schema).parquet(path)
+
+
+def dictionary(coded: DataFrame) -> DataFrame:
+    """``chunk, code, word, term`` where ``term`` is one number for all rows of a word, the least of their row numbers.
 
-def traits(text: bytes) -> tuple[int, int, int, bytes]:
-    """Code points, capitals and marks of a text, and its digest."""
-    size = len(text)
-    lacks = lambda some: size - len(text.translate(None, some))
-    return size - lacks(CONTINUED), lacks(CAPITALS), lacks(MARKS.encode()), hashlib.sha256(text).digest()
+    A word has one row per chunk, so no word stands out.
+    """
+    rows = coded.where(F.size("words") > 0).select("chunk", "first", F.posexplode("words").alias("pos", "word"))
+    rows = rows.select("chunk", (F.col("first") + F.col("pos")).alias("code"), "word", F.monotonically_increasing_id().alias("row"))
+    return rows.select("chunk", "code", "word", F.min("row").over(Window.partitionBy("word")).alias("term"))
 
 
-def term_shards(stored: DataFrame) -> DataFrame:
-    """The shards of *stored* chunks, with the word numbers of ``dictionary``.
+def term_shards(coded: DataFrame) -> DataFrame:
+    """The shards of ``coded_chunks`` with ``terms``, the numbers of ``dictionary``, in place of ``codes``."""
+    known = dictionary(coded).select("chunk", "code", "term")
+    shards = coded.where(F.size("bounds") > 0).drop("first", "words")
+    kept = [f for f in shards.schema.fields if f.name not in ("chunk", "codes")]
 
-    Row i of a shard is the document ``units[i]``; its words are ``terms`` and ``counts``
-    from ``bounds[i]`` to ``bounds[i + 1]``, in the order of the text. Documents without
-    words have empty rows. What the other filters look at comes along, as the texts are
-    read here anyway: ``chars``, ``capitals``, ``marks`` and ``digests`` have one entry a document.
-    """
-    known = dictionary(chunk_words(stored))
-
-    def build(docs: pa.Table, terms: pa.Table) -> pa.Table:
-        number = dict(zip(terms.column("word").to_pylist(), terms.column("term").to_pylist()))
-        units, shards = docs.column("unit").to_numpy(), []
-        for at in range(0, docs.num_rows, SHARD_ROWS):
-            bounds, entries, counts, rest = [0], [], [], []
-            for text in texts_of(docs.slice(at, SHARD_ROWS)):
-                row = Counter(text.split())
-                entries.extend(map(number.__getitem__, row))
-                counts.extend(row.values())
-                bounds.append(len(entries))
-                rest.append(traits(text))
-            shards.append((units[at : at + SHARD_ROWS], bounds, np.array(entries, np.int64), np.array(counts, np.int32), *zip(*rest)))
-        kinds = [pa.int64()] * 3 + [pa.int32()] * 4 + [pa.binary()]
-        names = "units bounds terms counts chars capitals marks digests".split()
-        return pa.table([pa.array([list(s[i]) if isinstance(s[i], tuple) else s[i] for s in shards], pa.list_(kind)) for i, kind in enumerate(kinds)], names)
-
-    docs = stored.select("chunk", "unit", "text")
-    return docs.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(build, SHARD)
+    def exchange(shards: pa.Table, words: pa.Table) -> pa.Table:
+        number = np.zeros(words.num_rows, np.int64)
+        number[words.column("code").to_numpy()] = words.column("term").to_numpy()
+        codes = shards.column("codes").combine_chunks()
+        ends = np.concatenate(([0], np.cumsum(pc.list_value_length(codes).to_numpy()))).astype(np.int32)
+        terms = pa.ListArray.from_arrays(pa.array(ends), pa.array(number[codes.flatten().to_numpy()]))
+        return shards.select([f.name for f in kept]).append_column("terms", terms)
+
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "terms array<bigint>"])
+    return shards.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(exchange, schema)
 
 
 def row_counts(shards: DataFrame) -> DataFrame:
-    """``unit, words, distinct`` of every row, its sum and number of nonzero entries, and the traits."""
+    """``words, distinct`` of every row, its sum and number of nonzero entries, and its other columns."""
+    rest = [f for f in shards.schema.fields if f.name not in ("bounds", "terms", "counts")]
+    names = ["words", "distinct", *[f.name for f in rest]]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                units, bounds, counts, *rest = (column[i].values for column in batch.columns)
+                bounds, counts, *others = (column[i].values for column in batch.columns)
                 sums = np.concatenate(([0], np.cumsum(counts.to_numpy(), dtype=np.int64)))
                 bounds = bounds.to_numpy()
-                yield pa.RecordBatch.from_arrays([units, pa.array(np.diff(sums[bounds])), pa.array(np.diff(bounds)), *rest], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.diff(sums[bounds])), pa.array(np.diff(bounds)), *others], names)
 
-    names = "unit words distinct chars capitals marks digest".split()
-    found = shards.select("units", "bounds", "counts", "chars", "capitals", "marks", "digests")
-    return found.mapInArrow(count, "unit bigint, words bigint, distinct bigint, chars int, capitals int, marks int, digest binary")
+    schema = ", ".join(["words bigint, distinct bigint", *[f"`{f.name}` {f.dataType.elementType.simpleString()}" for f in rest]])
+    return shards.select("bounds", "counts", *[f.name for f in rest]).mapInArrow(count, schema)
 
 
 def failures(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", part: str = "lang") -> DataFrame:
@@ -126,7 +168,7 @@ def failures(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
     text a smaller id has too; a null id is larger than all others and has no labels. Of
     several labels of a document, any 1 counts. No documents give no rows.
     """
-    stored = in_chunks(docs, {"id": F.col(id), "part": F.coalesce(F.col(part), F.lit(""))}, text, CHUNK_BYTES)
+    coded = coded_chunks(docs, {"id": F.col(id), "part": F.coalesce(F.col(part), F.lit(""))}, text)
     flags = [
         F.col("words") < LEAST_WORDS,
         100 * F.col("distinct") < DISTINCT_PERCENT * F.col("words"),
@@ -134,8 +176,7 @@ def failures(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
         F.col("marks") > 0,
     ]
     mask = sum((F.when(flag, F.lit(1 << i)).otherwise(F.lit(0)) for i, flag in enumerate(flags)), F.lit(0))
-    counted = stored.select("unit", "id", "part").join(row_counts(term_shards(stored)), "unit")
-    flagged = counted.select("digest", "id", "part", mask.alias("mask"))
+    flagged = row_counts(term_shards(coded)).select("digest", "id", "part", mask.alias("mask"))
     # copies shrink to counts before they are compared, so that no group of them meets in one task
     copies = durable(flagged.groupBy("digest", "id", "part", "mask").agg(F.count(F.lit(1)).alias("n")), "copies")
     first = copies.groupBy("digest").agg(F.min("id").alias("first"))

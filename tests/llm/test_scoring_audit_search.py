@@ -1,5 +1,6 @@
 """Language-model scores, the filter audit and ranked search against plain versions of their rules."""
 
+import hashlib
 import itertools
 import math
 import re
@@ -191,18 +192,22 @@ def test_audit_of_odd_rows(spark, odd, empty):
 
 
 def test_shards_hold_the_matrix(spark, odd, empty):
-    stored = chunks.in_chunks(odd, {"id": F.col("doc_id")})
-    shards = filter_audit.term_shards(stored)
-    word = {r.term: bytes(r.word) for r in filter_audit.dictionary(filter_audit.chunk_words(stored)).collect()}
-    rows = {}
-    for s in shards.collect():
-        for i, unit in enumerate(s.units):
-            span = slice(s.bounds[i], s.bounds[i + 1])
-            assert len(set(s.terms[span])) == len(s.terms[span])
-            rows[unit] = dict(zip(map(word.__getitem__, s.terms[span]), s.counts[span]))
-    texts = {r.unit: r.text for r in stored.collect()}
-    assert len(word) == len(set(word.values())) and rows == {u: dict(Counter(SPACES.findall(t.encode()))) for u, t in texts.items()}
-    nothing = filter_audit.term_shards(chunks.in_chunks(empty, {"id": F.col("doc_id")}))
+    for size in (filter_audit.CHUNK_BYTES, 100):  # one chunk a task, and many
+        coded = filter_audit.coded_chunks(odd, {"id": F.col("doc_id")}, size=size)
+        word = {r.term: bytes(r.word) for r in filter_audit.dictionary(coded).collect()}
+        rows = []
+        for s in filter_audit.term_shards(coded).collect():
+            for i, id in enumerate(s.id):
+                span = slice(s.bounds[i], s.bounds[i + 1])
+                assert len(set(s.terms[span])) == len(s.terms[span])
+                rows.append((id, bytes(s.digest[i]), dict(zip(map(word.__getitem__, s.terms[span]), s.counts[span]))))
+        texts = [(r.doc_id, (r.text or "").encode()) for r in odd.collect()]
+        want = [(id, hashlib.sha256(t).digest(), dict(Counter(SPACES.findall(t)))) for id, t in texts]
+        key = lambda r: (r[0] is None, r[0] or 0, r[1])
+        assert len(word) == len(set(word.values())) and sorted(rows, key=key) == sorted(want, key=key)
+        chunks_found = coded.select("chunk").distinct().count()
+        assert chunks_found <= spark.sparkContext.defaultParallelism if size > 100 else chunks_found > 1
+    nothing = filter_audit.term_shards(filter_audit.coded_chunks(empty, {"id": F.col("doc_id")}))
     assert filter_audit.row_counts(nothing).count() == 0
 
 
