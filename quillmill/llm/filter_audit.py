@@ -24,11 +24,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillmill.durable import durable, scratch_path
 from quillmill.llm.chunks import gathered, texts_of
+from quillmill.llm.tokens import slices
 
 #: Documents of a shard of the matrix, and words of a row of a chunk's dictionary.
 SHARD_ROWS, WORD_ROWS = 250, 100_000
 #: Bytes of text of a chunk: larger ones name each word less often.
-CHUNK_BYTES = 40 << 20
+CHUNK_BYTES = 24 << 20
 FILTERS = "ABCDE"
 LEAST_WORDS, DISTINCT_PERCENT, CAPITAL_PERCENT, MARKS = 200, 50, 3, "#$%&*|"
 CONTINUED, CAPITALS = bytes(range(0x80, 0xC0)), bytes(range(0x41, 0x5B))
@@ -79,12 +80,9 @@ def coded_chunks(docs: DataFrame, columns: dict[str, Column], text: str = "text"
 
         def close_shard() -> Iterator[pa.RecordBatch]:
             if shard:
-                bounds, found, counts = [0], [], []
-                for words, *_ in shard:
-                    found.extend(map(codes.__getitem__, words))
-                    counts.extend(words.values())
-                    bounds.append(len(found))
-                yield row(0, [], (bounds, np.array(found, np.int32), np.array(counts, np.int32)), list(zip(*[r[1:] for r in shard])))
+                found, counts, *rest = zip(*shard)
+                bounds = np.cumsum([0, *map(len, found)])
+                yield row(0, [], (bounds, np.concatenate(found), np.concatenate(counts)), rest)
                 shard.clear()
 
         def close_chunk() -> Iterator[pa.RecordBatch]:
@@ -94,7 +92,7 @@ def coded_chunks(docs: DataFrame, columns: dict[str, Column], text: str = "text"
                 yield row(at, words[at : at + WORD_ROWS], ([], [], []), [])
             codes.clear()
 
-        for batch in batches:
+        for batch in slices(batches):
             kinds = {name: batch.schema.field(name).type for name in names}
             for body, *rest in zip(texts_of(batch), *[batch.column(name).to_pylist() for name in names]):
                 if (read + held) // size > read // size:
@@ -102,7 +100,9 @@ def coded_chunks(docs: DataFrame, columns: dict[str, Column], text: str = "text"
                     read, held = read + held, 0
                 elif len(shard) == SHARD_ROWS:
                     yield from close_shard()
-                shard.append((Counter(body.split()), *traits(body), *rest))  # of bytes: at U+0009 to U+000D and U+0020 alone
+                words = Counter(body.split())  # of bytes: at U+0009 to U+000D and U+0020 alone
+                found = np.fromiter(map(codes.__getitem__, words), np.int32, len(words))
+                shard.append((found, np.fromiter(words.values(), np.int32, len(words)), *traits(body), *rest))
                 held += len(body)
         yield from close_chunk()
 
