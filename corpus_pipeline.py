@@ -14,8 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quillmill.durable import durable
 from quillmill.llm import exact_dedup, jaccard_join, language_id, mixing, packing
 
-#: A document goes when no one-versus-rest regression comes near to claiming it.
-LEAST_SCORE = 0.25
 #: Words that a worker of the last stage remembers; the workers of all stages share memory.
 WORKER_WORDS = 150_000
 
@@ -23,11 +21,13 @@ WORKER_WORDS = 150_000
 def in_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the labelled ones have.
 
-    Texts without a letter and texts that every classifier clearly rejects go; so do all
+    Texts without a letter go, and texts of which the landmarks know clearly fewer n-grams
+    than of the labelled texts: other scripts, random letters, encoded data. So do all
     texts where there is nothing to learn from.
     """
-    found = language_id.predict(docs, language_id.fit(docs))
-    kept = found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    model = language_id.fit(docs)
+    found = language_id.predict(docs, model, shares=True)
+    kept = found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("known") >= model.least_known))
     return kept.select("row.*")
 
 

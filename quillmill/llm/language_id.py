@@ -26,6 +26,9 @@ LANGUAGES = 256
 SAMPLE_CHARS = 20_000
 LANDMARKS_PER_LANGUAGE = 64
 RIDGE = 1e-3
+#: A text is foreign when the share of its n-grams that the landmarks know is less than this
+#: part of a low quantile of that share among the labelled texts.
+KNOWN_PART, KNOWN_QUANTILE = 0.6, 0.01
 #: Texts scored together, and characters of a text looked at together.
 ROWS = 256
 CHARS = 1_000_000
@@ -38,6 +41,7 @@ class Model:
     languages: list[str] = field(default_factory=list)
     grams: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     weights: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
+    least_known: float = 0.0  # share of known n-grams below which a text is foreign
 
 
 class Presence:
@@ -109,6 +113,9 @@ def fit_sample(rows: list[tuple[str, str]], landmarks: int = LANDMARKS_PER_LANGU
     vectors = np.zeros((len(rows), len(grams)), np.float32)
     for i, have in enumerate(found):
         vectors[i, np.searchsorted(grams, np.intersect1d(have, grams, assume_unique=True))] = 1
+    known = vectors.sum(1) / np.maximum([len(have) for have in found], 1)
+    unseen = np.delete(known, chosen) if len(chosen) < len(rows) else known  # landmarks know all of their own
+    least_known = KNOWN_PART * float(np.quantile(unseen, KNOWN_QUANTILE))
     vectors /= np.sqrt(np.maximum(vectors.sum(1, keepdims=True), 1))
     marks = vectors[chosen]
     values, basis = np.linalg.eigh((marks @ marks.T).astype(np.float64))
@@ -121,7 +128,7 @@ def fit_sample(rows: list[tuple[str, str]], landmarks: int = LANDMARKS_PER_LANGU
     for k in range(len(languages)):  # both sides of a regression weigh the same
         weighted = features * share[k][:, None]
         columns.append(np.linalg.solve(weighted.T @ features + ridge * np.eye(features.shape[1]), weighted.T @ sides[:, k]))
-    return Model(languages, grams, (marks.T @ (root @ np.stack(columns, 1))).astype(np.float32))
+    return Model(languages, grams, (marks.T @ (root @ np.stack(columns, 1))).astype(np.float32), least_known)
 
 
 def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", seed: int = 0, texts: int = TEXTS_PER_LANGUAGE, languages: int = LANGUAGES, chars: int = SAMPLE_CHARS, **options) -> Model:
@@ -136,41 +143,59 @@ _SCORERS: dict[int, tuple] = {}
 
 def score_texts(model: Model, texts: list[str | None]) -> list[tuple[str, float]]:
     """Language and score of each text, from its whole length."""
+    return [found[:2] for found in scored(model, texts)]
+
+
+def scored(model: Model, texts: list[str | None]) -> list[tuple[str, float, float]]:
+    """Language, score and share of the known n-grams of each text, from its whole length.
+
+    Of a text beyond ``CHARS`` characters each stretch counts its own distinct n-grams.
+    """
     if id(model) not in _SCORERS:
         _SCORERS[id(model)] = (model, Presence())
     _, presence = _SCORERS[id(model)]
     vectors, lettered = np.zeros((len(texts), len(model.grams)), np.float32), np.zeros(len(texts), bool)
+    known, total = np.zeros(len(texts)), np.zeros(len(texts))
     for i, text in enumerate(texts):
         for code in presence.codes(text or ""):
             lettered[i] |= bool((code != GAP).any())
             if len(model.grams):
                 for grams in map(np.unique, presence.grams(code)):
                     at = np.minimum(np.searchsorted(model.grams, grams), len(model.grams) - 1)
-                    vectors[i, at[model.grams[at] == grams]] = 1
+                    at = at[model.grams[at] == grams]
+                    vectors[i, at] = 1
+                    known[i] += len(at)
+                    total[i] += len(grams)
     if not model.languages:
-        return [(UNDETERMINED, 0.0)] * len(texts)
+        return [(UNDETERMINED, 0.0, 0.0)] * len(texts)
     values = (vectors @ model.weights) / np.sqrt(np.maximum(vectors.sum(1, keepdims=True), 1))
     best = values.argmax(1)
     sure = np.clip((values[np.arange(len(texts)), best] + 1) / 2, 0, 1)
-    return [(model.languages[b], float(s)) if ok else (UNDETERMINED, 0.0) for b, s, ok in zip(best, sure, lettered)]
+    share = known / np.maximum(total, 1)
+    return [(model.languages[b], float(s), float(k)) if ok else (UNDETERMINED, 0.0, 0.0) for b, s, k, ok in zip(best, sure, share, lettered)]
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model, text: str = "text", shares: bool = False) -> DataFrame:
     """``row, lang_pred, score`` where ``row`` holds all columns of ``docs``.
 
+    With ``shares`` also ``known``, the share of the text's distinct n-grams that occur in
+    a landmark. A text with less than ``model.least_known`` is in none of the languages,
+    whichever of them comes nearest.
+
     Null texts, texts without a letter, and all texts under a model without languages are
     ``und`` with score 0. The score is 1 where a regression is sure and 0.5 where it is
     undecided. Repeated rows are all scored; no rows give no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    @F.arrow_udf("struct<lang_pred:string,score:double,known:double>")
     def score(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         learned = shared.value
         for texts in arrays:
-            found = [f for at in range(0, len(texts), ROWS) for f in score_texts(learned, texts.slice(at, ROWS).to_pylist())]
-            yield pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["lang_pred", "score"])
+            found = [f for at in range(0, len(texts), ROWS) for f in scored(learned, texts.slice(at, ROWS).to_pylist())]
+            types = (pa.string(), pa.float64(), pa.float64())
+            yield pa.StructArray.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate(types)], ["lang_pred", "score", "known"])
 
     # only the text goes to Python, and the other columns wait for the result
     found = docs.select(F.struct("*").alias("row"), score(F.col(text)).alias("found"))
-    return found.select("row", "found.lang_pred", "found.score")
+    return found.select("row", "found.lang_pred", "found.score", *(["found.known"] if shares else []))

@@ -1,3 +1,5 @@
+import base64
+import functools
 import math
 import re
 import zlib
@@ -36,10 +38,17 @@ def outputs(spark, documents):
     return stage_outputs(spark, documents)
 
 
+def known_share(text, model):
+    """Share of the distinct n-grams of a text that a landmark has, in plain sets."""
+    letters = re.sub(r"\x01+", "\x01", "".join(c if c.isalpha() else "\x01" for c in f" {text} ".lower()))
+    grams = {letters[i : i + n] for n in (1, 2, 3) for i in range(len(letters) - n + 1)}
+    known, code = set(model.grams.tolist()), lambda g: functools.reduce(lambda a, c: a << 21 | ord(c), g, 0)
+    return sum(code(g) in known for g in grams) / len(grams)
+
+
 def by_hand(rows, model):
     """What the first three stages keep, one document at a time."""
-    scores = language_id.score_texts(model, [r.text for r in rows])
-    rows = [r for r, (lang, score) in zip(rows, scores) if lang != "und" and score >= corpus_pipeline.LEAST_SCORE]
+    rows = [r for r in rows if any(c.isalpha() for c in r.text or "") and known_share(r.text, model) >= model.least_known]
     yield rows
     last = {}
     for r in rows:
@@ -100,3 +109,21 @@ def test_odd_and_empty_tables_pass_every_stage(spark, odd, empty):
 def test_run(spark, outputs):
     got = corpus_pipeline.run(spark, SF).select("doc_id", "piece", "length", "ids_crc32")
     assert Counter(map(tuple, got.collect())) == Counter((r.doc_id, r.piece, r.length, r.ids_crc32) for r in outputs[5].collect())
+
+
+def test_foreign_texts_go_and_clean_ones_stay(spark, documents):
+    random = np.random.default_rng(7)
+    noise = lambda letters, n: "".join(random.choice(list(letters), n))
+    foreign = [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心。",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+        base64.b64encode(random.bytes(600)).decode(),
+        " ".join(noise("abcdefghijklmnopqrstuvwxyz", 6) for _ in range(100)),
+    ]
+    clean = documents.where("text rlike '[a-z]'").select("doc_id", "text", "lang")
+    added = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(foreign)], "doc_id bigint, text string, lang string")
+    cuts = clean.selectExpr("doc_id + 1000000 AS doc_id", "substr(text, 30, 40) AS text", "CAST(NULL AS string) AS lang").where("length(text) = 40")
+    kept = {r.doc_id for r in corpus_pipeline.in_known_languages(spark, clean.unionByName(added).unionByName(cuts), SF).collect()}
+    assert not kept & set(range(-len(foreign), 0))
+    assert kept == {r.doc_id for r in clean.unionByName(cuts).collect()}
