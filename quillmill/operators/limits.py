@@ -4,16 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quillmill.operators.positions import number_rows
+from quillmill.operators.positions import number_rows, unused
 
 # A sort with limit ends in one task. This decides where the rows are cut, never which.
 ONE_TASK_ROWS = 1_000
 
 
-def tie_break(df: DataFrame) -> list[Column]:
-    """A hash of all columns, so that rows with equal order keys have an order, too."""
-    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    return [F.xxhash64(*plain)] if plain else []
+def tie_break(df: DataFrame, row: str | None = None) -> list[Column]:
+    """A hash of all columns, so that rows with equal order keys have an order, too.
+
+    Maps, which have no hash, are hashed as JSON. ``row`` names a struct that holds the
+    columns of ``df`` in another frame.
+    """
+
+    def part(field) -> Column:
+        value = F.col(f"`{field.name}`") if row is None else F.col(row).getField(field.name)
+        kind = field.dataType.simpleString()
+        return F.to_json(F.struct(value.alias("v"))) if "map<" in kind or "variant" in kind else value
+
+    parts = [part(f) for f in df.schema.fields]
+    return [F.xxhash64(*parts)] if parts else []
 
 
 def take_first(df: DataFrame, n: int | None, order: list) -> DataFrame:
@@ -28,7 +38,8 @@ def take_first(df: DataFrame, n: int | None, order: list) -> DataFrame:
     keys = [*order, *tie_break(df)]
     if n <= ONE_TASK_ROWS:
         return df.orderBy(*keys).limit(n)
-    return number_rows(df, keys, name="_row").where(F.col("_row") < n).drop("_row")
+    (row,) = unused(df.columns, "_row")
+    return number_rows(df, keys, name=row).where(F.col(row) < n).drop(row)
 
 
 def sample_key(id: Column, seed: int | str) -> Column:
@@ -45,10 +56,12 @@ def head_per_file(df: DataFrame, k: int, order: list, file: str = "file_name", n
     """First ``k`` rows of each file with their 0-based position.
 
     The rank filter is applied before the shuffle too, so a task sends at most ``k``
-    rows per file however large the file is.
+    rows per file however large the file is. A column that is already called ``name``
+    is replaced.
     """
+    (rank,) = unused(df.columns, "_rank")
     w = Window.partitionBy(file).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k).withColumn(name, F.col("_rank") - 1).drop("_rank")
+    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k).withColumn(name, F.col(rank) - 1).drop(rank)
 
 
 def limit_frontier(urls: DataFrame, n: int | None) -> DataFrame:

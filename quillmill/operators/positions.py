@@ -11,39 +11,41 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillmill.durable import durable
 
-_MID, _CHUNK, _SHIFT = "_mid", "_chunk", "_shift"
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names with as many ``_`` behind them as it takes to clash with no column."""
+    taken, found = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
 
 
 def _columns(names) -> list[Column]:
     return [F.col(f"`{n}`") if isinstance(n, str) else n for n in names]
 
 
-def _chunk_shifts(stored: DataFrame, groups: list[str]) -> DataFrame:
-    """Per (group, chunk): what to add to the scan id to get the 0-based row number.
+def number_chunks(stored: DataFrame, groups: list[str], mid: str, chunk: str, name: str = "pos", start: int = 0) -> DataFrame:
+    """Number rows of a *stored* frame whose chunks each hold consecutive values of ``mid``.
 
-    A group has at most one row per chunk here, so the window sees as many rows as
-    there were tasks, not the group's rows.
+    The shifts, what to add to ``mid`` in each (group, chunk), are stored as well: their
+    size is then known when the join is planned, so Spark broadcasts them when they are
+    small and sorts and merges when they are not. A group has at most one row per chunk
+    there, so the window sees as many rows as there were tasks, not the group's rows.
     """
-    counts = stored.groupBy(*groups, _CHUNK).agg(F.min(_MID).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
-    return counts.select(*groups, _CHUNK, shift.alias(_SHIFT))
-
-
-def number_chunks(stored: DataFrame, groups: list[str], name: str = "pos", start: int = 0) -> DataFrame:
-    """Number rows of a *stored* frame whose chunks each hold consecutive ``_mid`` values.
-
-    The shifts are stored as well: their size is then known when the join is planned, so
-    Spark broadcasts them when they are small and sorts and merges when they are not.
-    """
-    shifts = durable(_chunk_shifts(stored, groups), "shifts")
-    renamed = shifts.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col(_CHUNK).alias("_c"), _SHIFT)
-    same = F.col(_CHUNK) == F.col("_c")
-    for i, g in enumerate(groups):
-        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    keep = [c for c in stored.columns if c not in (_MID, _CHUNK)]
-    number = (F.col(_MID) + F.col(_SHIFT) + start).cast("bigint").alias(name)
-    return stored.join(renamed, same).select(*[f"`{c}`" for c in keep], number)
+    *own, c, first, n, shift = unused(stored.columns, *[f"_g{i}" for i in range(len(groups))], "_c", "_first", "_n", "_shift")
+    keys = [F.col(f"`{g}`").alias(o) for g, o in zip(groups, own)]
+    counts = stored.groupBy(*keys, F.col(chunk).alias(c)).agg(F.min(mid).alias(first), F.count(F.lit(1)).alias(n))
+    before = Window.partitionBy(*(own or [F.lit(0)])).orderBy(c).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = durable(counts.select(*own, c, (F.coalesce(F.sum(n).over(before), F.lit(0)) - F.col(first)).alias(shift)), "shifts")
+    same = F.col(chunk) == F.col(c)
+    for g, o in zip(groups, own):
+        same = same & F.col(f"`{g}`").eqNullSafe(F.col(o))
+    keep = [k for k in stored.columns if k not in (mid, chunk) and k.lower() != name.lower()]
+    number = (F.col(mid) + F.col(shift) + start).cast("bigint").alias(name)
+    return stored.join(shifts, same).select(*[f"`{k}`" for k in keep], number)
 
 
 def number_rows(df: DataFrame, order: list, groups: list[str] | tuple[str, ...] = (), name: str = "pos", start: int = 0) -> DataFrame:
@@ -51,12 +53,14 @@ def number_rows(df: DataFrame, order: list, groups: list[str] | tuple[str, ...]
 
     ``order`` must be unique within a group for a reproducible result. The sorted frame
     is written once to the checkpoint folder: range bounds come from a sample, so two
-    passes over an unwritten sort could disagree.
+    passes over an unwritten sort could disagree. A column that is already called
+    ``name`` is replaced; it may be part of the order or the groups.
     """
     groups = list(groups)
-    ordered = df.orderBy(*_columns(groups), *_columns(order)).withColumn(_MID, F.monotonically_increasing_id())
-    stored = durable(ordered.withColumn(_CHUNK, F.shiftright(_MID, 33)), "numbered")
-    return number_chunks(stored, groups, name, start)
+    mid, chunk = unused(df.columns, "_mid", "_chunk")
+    ordered = df.orderBy(*_columns(groups), *_columns(order)).withColumn(mid, F.monotonically_increasing_id())
+    stored = durable(ordered.withColumn(chunk, F.shiftright(mid, 33)), "numbered")
+    return number_chunks(stored, groups, mid, chunk, name, start)
 
 
 def with_position(df: DataFrame, order: list, file: str = "file_name", name: str = "pos") -> DataFrame:
@@ -78,22 +82,27 @@ def with_scan_position(
     dropped; then the rows of each block are ranked, which a block's size bounds. Else
     only the per-block counts are combined. ``files`` may name a logical file of parts.
     """
-    mid = F.col(scan_id) if scan_id in df.columns else F.monotonically_increasing_id()
-    scanned = df.withColumn(_MID, mid).withColumn(_CHUNK, F.struct(*block))
+    mid, chunk, rank, gaps = unused(df.columns, "_mid", "_chunk", "_rank", "gaps")
+    at = F.col(scan_id) if scan_id in df.columns else F.monotonically_increasing_id()
+    scanned = df.withColumn(mid, at).withColumn(chunk, F.struct(*block))
     stored = durable(scanned.drop("block_start", scan_id), "scanned")
-    spans = stored.groupBy(*files, _CHUNK).agg((F.max(_MID) - F.min(_MID) + 1 - F.count(F.lit(1))).alias("gaps"))
-    if not spans.where("gaps <> 0").isEmpty():
-        rank = F.row_number().over(Window.partitionBy(*files, _CHUNK).orderBy(_MID)).cast("bigint")
-        stored = durable(stored.withColumn("_rank", rank).withColumn(_MID, F.col("_rank")).drop("_rank"), "ranked")
-    return number_chunks(stored, list(files), name)
+    spans = stored.groupBy(*files, chunk).agg((F.max(mid) - F.min(mid) + 1 - F.count(F.lit(1))).alias(gaps))
+    if not spans.where(F.col(gaps) != 0).isEmpty():
+        ranked = F.row_number().over(Window.partitionBy(*files, chunk).orderBy(mid)).cast("bigint")
+        stored = durable(stored.withColumn(rank, ranked).withColumn(mid, F.col(rank)).drop(rank), "ranked")
+    return number_chunks(stored, list(files), mid, chunk, name)
 
 
 def with_sequence(df: DataFrame, order: list, fmt: str = "%06d", name: str = "id", limit: int | None = None) -> DataFrame:
-    """Formatted ids 1..N along ``order``, e.g. ``reddit_000001``; the first ``limit`` only."""
-    numbered = number_rows(df, order, name="_number", start=1)
+    """Formatted ids 1..N along ``order``, e.g. ``reddit_000001``; the first ``limit`` only.
+
+    A column that is already called ``name`` is replaced.
+    """
+    (number,) = unused(df.columns, "_number")
+    numbered = number_rows(df, order, name=number, start=1)
     if limit:
-        numbered = numbered.where(F.col("_number") <= limit)
-    return numbered.select(F.format_string(fmt, F.col("_number")).alias(name), *[f"`{c}`" for c in df.columns])
+        numbered = numbered.where(F.col(number) <= limit)
+    return numbered.select(F.format_string(fmt, F.col(number)).alias(name), *[f"`{c}`" for c in df.columns if c.lower() != name.lower()])
 
 
 def with_batch_id(df: DataFrame, batch: int = 45_000, pos: str = "pos") -> DataFrame:
@@ -103,8 +112,7 @@ def with_batch_id(df: DataFrame, batch: int = 45_000, pos: str = "pos") -> DataF
 
 def with_article_index(links: DataFrame, order: list, groups=("source",), name: str = "id_custom") -> DataFrame:
     """1-based index in each source's link list; later skipped pages leave gaps."""
-    numbered = number_rows(links, order, groups, "_number", start=1)
-    return numbered.withColumnRenamed("_number", name)
+    return number_rows(links, order, groups, name, start=1)
 
 
 def processing_order(plan: DataFrame, max_batches: int | None = None, files: tuple[str, ...] = ("file_name",)) -> DataFrame:

@@ -60,6 +60,44 @@ def test_a_hot_file_is_spread_over_tasks(spark):
     assert W.with_position(df, ["id"]).where(F.col("pos") != F.col("id")).count() == 0
 
 
+CLASHES = ("_mid", "_chunk", "_shift", "_c", "_g0", "_n", "_first", "_row", "_rank", "_number", "gaps")
+
+
+def test_columns_with_internal_names_survive(spark, monkeypatch):
+    monkeypatch.setattr(L, "ONE_TASK_ROWS", 3)
+    columns = list(CLASHES)
+    rows = [("ab"[i % 2], i, {"k": i}, *[100 * i + j for j in range(len(columns))]) for i in range(20)]
+    df = spark.createDataFrame(rows, "file_name string, id int, m map<string,int>, " + ", ".join(f"`{c}` int" for c in columns))
+    want = {r.id: tuple(r) for r in df.collect()}
+
+    def same(found, *added):
+        assert [c for c in found.columns if c not in added] == df.columns
+        got = [tuple(r[c] for c in df.columns) for r in found.collect()]
+        assert all(want[g[1]] == g for g in got)
+        return len(got)
+
+    assert same(W.with_position(df, ["id"]), "pos") == 20
+    assert same(W.with_sequence(df, ["id"], "x%02d", "name"), "name") == 20
+    assert same(W.with_article_index(df, ["id"], ["file_name"]), "id_custom") == 20
+    assert same(L.take_first(df, 2, ["file_name"])) == 2 and same(L.take_first(df, 7, ["file_name"])) == 7
+    assert same(L.head_per_file(df, 3, ["id"]), "pos") == 6
+
+
+def test_a_column_of_the_result_is_replaced(spark):
+    df = spark.createDataFrame([("f", 2, 9), ("f", 1, 8)], "file_name string, id int, pos int")
+    for found in (W.with_position(df, ["id"]), L.head_per_file(df, 5, ["id"])):
+        assert sorted(found.columns) == ["file_name", "id", "pos"]
+        assert {(r.id, r.pos) for r in found.collect()} == {(1, 0), (2, 1)}
+    assert [r.pos for r in W.with_position(df, ["pos"]).orderBy("id").collect()] == [0, 1]
+    assert {tuple(r) for r in W.with_sequence(df, ["id"], "%d", "pos").select("pos", "id").collect()} == {("1", 1), ("2", 2)}
+
+
+def test_ties_of_rows_with_maps_have_an_order(spark):
+    rows = [(1, {"k": i}) for i in range(50)]
+    firsts = {L.take_first(spark.createDataFrame(rows[i:] + rows[:i], "a int, m map<string,int>").repartition(1 + i % 3), 1, ["a"]).first().m["k"] for i in (0, 7, 20)}
+    assert len(firsts) == 1
+
+
 def test_batch_ids(spark):
     df = spark.range(101).select(F.col("id").alias("pos"))
     got = {r.batch_id: r["count"] for r in W.with_batch_id(df, 50).groupBy("batch_id").count().collect()}
