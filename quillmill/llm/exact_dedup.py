@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillmill.durable import durable
+from quillmill.operators.limits import tie_break
 
 SALTS = 64
 #: A group of at least this share of all rows is hot; there can be no more than its inverse.
@@ -68,10 +69,11 @@ def _with_winner(rows: DataFrame, groups: DataFrame) -> DataFrame:
 def drop_exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", salts: int = SALTS) -> DataFrame:
     """The kept rows of ``docs`` with all their columns.
 
-    Null texts, null ids and repeated rows as in ``exact_duplicates``.
+    Null texts, null ids and repeated rows as in ``exact_duplicates``. Of rows that agree
+    in id and text a hash of all columns, maps included, decides.
     """
     winners = exact_duplicates(docs, id, text, salts).where("kept").select(F.col("id").alias("_keep"), F.col("digest").alias("_digest"))
     whole = docs.select(F.struct("*").alias("row"), F.col(id).alias("id"), sha256(F.coalesce(F.col(text), F.lit(""))).alias("digest"))
     kept = whole.join(winners, F.col("id").eqNullSafe(F.col("_keep")) & (F.col("digest") == F.col("_digest")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("id", "digest").orderBy(F.xxhash64("row")))
+    nth = F.row_number().over(Window.partitionBy("id", "digest").orderBy(*tie_break(docs, "row")))
     return kept.withColumn("nth", nth).where("nth = 1").select("row.*")

@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quillmill.durable import durable
+from quillmill.operators.limits import tie_break
 from quillmill.llm.components import components
 from quillmill.llm.shingles import shingle_set
 
@@ -414,5 +415,5 @@ def one_of_each_group(docs: DataFrame, id: str = "doc_id", text: str = "text", *
     kept = first.join(groups, "text").groupBy("component_id").agg(F.min(F.struct("least", "text")).alias("one"))
     kept = kept.select(F.col("one.least.id").alias("_id"), F.col("one.text").alias("_text"))
     stays = hashed.where("not wordless").join(kept, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text") == F.col("_text")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("id", "text").orderBy(F.xxhash64("row")))
+    nth = F.row_number().over(Window.partitionBy("id", "text").orderBy(*tie_break(docs, "row")))
     return stays.unionByName(hashed.where("wordless")).withColumn("nth", nth).where("nth = 1").select("row.*")

@@ -11,7 +11,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quillmill.operators.positions import number_rows
+from quillmill.operators.positions import number_rows, unused
 
 ROUNDS = 6
 #: A cycle leaves the rows for at most 2m - 2 steps, which is less than this up to 1,024
@@ -30,7 +30,9 @@ def permuted(number: Column, rows: int, seed: int = 0) -> Column:
         return F.aggregate(keys, halves(v), turn, lambda a: a.l * m + a.r)
 
     steps = F.sequence(F.lit(1), F.lit(WALKS))
-    return F.aggregate(steps, feistel(number.cast("bigint")), lambda v, _: F.when(v < rows, v).otherwise(feistel(v)))
+    place = F.aggregate(steps, feistel(number.cast("bigint")), lambda v, _: F.when(v < rows, v).otherwise(feistel(v)))
+    outside = F.raise_error(F.lit("a cycle of the permutation is longer than its walk")).cast("bigint")
+    return F.element_at(F.transform(F.array(place), lambda v: F.when(v < rows, v).otherwise(outside)), 1)
 
 
 def with_shards(df: DataFrame, order: list, shards: int = 8, seed: int = 0) -> DataFrame:
@@ -38,14 +40,16 @@ def with_shards(df: DataFrame, order: list, shards: int = 8, seed: int = 0) -> D
 
     Rows are numbered along ``order``; rows that are equal in it must be equal
     altogether, as their numbers may be exchanged. Shards differ by one row at most and
-    slots run from 0 without gaps. Nulls come first; no rows give no rows.
+    slots run from 0 without gaps. Nulls come first; no rows give no rows. Columns that
+    have the names of the three are replaced; the order may use them.
     """
     numbered = number_rows(df, order, name="row_number")
-    place = permuted(F.col("row_number"), numbered.count(), seed)
-    return numbered.withColumn("_place", place).select(
-        *[F.col(f"`{c}`") for c in numbered.columns],
-        F.pmod("_place", F.lit(shards)).cast("int").alias("shard"),
-        F.floor(F.col("_place") / shards).cast("bigint").alias("slot"),
+    (place,) = unused(numbered.columns, "_place")
+    placed = numbered.withColumn(place, permuted(F.col("row_number"), numbered.count(), seed))
+    return placed.select(
+        *[F.col(f"`{c}`") for c in numbered.columns if c.lower() not in ("shard", "slot")],
+        F.pmod(place, F.lit(shards)).cast("int").alias("shard"),
+        F.floor(F.col(place) / shards).cast("bigint").alias("slot"),
     )
 
 

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
+from tokenizers import Tokenizer
 
 from quillmill.durable import durable
 from quillmill.llm.tokens import encode_texts, slices
@@ -68,15 +69,21 @@ class SequenceWriter:
         self.file.close()
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, vocabulary: int = 65_536, id: str = "doc_id", text: str = "text", sequence: int = SEQUENCE) -> DataFrame:
+def id_type(tokenizer: str, end_id: int = 0) -> pa.DataType:
+    """The narrower type that holds all ids of the tokenizer, added tokens and the end id too."""
+    largest = max(Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values(), default=0)
+    return pa.uint16() if max(largest, end_id) < 65_536 else pa.uint32()
+
+
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id: str = "doc_id", text: str = "text", sequence: int = SEQUENCE) -> DataFrame:
     """Write the files under ``path`` (a URI all executors share); returns the manifest.
 
     Files follow each other by ``part`` in ascending id order, null ids first. Ids take
-    two bytes if ``vocabulary`` allows. Null and empty texts are the end id alone;
+    two bytes if the tokenizer's largest id allows, else four. Null and empty texts are the end id alone;
     repeated rows are all written; an empty table gives no files. Each attempt of a task
     writes under names of its own and only those in the manifest count.
     """
-    kind = pa.uint16() if vocabulary <= 65_536 else pa.uint32()
+    kind = id_type(tokenizer, end_id)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quillmill.llm import exact_dedup, mixing, queries, sharding
+from quillmill.llm import exact_dedup, jaccard_join, mixing, queries, sharding
 
 from .conftest import SF
 
@@ -47,6 +47,21 @@ def test_kept_rows_have_all_columns(odd):
     assert sorted(texts) == sorted({r.text or "" for r in odd.collect()})
 
 
+def test_maps_and_internal_names_pass(odd):
+    """Rows that differ in a map only, under column names that operators use themselves."""
+    for names in (("_mid", "row_number", "slot", "_place"), ("_chunk", "pos", "nth", "tie"), ("_keep", "_digest", "wordless", "hash")):
+        docs = odd.select("*", F.create_map(F.lit("k"), F.col("n_chars")).alias("m"), *[F.lit(5).alias(n) for n in names])
+        kept = exact_dedup.drop_exact_duplicates(docs)
+        assert kept.columns == docs.columns and kept.count() == len({r.text or "" for r in odd.collect()})
+        single = jaccard_join.one_of_each_group(docs)
+        assert single.columns == docs.columns and single.count() == jaccard_join.one_of_each_group(odd).count()
+        sharded = sharding.with_shards(docs, ["doc_id", "text", "n_chars", "shard"], 8)
+        rest = [c for c in docs.columns if c not in ("row_number", "shard", "slot")]
+        assert sorted(sharded.columns) == sorted([*rest, "row_number", "shard", "slot"])
+        assert sorted((r.shard, r.slot) for r in sharded.collect()) == sorted((i % 8, i // 8) for i in range(odd.count()))
+        assert mixing.mix(docs).columns == docs.columns
+
+
 def place_by_hand(v, rows, seed=0):
     m = math.isqrt(max(rows - 1, 0)) + 1
     while True:

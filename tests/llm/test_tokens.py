@@ -2,11 +2,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyarrow import fs
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models
 
 from quillmill.llm import packing, queries, token_files, tokens
 
@@ -124,6 +125,16 @@ def test_token_files(spark, documents, odd, empty, tmp_path):
     assert check_files(spark, empty, (tmp_path / "c").as_uri()).count() == 0
 
 
+def test_ids_beyond_two_bytes_take_four(spark, tmp_path):
+    wide = Tokenizer(models.WordLevel({"a": 0, "b": 70_000}, unk_token="a"))
+    wide.save(str(tmp_path / "wide.json"))
+    byte_bpe = public_tokenizers.path("byte_bpe_50k.json")
+    assert token_files.id_type(str(tmp_path / "wide.json")) == pa.uint32() and token_files.id_type(byte_bpe) == pa.uint16()
+    docs, path = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id bigint, text string"), (tmp_path / "f").as_uri()
+    got = {r.doc_id: r for r in token_files.read_documents(token_files.write_token_files(docs, path, byte_bpe, end_id=70_000), path).collect()}
+    assert got[2].ids_crc32 == zlib.crc32(np.array([70_000], "<u4").tobytes())
+
+
 def test_random_access_is_a_view(spark, documents, tmp_path):
     path = (tmp_path / "files").as_uri()
     row = token_files.write_token_files(documents, path, public_tokenizers.path("byte_bpe_50k.json"), sequence=128).first()
