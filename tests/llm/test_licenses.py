@@ -22,9 +22,69 @@ def by_hand(text, templates=license_scan.TEMPLATES, threshold=license_scan.THRES
 
 
 def test_query_against_every_window(spark, documents):
-    got = queries.QUERIES["op6_license_scan"](spark, SF).collect()
-    want = {(r.doc_id, name) for r in documents.collect() for name in by_hand(r.text)}
-    assert {(r.doc_id, r.license) for r in got} == want and want and len(got) == len(want)
+    got, rows = queries.QUERIES["op6_license_scan"](spark, SF).collect(), documents.collect()
+    texts = [r.text or "" for r in rows]
+    templates = license_scan.Templates(license_scan.TEMPLATES, license_scan.THRESHOLD)
+    matches = license_scan.text_matches(templates, texts)
+    want = {(r.doc_id, name) for r in rows for name in by_hand(r.text)}
+    assert {(r.doc_id, templates.names[m[2]]) for r, found in zip(rows, matches) for m in found} == want and want
+    spans = {}
+    for r in got:
+        spans.setdefault(r.doc_id, []).append((r.start_char, r.end_char, r.license))
+    for r in rows:  # what is not reported overlaps with what is; reported spans do not overlap
+        own = sorted(spans.get(r.doc_id, []))
+        assert all(x[1] <= y[0] for x, y in zip(own, own[1:]))
+        assert all(name in by_hand(r.text[x:y]) for x, y, name in own)
+        assert bool(own) == bool(by_hand(r.text))
+
+
+def found_in(spark, *texts):
+    rows = license_scan.license_notices(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    return [[r.license for r in sorted(rows, key=lambda r: r.start_char) if r.doc_id == i] for i in range(len(texts))]
+
+
+GNU = "This {0} is free software{2} you can redistribute it and/or modify it under the terms of the GNU {1} as published by the Free Software Foundation"
+LATER = "; either version {0} of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful."
+
+
+def test_versions_and_families_are_told_apart(spark):
+    gnu = {
+        "GPL-2.0-or-later": ("program", "General Public License", "2"),
+        "GPL-3.0-or-later": ("program", "General Public License", "3"),
+        "LGPL-2.0-or-later": ("library", "Library General Public License", "2"),
+        "LGPL-2.1-or-later": ("library", "Lesser General Public License", "2.1"),
+        "LGPL-3.0-or-later": ("library", "Lesser General Public License", "3"),
+        "AGPL-3.0-or-later": ("program", "Affero General Public License", "3"),
+    }
+    texts = [GNU.format(what, name, ":") + LATER.format(v) for what, name, v in gnu.values()]
+    assert found_in(spark, *texts) == [[name] for name in gnu]
+    only = GNU.format("program", "General Public License", ";") + "; version 2 of the License."
+    assert found_in(spark, only) == [["GPL-2.0-only"]]
+
+
+def test_clauses_of_bsd_and_kinds_of_creative_commons(spark):
+    two, three = [dict(license_scan.TEMPLATES)[f"BSD-{n}-Clause"] for n in (2, 3)]
+    ours = three.replace("the copyright holder nor the names of its", "Example Inc. nor the names of their").replace("COPYRIGHT HOLDERS", "AUTHORS")
+    share = "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."
+    assert found_in(spark, two, three, ours, "Copyright 2020 X.\n" + two.replace("COPYRIGHT HOLDERS", "AUTHORS")) == [["BSD-2-Clause"], ["BSD-3-Clause"], ["BSD-3-Clause"], ["BSD-2-Clause"]]
+    assert found_in(spark, share, share.replace("-ShareAlike", ""), share.replace("4.0 International", "3.0 Unported")) == [["CC-BY-SA-4.0"], ["CC-BY-4.0"], ["CC-BY-SA-3.0"]]
+
+
+def test_every_span_of_a_text(spark):
+    permission = license_scan.TEMPLATES[1][1]
+    cut = " ".join(permission.split()[2:])  # the second one lacks its beginning
+    filler = " lorem ipsum dolor sit amet" * 300
+    texts = [permission + " " + permission, permission + " " + cut + " " + permission, permission + filler + cut + filler + " All rights reserved." + filler + permission]
+    assert found_in(spark, *texts) == [["MIT"] * 2, ["MIT"] * 3, ["MIT", "MIT", "all-rights-reserved", "MIT"]]
+
+
+def test_templates_from_files(spark, tmp_path):
+    (tmp_path / "House-1.0~short.txt").write_text("You may copy this house document as often as you like")
+    (tmp_path / "House-1.0.txt").write_text("You may copy this house document as often as you like, if you also water the plants every second day")
+    templates = license_scan.read_templates(str(tmp_path))
+    assert [name for name, _ in templates] == ["House-1.0"] * 2
+    docs = spark.createDataFrame([(1, templates[0][1].upper()), (2, "else")], "doc_id bigint, text string")
+    assert [(r.doc_id, r.license, r.containment) for r in license_scan.license_notices(docs, templates).collect()] == [(1, "House-1.0", 1.0)]
 
 
 def test_planted_notices(spark):
