@@ -36,11 +36,14 @@ def split_id_table_by_day(spark: SparkSession, tsv: str, out: str, date_range: t
     """Add the 12-column id table to the folders of its days; returns its rows per day.
 
     Several tables may go to one ``out``. A table is known by its path, or by the name
-    ``table``, and replaces what it wrote before.
+    ``table``, and replaces what it wrote before. Rows of a day keep the table's order, so
+    that ids of a table that is split again have the places that the ledger has seen.
     """
     rows = read_id_tsv(spark, tsv).withColumn("date", tweet_date(F.col("timestamp")))
+    block = [F.col(f"_metadata.{c}").alias(f"_{c}") for c in ("file_path", "file_block_start")]
+    placed = rows.select("*", *block, F.monotonically_increasing_id().alias("_line"))
     name = table or f"{re.sub('[^A-Za-z0-9.-]', '-', tsv.rstrip('/').rsplit('/', 1)[-1])}-{zlib.crc32(tsv.rstrip('/').encode()):08x}"
-    write_daily_partitions(rows, out, date_range, name)
+    write_daily_partitions(placed, out, date_range, name, ("_file_path", "_file_block_start", "_line"))
     return daily_counts(rows, date_range)
 
 

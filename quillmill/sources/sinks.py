@@ -50,20 +50,23 @@ def write_skipped_ids(df: DataFrame, path: str, by: tuple[str, ...] = (), id: st
     (_replace(lines, by) if by else lines.write.mode("append")).text(path)
 
 
-def write_daily_partitions(df: DataFrame, path: str, date_range: tuple[str, str] | None = None, table: str = "table") -> None:
+def write_daily_partitions(df: DataFrame, path: str, date_range: tuple[str, str] | None = None, table: str = "table", order: tuple[str, ...] = ()) -> None:
     """Headered CSV files per day and, below a day, per input table.
 
     A day's file is what lies below its folder: tables that share a day add up, and a
     table that is written again replaces its own rows alone, also on days of the range
     that it has no longer. So a repeated run changes nothing. Rows are gathered per day so
     that a day has few files, and a day that holds very many rows is split again into
-    files of bounded size.
+    files of bounded size. ``order`` names columns that are not written but give a day's
+    rows their places in its files, the same in every run; without it rows have no order.
     """
     if "input" in df.columns:
         raise ValueError("the column input is the name of the folders of a table")
     days = in_date_range(df, date_range)
     before = _table_days(df, path, table, date_range)
-    _replace(days.withColumn("input", F.lit(table)).hint("rebalance", F.col("date")), ("date", "input")).option("header", True).csv(path)
+    rows = days.withColumn("input", F.lit(table))
+    rows = rows.orderBy("date", "input", *order).drop(*order) if order else rows.hint("rebalance", F.col("date"))
+    _replace(rows, ("date", "input")).option("header", True).csv(path)
     if before:  # of an earlier run
         gone = before.keys() - {str(r["date"]) for r in days.select("date").distinct().collect()}
         for day in gone:

@@ -269,3 +269,26 @@ def test_no_id_is_lost_between_runs(spark, tmp_path, countries):
     write(25, first=1)
     with pytest.raises(ValueError, match="changed"):
         run(batch=7)
+
+
+def test_a_table_split_again_keeps_the_places_of_its_ids(spark, tmp_path):
+    """Other scan tasks, as on another day of a cluster, bring rows in another order."""
+    (tmp_path / "t").mkdir()
+    stamp = lambda i: f"Sun Mar {1 + i % 2:02d} 10:00:00 +0000 2020"
+    row = lambda i: "\t".join([str(i), "u", stamp(i)] + ["1"] * 9)
+    for name, ids in (("a", range(40)), ("b", range(40, 900)), ("c", range(900, 1500))):
+        (tmp_path / f"t/{name}.tsv").write_text("\n".join(map(row, ids)) + "\n")
+    days = str(tmp_path / "days")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = []
+    try:
+        for size, dates in (("20000", ("2020-03-01", "2020-03-01")), (before, None), ("3000", None)):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            plan.split_id_table_by_day(spark, str(tmp_path / "t"), days, dates)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+            rows = plan.id_file_positions(spark, [days]).collect()
+            found.append({(r.file_name, r.pos): r.id for r in rows})
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    first, second = ({(f"2020-03-0{1 + d}_tweets_cov19.csv", i): 2 * i + d for i in range(750)} for d in (0, 1))
+    assert found == [first, first | second, first | second]
