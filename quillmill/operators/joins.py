@@ -22,9 +22,10 @@ def join_paper_metadata(
     """Left join to the first metadata row whose ``sha`` text contains the paper id.
 
     "Contains" is turned into equality without comparing pairs: a text contains an id
-    exactly when one of its substrings of that length is the id. So each metadata row
-    gives its substrings of the lengths that occur among the ids, the first row per
-    substring is picked (combined before the shuffle), and papers join on equality.
+    exactly when one of its substrings of that length is the id. So each listed item,
+    once, gives its substrings of the lengths that occur among the ids, those that are
+    an id stay, the first row of each is picked, and papers join on equality. What is
+    sorted is thus the listed items and the hits, never the substrings.
     With ids of one length in a separated list this is one substring per listed id.
     Null ``sha`` never matches; papers without a match get nulls.
     """
@@ -49,9 +50,12 @@ def join_paper_metadata(
     )
     items = F.when(F.col("_p")["whole"], F.array(sha)).otherwise(F.split(sha, _SEPARATOR + "+"))
     ranked = meta.where(F.col(sha).isNotNull()).withColumn("_p", profile)
-    listed = ranked.select("_p", F.explode(items).alias("_item"), F.struct(*order).alias("_order"), F.struct(*fields).alias("_fields"))
-    candidates = listed.select(F.explode(grams).alias("_id"), "_order", "_fields")
-    first = candidates.groupBy("_id").agg(F.min_by("_fields", "_order").alias("_fields"))
+    listed = ranked.select(F.explode(items).alias("_item"), F.struct(*order).alias("_order"), F.struct(*fields).alias("_fields"))
+    # equal items have the same substrings, and the first of their rows stands for them all
+    once = listed.groupBy("_item").agg(F.min_by(F.struct("_order", "_fields"), "_order").alias("_row"))
+    candidates = once.withColumn("_p", profile).select(F.explode(grams).alias("_id"), "_row.*")
+    hits = candidates.join(papers.select(F.col(id).alias("_id")).distinct(), "_id", "left_semi")
+    first = hits.groupBy("_id").agg(F.min_by("_fields", "_order").alias("_fields"))
     joined = papers.join(first, papers[id] == first["_id"], "left")
     return joined.select(*[papers[c] for c in papers.columns], *[F.col("_fields")[f].alias(f) for f in fields])
 

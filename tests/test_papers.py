@@ -153,3 +153,13 @@ def test_repeated_papers_each_get_the_match(spark):
     meta = spark.createDataFrame([(1, "b;a"), (0, "a")], "ord int, sha string")
     got = sorted((r.paper_id, r.ord) for r in join_paper_metadata(papers, meta, ["ord"], ["ord"]).na.fill(-1).collect())
     assert got == [("a", 0), ("a", 0), ("x", -1)]
+
+
+def test_containment_join_groups_no_substring_that_is_no_id(spark):
+    """Grouping sorts whole rows, so all substrings of all texts would be held sorted."""
+    papers = spark.createDataFrame([("ab",), ("abc",)], "paper_id string")
+    meta = spark.createDataFrame([(1, "xxabcxx")], "ord int, sha string")
+    plan = join_paper_metadata(papers, meta, ["ord"], ["ord"])._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line.strip(" :+-") for line in plan.split("\n")]
+    grouped = next(i for i, line in enumerate(lines) if line.startswith("Aggregate [_id"))
+    assert lines[grouped + 1].startswith("Join LeftSemi") or lines[grouped + 2].startswith("Join LeftSemi")
