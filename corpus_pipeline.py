@@ -15,7 +15,7 @@ from quillmill.durable import durable
 from quillmill.llm import exact_dedup, jaccard_join, language_id, mixing, packing
 
 #: Words that a worker of the last stage remembers; the workers of all stages share memory.
-WORKER_WORDS = 150_000
+WORKER_WORDS = 40_000
 
 
 def in_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,6 +21,8 @@ STORED_WORDS = 500_000
 ROWS = 1_500
 #: Characters of the texts that are encoded together.
 TOGETHER = 6_000_000
+#: At most so many characters together for each word that is kept.
+CHARACTERS_PER_WORD = 40
 #: Words that a normalizer only lowers: one unit of letters, and perhaps one of punctuation.
 PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]?")
 MARKS = ".,;:!?"
@@ -162,13 +164,16 @@ _ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
 
 
 def encode_texts(path: str, drops_space: bool, texts: list[str | None], stored: int = STORED_WORDS):
-    """Ids of each text in turn; a null text is empty. Encoders live as long as the worker."""
+    """Ids of each text in turn; a null text is empty. Encoders live as long as the worker.
+
+    A worker that stores few words also takes fewer texts together, as their words are new ones.
+    """
     encoder = _ENCODERS.get((path, drops_space)) or _ENCODERS.setdefault((path, drops_space), WordEncoder(path, drops_space))
-    group, held = [], 0
+    group, held, most = [], 0, min(TOGETHER, CHARACTERS_PER_WORD * stored)
     for text in texts:
         group.append(text or "")
         held += len(group[-1])
-        if held > TOGETHER:
+        if held > most:
             yield from encoder.encode(group, stored)
             group, held = [], 0
     yield from encoder.encode(group, stored)

@@ -149,3 +149,15 @@ def test_random_access_is_a_view(spark, documents, tmp_path):
 def test_token_query(spark, documents):
     rows = queries.QUERIES["op7_token_files"](spark, SF).collect()
     assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in documents.collect())
+
+
+def test_a_small_store_of_words_takes_few_texts_together(monkeypatch):
+    from quillmill.llm import tokens
+
+    taken = []
+    monkeypatch.setattr(tokens.WordEncoder, "__init__", lambda self, *a: None)
+    monkeypatch.setattr(tokens.WordEncoder, "encode", lambda self, texts, stored: taken.append(sum(map(len, texts))) or [t.encode() for t in texts])
+    monkeypatch.setattr(tokens, "_ENCODERS", {})
+    texts = ["x" * 1_000] * 500
+    assert list(tokens.encode_texts("p", True, texts, 2_000)) == [t.encode() for t in texts]
+    assert max(taken) <= 2_000 * tokens.CHARACTERS_PER_WORD + 1_000 and sum(taken) == 500_000
