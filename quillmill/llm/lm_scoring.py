@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillmill.durable import durable
-from quillmill.llm.chunks import in_chunks, runs, texts_of
+from quillmill.llm.chunks import in_chunks, runs, texts_of, unzipped, zipped
 from quillmill.llm.language_id import held_out
 
 #: Bytes of the longest context, and of the contexts whose subtrees one task folds: such a
@@ -282,31 +282,34 @@ class Prices:
         return found
 
 
-def score_chunk(docs: pa.Table, values: pa.Table) -> pa.Table:
-    """Scores of the texts of a chunk, from the values of its runs and words."""
+def score_chunk(texts: pa.Table, values: pa.Table) -> pa.Table:
+    """Scores of the texts of a chunk, zipped, from the values of its runs and words."""
     named = pc.is_valid(values.column("word"))
     of_word, of_run = values.filter(named), values.filter(pc.invert(named))
     price = dict(zip(of_word.column("word").to_pylist(), of_word.column("value").to_pylist()))
     prices = Prices(of_run.column("run").to_numpy(), of_run.column("value").to_numpy())
     del values, of_word, of_run
-    first, tokens, known = [], [], []
+    keys, first, tokens, known = [], [], [], []
 
     def lines() -> Iterator[bytes]:
-        for at in range(0, docs.num_rows, 500):
-            for text in texts_of(docs.slice(at, 500)):
-                words = words_of(text)
-                yield line(words)
-                words.append(END)
-                found = np.fromiter(map(price.__getitem__, words), float, len(words))
-                first.append(found.sum())
-                tokens.append(len(words))
-                known.append(int((found > NEVER).sum()))
+        for docs in unzipped(texts):
+            keys.append(docs.select(["id", "learn"]))
+            for at in range(0, docs.num_rows, 500):
+                for text in texts_of(docs.slice(at, 500)):
+                    words = words_of(text)
+                    yield line(words)
+                    words.append(END)
+                    found = np.fromiter(map(price.__getitem__, words), float, len(words))
+                    first.append(found.sum())
+                    tokens.append(len(words))
+                    known.append(int((found > NEVER).sum()))
 
     scores, sizes = [], []
     for group in groups_of_lines(lines()):
         run, size = byte_runs(group)
         scores.append(np.add.reduceat(prices.find(run), np.cumsum(size) - size))
         sizes.append(size)
+    docs = pa.concat_tables(keys)
     columns = [docs.column("id"), docs.column("learn"), tokens, known, first, np.concatenate(scores), np.concatenate(sizes)]
     return pa.table([c if isinstance(c, pa.ChunkedArray) else pa.array(c) for c in columns], ["id", "learn", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
 
@@ -335,7 +338,7 @@ def scores(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int =
     smooth = F.when(F.col("count") > 0, F.log10(F.col("count") + 0.1)).otherwise(F.lit(NEVER))
     of_words = words.select("chunk", F.lit(None).cast("bigint").alias("run"), "word", smooth.alias("value"))
     of_runs = in_chunk.select("chunk", "run").join(run_values(per_run), "run").select("chunk", "run", F.lit(None).cast("binary").alias("word"), "value")
-    texts = stored.select("chunk", "id", "learn", "text").groupBy("chunk")
+    texts = zipped(stored.select("chunk", "id", "learn", "text")).groupBy("chunk")
     scored = texts.cogroup(of_words.unionByName(of_runs).groupBy("chunk")).applyInArrow(lambda texts, values: score_chunk(texts, values), SCORES)
     smoothed = math.log10(learnt.tokens + 0.1 * (learnt.distinct + 1))
     bits = -F.col("score") * math.log2(10) / F.col("n_bytes")

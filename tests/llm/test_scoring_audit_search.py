@@ -264,3 +264,16 @@ def test_bounds_lose_no_document(floor):
         want = sorted(((-s, i) for i, s in enumerate(scores[:, q].tolist()) if s > 0))[:k]
         assert [(-s, i) for i, s in zip(best[q][0].tolist(), best[q][2].tolist())] == want or Counter(best[q][2].tolist()) == Counter(-s for s, _ in want)
         assert sorted(zip((-best[q][2]).tolist(), best[q][0].tolist())) == want
+
+
+def test_texts_of_a_chunk_travel_compressed(spark):
+    from quillmill.llm.chunks import in_chunks, unzipped, zipped
+
+    docs = spark.createDataFrame([(i, None if i == 3 else f"text {i} " + "of many words " * 400) for i in range(200)], "doc_id bigint, text string")
+    stored = in_chunks(docs, {"id": docs.doc_id}, size=100_000)
+    sent = zipped(stored.select("chunk", "id", "text"))
+    chunks = {r.chunk for r in stored.select("chunk").distinct().collect()}
+    assert {r.chunk for r in sent.collect()} == chunks and len(chunks) > 5
+    found = {r["id"]: r["text"] for part in unzipped(sent.toArrow()) for r in part.to_pylist()}
+    assert found == {r.doc_id: r.text or "" for r in docs.collect()}
+    assert sum(len(r.rows) for r in sent.collect()) * 5 < sum(map(len, found.values()))
