@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from quillmill.durable import durable
 from quillmill.operators.limits import tie_break
 from quillmill.llm.components import components
+from quillmill.llm.memory import give_back, giving_back
 from quillmill.llm.shingles import shingle_set
 
 PIVOTS = 4
@@ -63,6 +64,7 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.
             yield part.column(0).to_pylist(), [shingle_set(t) for t in part.column(1).to_pylist()]
 
 
+@giving_back
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Id, number of shingles and set id of each document; shingles common in a batch."""
     for ids, sets in _batches(batches):
@@ -104,6 +106,7 @@ def _deal_shingles(bits: int, common):
     key_bits = min(KEY_BITS, 64 - bits)
     shift = 64 - bits - key_bits
 
+    @giving_back
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _batches(batches):
             distinct = {set_id(s): s for s in sets if len(s)}
@@ -136,6 +139,7 @@ def _shared_shingles(bits: int):
     sides, key_bits = 1 << bits, min(KEY_BITS, 64 - bits)
 
     def share(table: pa.Table) -> pa.Table:
+        give_back()  # what dealing, or another bucket, has freed
         out, sids, counts, keys, base = [], [], [], [], 0
         for row in table.to_pylist():
             if row["header"]:
@@ -185,6 +189,7 @@ def window_length(n):
 
 def _windows(table: pa.Table) -> pa.Table:
     """Sets whose window reaches a shared shingle, with all their shared shingles."""
+    give_back()
     sizes: dict[int, tuple[int, np.ndarray]] = {}
     sids, parts = [], []
     for row in table.to_pylist():

@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from quillmill.llm.memory import give_back
+
 UNDETERMINED = "und"
 GAP = 1  # code of runs of anything but letters; a letter's code is its code point
 CODE_BITS = 21
@@ -195,6 +197,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", shares: bool = Fa
             found = [f for at in range(0, len(texts), ROWS) for f in scored(learned, texts.slice(at, ROWS).to_pylist())]
             types = (pa.string(), pa.float64(), pa.float64())
             yield pa.StructArray.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate(types)], ["lang_pred", "score", "known"])
+        texts = found = None
+        give_back()
 
     # only the text goes to Python, and the other columns wait for the result
     found = docs.select(F.struct("*").alias("row"), score(F.col(text)).alias("found"))

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from quillmill.durable import durable
+from quillmill.llm.memory import giving_back
 from quillmill.llm.tokens import STORED_WORDS, encode_texts, slices
 
 CAPACITY = 4096
@@ -31,6 +32,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end
     ids are documents of their own. Further columns are ignored.
     """
 
+    @giving_back
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()
         for batch in slices(batches):

@@ -2,6 +2,8 @@ import base64
 import functools
 import math
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -127,3 +129,45 @@ def test_foreign_texts_go_and_clean_ones_stay(spark, documents):
     kept = {r.doc_id for r in corpus_pipeline.in_known_languages(spark, clean.unionByName(added).unionByName(cuts), SF).collect()}
     assert not kept & set(range(-len(foreign), 0))
     assert kept == {r.doc_id for r in clean.unionByName(cuts).collect()}
+
+
+TASK = """
+import random, pyarrow as pa, public_tokenizers
+from unittest import mock
+from pyspark.sql import functions
+from quillmill.llm import jaccard_join, packing
+
+functions.col = mock.MagicMock()  # there is no session
+
+def held():
+    return next(int(line.split()[1]) // 1024 for line in open("/proc/self/status") if line.startswith("RssAnon"))
+
+class Docs:  # takes the place of a frame and runs the task itself
+    def select(self, *columns):
+        return self
+    def mapInArrow(self, task, schema):
+        return task(batches())
+
+def batches():
+    pick = random.Random(1)
+    words = ["".join(pick.choices("abcdefghijklmnop", k=7)) for _ in range(20_000)]
+    for at in range(2):
+        texts = [" ".join(pick.choices(words, k=400)) for _ in range(4_000)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(4_000)), pa.array(texts)], ["id", "text"])
+
+start = held()
+for _ in {task}:
+    pass
+del _
+print(held() - start)
+"""
+
+
+@pytest.mark.skipif(not sys.platform.startswith("linux"), reason="reads /proc")
+@pytest.mark.parametrize(
+    ("task", "most"),
+    [("jaccard_join._describe(batches())", 20), ("packing.encode_pieces(Docs(), public_tokenizers.path('word_bpe_49k.json'), stored_words=40_000)", 65)],
+)
+def test_workers_give_memory_back_at_the_end_of_a_task(task, most):
+    found = subprocess.run([sys.executable, "-c", TASK.replace("{task}", task)], check=True, capture_output=True, text=True)
+    assert int(found.stdout) < most
