@@ -25,7 +25,7 @@ def is_retweet(raw: Column) -> Column:
     return F.coalesce(mentioned & F.array_contains(F.json_object_keys(raw), RETWEET_KEY), F.lit(False))
 
 
-def tweet_metadata(df: DataFrame, *keep: str) -> DataFrame:
+def tweet_metadata(df: DataFrame, *keep: str | Column) -> DataFrame:
     """The 16 output fields and the one-line ``content`` of parsed, located tweets.
 
     ``keep`` names further columns to carry along.

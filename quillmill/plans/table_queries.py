@@ -513,7 +513,7 @@ def hydrate_batches(spark, sf):
     for _ in range(2):
         tweet_plan.hydrate_batches(spark, [ids], archive, _countries(spark, sf), out, ledger, batch=2_000)
     lines = spark.read.text(f"{out}/corpus").select("file_name", F.col("value").alias("line"), F.lit("corpus").alias("output"))
-    lengths = spark.read.option("header", True).csv(f"{out}/lengths")
+    lengths = spark.read.schema("tweet_id string, tweet_length string").option("header", True).csv(f"{out}/lengths")
     lengths = lengths.select("file_name", F.concat("tweet_id", F.lit("\t"), "tweet_length").alias("line"), F.lit("lengths").alias("output"))
     skipped = spark.read.text(f"{out}/skipped_ids").select("file_name", F.col("value").alias("line"), F.lit("skipped").alias("output"))
     log = store.read_ledger(spark, ledger).groupBy("file_name").agg(F.sum("num_tweets_saved").cast("string").alias("line"))

@@ -87,7 +87,8 @@ def remaining_batches(ids: DataFrame, ledger: DataFrame, batch: int = BATCH_SIZE
 
 
 def _checksum():
-    return F.sum(F.xxhash64("id", "pos").cast("decimal(38,0)") % F.lit(1 << 40))
+    # a remainder has at most 13 digits, so only the sum needs more than a long
+    return F.sum((F.xxhash64("id", "pos") % F.lit(1 << 40)).cast("decimal(13,0)"))
 
 
 def hydrate_batches(
@@ -116,16 +117,18 @@ def hydrate_batches(
     # only the ids of the archive are parsed before the join; a repeated object counts once
     wanted = tweet_ids(spark, archive).join(todo.select("id").distinct(), "id", "left_semi")
     latest = first_per_key(wanted, "id", [F.desc("file_path"), F.desc("line_ord")]).select("id", "raw")
+    # each found object is parsed once where it was looked up, and each kept one located once
+    found = hydrate(todo, latest).drop("pos").withColumnRenamed("id", "_id")
+    kept, skipped = split_retweets(parse_tweets(found).drop("_id"), stored=True)
+    located = tweet_location(kept, countries, states)
+    records = tweet_metadata(located, *BATCH, "id_str", token_count(F.col("full_text")).alias("tweet_length"))
     # gathered by batch, each output partition is written by one task as one file
-    found = hydrate(todo, latest).hint("rebalance", *[F.col(c) for c in BATCH])
-    # each found object is parsed once, and each kept one located once, for all outputs
-    kept, skipped = split_retweets(parse_tweets(found.drop("pos").withColumnRenamed("id", "_id")).drop("_id"), stored=True)
-    lengths = kept.select(*BATCH, F.col("id_str").alias("tweet_id"), token_count(F.col("full_text")).alias("tweet_length"))
-    records = durable(tweet_metadata(tweet_location(kept, countries, states), *BATCH).hint("rebalance", *[F.col(c) for c in BATCH]), "records")
+    by_batch = [F.col(c) for c in BATCH]
+    records = durable(records.hint("rebalance", *by_batch), "records")
     write_corpus(records, f"{out}/corpus", text="content", normalise=False, by=BATCH)
-    write_metadata(records.drop("content"), f"{out}/metadata", by=BATCH)
-    write_lengths(lengths, f"{out}/lengths", by=BATCH)
-    write_skipped_ids(skipped, f"{out}/skipped_ids", by=BATCH)
-    log = durable(batch_log(pending, kept, FILES).join(pending, list(BATCH)), "log")
+    write_metadata(records.drop("content", "id_str", "tweet_length"), f"{out}/metadata", by=BATCH)
+    write_lengths(records.withColumnRenamed("id_str", "tweet_id"), f"{out}/lengths", by=BATCH)
+    write_skipped_ids(skipped.select(*BATCH, "id_str").hint("rebalance", *by_batch), f"{out}/skipped_ids", by=BATCH)
+    log = durable(batch_log(pending, records, FILES).join(pending, list(BATCH)), "log")
     append_ledger(log, ledger)
     return log.select(*BATCH, "num_tweets_saved")

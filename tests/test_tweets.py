@@ -292,3 +292,17 @@ def test_a_table_split_again_keeps_the_places_of_its_ids(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     first, second = ({(f"2020-03-0{1 + d}_tweets_cov19.csv", i): 2 * i + d for i in range(750)} for d in (0, 1))
     assert found == [first, first | second, first | second]
+
+
+def test_id_lines_are_neither_moved_nor_misread(spark, tmp_path):
+    """What is known of a file comes to its lines; numbers need no pattern unless quoted."""
+    folder = tmp_path / "d"
+    folder.mkdir()
+    (folder / "a.csv").write_text('id,x\n 7 ,y\n"8",z\n\t9\n1 0\n"a,b",11\n" 12 ", "c,d"\n-5,\n,6\n')
+    (folder / "b.csv").write_text('x,id\n"a,b",11\nc\n"d", "12"\n')
+    rows = readers.read_id_files(spark, [str(folder)])
+    assert sorted((r.dataset, r.file_name, r.id) for r in rows.collect()) == sorted(
+        [("d", "a.csv", i) for i in (7, 8, 9, 12, -5)] + [("d", "b.csv", i) for i in (11, 12)]
+    )
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
