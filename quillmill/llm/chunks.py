@@ -19,6 +19,8 @@ from quillmill.durable import scratch_path
 
 #: Bytes of text after which a chunk ends; a document is never cut.
 CHUNK_BYTES = 24 << 20
+#: Rows whose texts are held as Python objects at once, and rows of a compressed stream.
+PIECE_ROWS, ZIPPED_ROWS = 500, 2_000
 
 
 def gathered(docs: DataFrame, text: str, size: int) -> DataFrame:
@@ -62,22 +64,29 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[pa.R
                 yield int(chunk[start]), batch.slice(start, end - start)
 
 
+def pieces(batch: pa.RecordBatch | pa.Table, rows: int = PIECE_ROWS) -> Iterator[pa.RecordBatch | pa.Table]:
+    """The batch, so many rows at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def texts_of(batch: pa.RecordBatch | pa.Table) -> list[bytes]:
     return batch.column("text").cast(pa.binary()).to_pylist()
 
 
 def zipped(stored: DataFrame) -> DataFrame:
-    """``chunk, rows``: the rows of a chunk, batch by batch, as compressed Arrow streams.
+    """``chunk, rows``: the rows of a chunk, ``ZIPPED_ROWS`` at a time, as compressed Arrow streams.
 
     Texts so pass a shuffle, and wait in the task behind it, at a fraction of their size.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, batch in runs(batches):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
-                stream.write_batch(batch)
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "rows"])
+            for piece in pieces(batch, ZIPPED_ROWS):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                    stream.write_batch(piece)
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "rows"])
 
     return stored.mapInArrow(pack, "chunk bigint, rows binary")
 

@@ -25,14 +25,17 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quillmill.durable import durable
-from quillmill.llm.chunks import in_chunks, runs, texts_of, unzipped, zipped
+from quillmill.llm.chunks import in_chunks, pieces, runs, texts_of, unzipped, zipped
 from quillmill.llm.language_id import held_out
+from quillmill.llm.memory import given_back, giving_back
 
 #: Bytes of the longest context, and of the contexts whose subtrees one task folds: such a
 #: subtree has at most 2^24 runs, however large the corpus is.
 DEPTH, TOP = 5, 3
 #: Byte runs of a bucket of subtrees, and bytes of text looked at together.
-BUCKET_RUNS, TOGETHER = 500_000, 2_000_000
+BUCKET_RUNS, TOGETHER = 500_000, 500_000
+#: Rows of a result that a worker hands over at once, and summed numbers that wait to be merged.
+HANDED, WAITING = 50_000, 250_000
 PAD, END, SPACE = b"\n" * DEPTH, b"\n", b" "
 FOLDS = 10
 LN2, LNPI = math.log(2), math.log(math.pi)
@@ -84,15 +87,18 @@ class Sums:
         keys, counts = np.unique(numbers, return_counts=True)
         self.parts.append((keys, counts * weight))
         self.held += len(keys)
-        if self.held > max(len(self.keys), 1_000_000):
+        if self.held > max(len(self.keys), WAITING):
             self.total()
 
     def total(self) -> tuple[np.ndarray, np.ndarray]:
         keys = np.concatenate([self.keys, *[p[0] for p in self.parts]])
         counts = np.concatenate([self.counts, *[p[1] for p in self.parts]])
-        self.keys, place = np.unique(keys, return_inverse=True)
-        self.counts = np.bincount(place, counts, len(self.keys)).astype(np.int64)
         self.parts, self.held = [], 0
+        order = np.argsort(keys)
+        keys = keys[order]
+        counts = counts[order]
+        starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
+        self.keys, self.counts = keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
         return self.keys, self.counts
 
 
@@ -103,21 +109,21 @@ def run_counts(stored: DataFrame) -> DataFrame:
         now, sums = None, Sums()
         for chunk, batch in runs(batches):
             if chunk != now and now is not None:
-                yield listed(now, sums)
+                yield from listed(now, sums)
                 sums = Sums()
             now = chunk
             for learn in (True, False):
-                texts = texts_of(batch.filter(pc.equal(batch.column("learn"), learn)))
+                texts = (text for piece in pieces(batch) for text in texts_of(piece.filter(pc.equal(piece.column("learn"), learn))))
                 for group in groups_of_lines(map(line, map(words_of, texts))):
                     sums.add(byte_runs(group)[0], int(learn))
         if now is not None:
-            yield listed(now, sums)
+            yield from listed(now, sums)
 
-    def listed(chunk: int, sums: Sums) -> pa.RecordBatch:
+    def listed(chunk: int, sums: Sums) -> Iterator[pa.RecordBatch]:
         keys, counts = sums.total()
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk)), pa.array(keys), pa.array(counts)], ["chunk", "run", "n"])
+        yield from pieces(pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk)), pa.array(keys), pa.array(counts)], ["chunk", "run", "n"]), HANDED)
 
-    return stored.select("chunk", "learn", "text").mapInArrow(count, "chunk bigint, run bigint, n bigint")
+    return stored.select("chunk", "learn", "text").mapInArrow(giving_back(count), "chunk bigint, run bigint, n bigint")
 
 
 def word_counts(stored: DataFrame) -> DataFrame:
@@ -127,20 +133,24 @@ def word_counts(stored: DataFrame) -> DataFrame:
         now, learnt, seen = None, Counter(), set()
         for chunk, batch in runs(batches):
             if chunk != now and now is not None:
-                yield listed(now, learnt, seen)
+                yield from listed(now, learnt, seen)
                 learnt, seen = Counter(), set()
             now = chunk
-            for text, learn in zip(texts_of(batch), batch.column("learn").to_pylist()):
-                (learnt if learn else seen).update([*words_of(text), END])
+            for piece in pieces(batch):
+                for text, learn in zip(texts_of(piece), piece.column("learn").to_pylist()):
+                    (learnt if learn else seen).update([*words_of(text), END])
         if now is not None:
-            yield listed(now, learnt, seen)
+            yield from listed(now, learnt, seen)
 
-    def listed(chunk: int, learnt: Counter, seen: set) -> pa.RecordBatch:
-        words = sorted(seen.union(learnt))  # the same order whenever the task runs
-        columns = [pa.array(np.full(len(words), chunk)), pa.array(words, pa.binary()), pa.array([learnt[w] for w in words], pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["chunk", "word", "n"])
+    def listed(chunk: int, learnt: Counter, seen: set) -> Iterator[pa.RecordBatch]:
+        seen.difference_update(learnt)
+        words = sorted([*learnt, *seen])  # the same order whenever the task runs
+        for at in range(0, len(words), HANDED):
+            some = words[at : at + HANDED]
+            columns = [pa.array(np.full(len(some), chunk)), pa.array(some, pa.binary()), pa.array([learnt[w] for w in some], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["chunk", "word", "n"])
 
-    return stored.select("chunk", "learn", "text").mapInArrow(count, "chunk bigint, word binary, n bigint")
+    return stored.select("chunk", "learn", "text").mapInArrow(giving_back(count), "chunk bigint, word binary, n bigint")
 
 
 def log_gamma(x):
@@ -210,8 +220,11 @@ def subtree_levels(runs: np.ndarray, counts: np.ndarray, bit: int) -> tuple[list
 def fold_subtrees(table: pa.Table) -> pa.Table:
     """``node, zeros, ones, weighted`` of the contexts of ``TOP`` bytes."""
     runs, counts = table.column("run").to_numpy(), table.column("n").to_numpy()
-    tops = [subtree_levels(runs, counts, bit)[0][-1] for bit in range(8)]
-    return pa.table([pa.array(np.concatenate([getattr(t, f) for t in tops])) for f in ("number", "zeros", "ones", "weighted")], ["node", "zeros", "ones", "weighted"])
+    tops = []
+    for bit in range(8):
+        top = subtree_levels(runs, counts, bit)[0][-1]
+        tops.append(pa.table([pa.array(x) for x in (top.number, top.zeros, top.ones, top.weighted)], ["node", "zeros", "ones", "weighted"]))
+    return pa.concat_tables(tops)
 
 
 def price_runs(table: pa.Table, top: pa.Table) -> pa.Table:
@@ -236,7 +249,7 @@ def run_values(counts: DataFrame) -> DataFrame:
     buckets = max(1, -(-counts.count() // BUCKET_RUNS))
     top = F.shiftright("run", 8).bitwiseAND(F.lit((1 << 8 * TOP) - 1))
     dealt = counts.withColumn("bucket", F.pmod(F.xxhash64(top), F.lit(buckets)))
-    level = durable(dealt.groupBy("bucket").applyInArrow(fold_subtrees, "node bigint, zeros double, ones double, weighted double"), "subtrees")
+    level = durable(dealt.groupBy("bucket").applyInArrow(lambda table: given_back(fold_subtrees(table)), "node bigint, zeros double, ones double, weighted double"), "subtrees")
     nodes, levels = level, []
     for depth in range(TOP - 1, -1, -1):
         grouped = level.groupBy(F.col("node").bitwiseAND(F.lit(shorter(depth))).alias("node")).agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("longer"))
@@ -255,47 +268,52 @@ def run_values(counts: DataFrame) -> DataFrame:
     bucket = F.pmod(F.xxhash64(F.shiftright("node", 8).bitwiseAND(F.lit((1 << 8 * TOP) - 1))), F.lit(buckets))
     tops = nodes.select("node", bucket.alias("bucket"), F.col("node").bitwiseAND(F.lit(shorter(TOP - 1))).alias("short"))
     tops = tops.join(known.withColumnRenamed("node", "short"), "short").select("bucket", "node", "known", "rest")
-    return dealt.groupBy("bucket").cogroup(tops.groupBy("bucket")).applyInArrow(lambda runs, top: price_runs(runs, top), "run bigint, value double")
+    return dealt.groupBy("bucket").cogroup(tops.groupBy("bucket")).applyInArrow(lambda runs, top: given_back(price_runs(runs, top)), "run bigint, value double")
 
 
 class Prices:
-    """Values by run: most are found by one look into a table of hashes, the others by bisection."""
+    """Values by run: the places of most are found by one look into a table of hashes, the others by bisection."""
 
     BITS = 21
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         order = np.argsort(keys)
         self.keys, self.values = keys[order], values[order]
-        self.hashed, self.hashed_values = np.full(1 << self.BITS, -1, np.int64), np.zeros(1 << self.BITS)
-        at = self.place(self.keys)
-        self.hashed[at] = self.keys
-        self.hashed_values[at] = self.values
+        self.hashed = np.zeros(1 << self.BITS, np.int32)
+        self.hashed[self.place(self.keys)] = np.arange(len(keys), dtype=np.int32)
 
     def place(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)).view(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        at = self.place(keys)
-        found = self.hashed_values[at]
-        other = np.flatnonzero(self.hashed[at] != keys)
-        found[other] = self.values[np.searchsorted(self.keys, keys[other])]
-        return found
+        at = self.hashed[self.place(keys)]
+        other = np.flatnonzero(self.keys[at] != keys)
+        at[other] = np.searchsorted(self.keys, keys[other])
+        return self.values[at]
+
+
+def prices_of(values: pa.Table) -> tuple[dict[bytes, float], Prices]:
+    """The values of a chunk's words, equal ones as one object, and of its runs."""
+    price, equal, keys, of_run = {}, {}, [np.zeros(0, np.int64)], [np.zeros(0)]
+    for some in pieces(values, HANDED):
+        named = pc.is_valid(some.column("word"))
+        words, rest = some.select(["word", "value"]).filter(named), some.select(["run", "value"]).filter(pc.invert(named))
+        price.update(zip(words.column("word").to_pylist(), [equal.setdefault(x, x) for x in words.column("value").to_pylist()]))
+        keys.append(rest.column("run").to_numpy())
+        of_run.append(rest.column("value").to_numpy())
+    return price, Prices(np.concatenate(keys), np.concatenate(of_run))
 
 
 def score_chunk(texts: pa.Table, values: pa.Table) -> pa.Table:
     """Scores of the texts of a chunk, zipped, from the values of its runs and words."""
-    named = pc.is_valid(values.column("word"))
-    of_word, of_run = values.filter(named), values.filter(pc.invert(named))
-    price = dict(zip(of_word.column("word").to_pylist(), of_word.column("value").to_pylist()))
-    prices = Prices(of_run.column("run").to_numpy(), of_run.column("value").to_numpy())
-    del values, of_word, of_run
+    price, prices = prices_of(values)
     keys, first, tokens, known = [], [], [], []
 
     def lines() -> Iterator[bytes]:
         for docs in unzipped(texts):
             keys.append(docs.select(["id", "learn"]))
-            for at in range(0, docs.num_rows, 500):
-                for text in texts_of(docs.slice(at, 500)):
+            for piece in pieces(docs):
+                for text in texts_of(piece):
                     words = words_of(text)
                     yield line(words)
                     words.append(END)
@@ -339,7 +357,7 @@ def scores(docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int =
     of_words = words.select("chunk", F.lit(None).cast("bigint").alias("run"), "word", smooth.alias("value"))
     of_runs = in_chunk.select("chunk", "run").join(run_values(per_run), "run").select("chunk", "run", F.lit(None).cast("binary").alias("word"), "value")
     texts = zipped(stored.select("chunk", "id", "learn", "text")).groupBy("chunk")
-    scored = texts.cogroup(of_words.unionByName(of_runs).groupBy("chunk")).applyInArrow(lambda texts, values: score_chunk(texts, values), SCORES)
+    scored = texts.cogroup(of_words.unionByName(of_runs).groupBy("chunk")).applyInArrow(lambda texts, values: given_back(score_chunk(texts, values)), SCORES)
     smoothed = math.log10(learnt.tokens + 0.1 * (learnt.distinct + 1))
     bits = -F.col("score") * math.log2(10) / F.col("n_bytes")
     return scored.select("id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", F.lit(learnt.tokens).cast("bigint").alias("train_tokens"), (F.col("base_score") - F.col("n_tokens") * smoothed).alias("base_score"), "score", "n_bytes", bits.alias("bits_per_byte"))

@@ -4,10 +4,12 @@ import hashlib
 import itertools
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -277,3 +279,46 @@ def test_texts_of_a_chunk_travel_compressed(spark):
     found = {r["id"]: r["text"] for part in unzipped(sent.toArrow()) for r in part.to_pylist()}
     assert found == {r.doc_id: r.text or "" for r in docs.collect()}
     assert sum(len(r.rows) for r in sent.collect()) * 5 < sum(map(len, found.values()))
+
+
+class Task:  # takes the place of a frame and keeps the function that it is given
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, task, schema):
+        return task
+
+
+def traced(work):
+    """What ``work`` returns, and the MB that Python and numpy held at most meanwhile."""
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_scoring_tasks_hold_little_of_a_chunk():
+    pick = np.random.default_rng(5)
+    words = np.array(["".join(x) for x in pick.choice(list("abcdefgh"), (70_000, 5))])
+    texts = [" ".join(pick.choice(words, 400)) for _ in range(3_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.zeros(3_000, np.int64)), pa.array(range(3_000)), pa.array([i % 10 > 0 for i in range(3_000)]), pa.array(texts)], ["chunk", "id", "learn", "text"])
+    of_runs, run_mb = traced(lambda: list(lm_scoring.run_counts(Task())(iter([batch]))))
+    of_words, word_mb = traced(lambda: list(lm_scoring.word_counts(Task())(iter([batch]))))
+    assert max(b.num_rows for b in of_runs + of_words) <= 50_000  # what the JVM has to hold of a result at once
+    of_runs, of_words = pa.Table.from_batches(of_runs), pa.Table.from_batches(of_words)
+    lines = [lm_scoring.line(lm_scoring.words_of(t.encode())) for t in texts]
+    want = Counter(lm_scoring.byte_runs(lines[0::10])[0].tolist())
+    assert set(want) <= set(of_runs["run"].to_pylist()) and sum(of_runs["n"].to_pylist()) == sum(map(len, lines)) - sum(map(len, lines[0::10]))
+    values = pa.table(
+        {
+            "chunk": np.zeros(len(of_runs) + len(of_words), np.int64),
+            "run": pa.chunked_array([*of_runs["run"].chunks, pa.nulls(len(of_words), pa.int64())]),
+            "word": pa.chunked_array([pa.nulls(len(of_runs), pa.binary()), *of_words["word"].chunks]),
+            "value": np.r_[np.full(len(of_runs), -0.5), np.full(len(of_words), -2.0)],
+        }
+    )
+    zipped = pa.Table.from_batches(list(chunks.zipped(Task().select())(iter([batch]))))
+    got, score_mb = traced(lambda: lm_scoring.score_chunk(zipped, values))
+    assert got["score"].to_pylist() == [-0.5 * len(x) for x in lines] and set(got["base_score"].to_pylist()) == {-802.0}
+    assert run_mb < 45 and word_mb < 10 and score_mb < 55, (run_mb, word_mb, score_mb)
