@@ -19,7 +19,7 @@ from quillmill.durable import scratch_path
 
 #: Bytes of text after which a chunk ends; a document is never cut.
 CHUNK_BYTES = 24 << 20
-#: Rows whose texts are held as Python objects at once, and rows of a compressed stream.
+#: Rows whose texts are looked at or handed over at once, and rows of a compressed stream.
 PIECE_ROWS, ZIPPED_ROWS = 500, 2_000
 
 
@@ -46,7 +46,7 @@ def in_chunks(docs: DataFrame, columns: dict[str, Column], text: str = "text", s
             ends = before + np.cumsum(sizes)
             chunk = first + (ends - sizes) // size
             before = int(ends[-1]) if len(ends) else before
-            yield pa.RecordBatch.from_arrays([pa.array(chunk), *batch.columns], ["chunk", *batch.schema.names])
+            yield from pieces(pa.RecordBatch.from_arrays([pa.array(chunk), *batch.columns], ["chunk", *batch.schema.names]))
 
     schema = ", ".join(["chunk bigint", *[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields]])
     dealt, path = rows.mapInArrow(deal, schema), scratch_path(docs.sparkSession, "chunks")
